@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # plan modules, in survey order
-MODULES = ["series", "relational"]
+MODULES = ["series", "relational", "text", "joins"]
 
 
 def _load():
