@@ -47,6 +47,31 @@ def ranked(df: DataFrame, order: list, partition: list[str] | None = None,
              .drop("_pid", "_off"))
 
 
+def running_total(df: DataFrame, order: list, value, partition: list[str] | None = None,
+                  out="cum", num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum(s) of ``value`` (a column name or a list of them) under
+    a total ``order`` (within ``partition``), computed like ``ranked``: totals per
+    range partition, their prefix sums as offsets, and a running sum inside each
+    range partition. Several value columns share one range partitioning."""
+    partition = partition or []
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = _cols(partition) + _cols(order)
+    r = cut_lineage(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
+    tot = r.groupBy("_pid", *partition).agg(*[F.sum(v).alias(f"_t{i}") for i, v in enumerate(values)])
+    wo = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tot.select("_pid", *partition, *[F.coalesce(F.sum(f"_t{i}").over(wo), F.lit(0)).alias(f"_o{i}")
+                                               for i in range(len(values))])
+    w = (Window.partitionBy("_pid", *partition).orderBy(*_cols(order))
+               .rowsBetween(Window.unboundedPreceding, 0))
+    res = r.join(offsets, ["_pid", *partition])
+    for i, (v, o) in enumerate(zip(values, outs)):
+        res = res.withColumn(o, F.col(f"_o{i}") + F.sum(v).over(w))
+    return res.drop("_pid", *[f"_o{i}" for i in range(len(values))])
+
+
 def heavy_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
     """Keys with more than ``threshold`` rows (at most rows/threshold of them)."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
