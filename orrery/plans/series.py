@@ -159,7 +159,7 @@ b AS (SELECT *, min(close) OVER (PARTITION BY series) AS mn, max(close) OVER (PA
 SELECT series, date, round(CASE WHEN mx = mn THEN 0.5 ELSE (close - mn) / (mx - mn) END, 6) AS scaled FROM b""",
     "inverse_scale": f"""WITH {SCALED_SQL}
 SELECT series, date, round(mn + x * (mx - mn), 4) AS close_back,
-       round((mn + x * (mx - mn)) - close, 6) AS roundtrip_err FROM z""",
+       round((mn + x * (mx - mn)) - close, 6) + 0.0 AS roundtrip_err FROM z""",
     "latest_per_series": f"""WITH {PRICES_SQL}
 SELECT series, max(date) AS date, round(arg_max(close, date), 4) AS close FROM prices GROUP BY series""",
     "append_forecast_row": f"""WITH {PRICES_SQL}
