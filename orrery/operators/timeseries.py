@@ -33,7 +33,8 @@ def _w(series: str | list[str], date: str):
 
 def lag_features(df: DataFrame, series: str, date: str, value: str, n_lags: int = 10,
                  include_current: bool = True, out: str = "features",
-                 label: str = "label", extra: list[str] | None = None) -> DataFrame:
+                 label: str = "label", extra: list[str] | None = None,
+                 keep_null_label: bool = False) -> DataFrame:
     """Trailing list of ``n_lags`` values and a label.
 
     ``include_current=True`` (batch layout): frame rows -(n-1)..0 and the label is the
@@ -45,6 +46,7 @@ def lag_features(df: DataFrame, series: str, date: str, value: str, n_lags: int
     missing value. ``extra`` columns (e.g. a sentiment score) are appended after the
     lags for the current row, so the features array has ``n_lags + len(extra)``
     entries (a null extra value still counts as an entry, as ``array(NULL)`` does).
+    ``keep_null_label`` keeps rows whose label is missing (rows to be forecast).
     """
     w = _w(series, date)
     if include_current:
@@ -62,10 +64,10 @@ def lag_features(df: DataFrame, series: str, date: str, value: str, n_lags: int
     feats = F.col("_lags")
     if extra:
         feats = F.concat(feats, F.array(*[F.col(c).cast("double") for c in extra]))
-    return (out_df.filter(F.size("_lags") == n_lags)
-                  .filter(F.col(label).isNotNull())
-                  .withColumn(out, feats)
-                  .drop("_lags"))
+    out_df = out_df.filter(F.size("_lags") == n_lags)
+    if not keep_null_label:
+        out_df = out_df.filter(F.col(label).isNotNull())
+    return out_df.withColumn(out, feats).drop("_lags")
 
 
 def warmup_drop(df: DataFrame, series: str, date: str, k: int = 10) -> DataFrame:
@@ -107,8 +109,7 @@ def minmax_scale(df: DataFrame, series: str | None, value: str, out: str | None
 
     ``fit_mask`` restricts the rows the min/max are fitted on (e.g. train rows only,
     to avoid leaking the test period); None fits on all rows. The fitted bounds
-    stay on every row as ``_min``/``_max`` → renamed ``scale_min``/``scale_max`` so
-    ``inverse_scale`` can undo it.
+    stay on every row as ``scale_min``/``scale_max`` so ``inverse_scale`` can undo it.
     """
     out = out or f"scaled_{value}"
     v = F.col(value)

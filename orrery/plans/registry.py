@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # plan modules, in survey order
-MODULES = ["series", "relational", "text", "joins", "splits", "metrics", "classify", "recommend", "timetable", "regress", "forecast", "models"]
+MODULES = ["series", "relational", "text", "joins", "splits", "metrics", "classify", "recommend", "timetable", "regress", "forecast", "models", "streaming"]
 
 
 def _load():
