@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 # split on any run of non-letters (Unicode aware)
 TOKEN_SPLIT = r"[^\p{L}]+"
 VADER_ALPHA = 15.0
-# lexicons up to this many entries are shipped inside the projection as a map
-# literal (no shuffle at all); larger ones go through a join.
-MAP_LEXICON_LIMIT = 50_000
+# lexicons up to this many entries are broadcast (a hash table of at most this
+# many short strings per executor); larger ones are joined with a shuffle on the
+# token, where AQE splits hot tokens.
+BROADCAST_LEXICON_LIMIT = 1_000_000
 
 
 def tokens(text: Column | str) -> Column:
@@ -32,29 +33,24 @@ def normalise(s: Column, alpha: float = VADER_ALPHA) -> Column:
     return F.when(s == 0, F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(alpha)))
 
 
-def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, token_col: str = "token",
-                      valence_col: str = "valence", out: str = "compound",
-                      alpha: float = VADER_ALPHA, id_col: str | None = None) -> DataFrame:
-    """Add ``out`` (compound score in [-1, 1]) to every row of ``df``.
+def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
+                      token_col: str = "token", valence_col: str = "valence", out: str = "compound",
+                      alpha: float = VADER_ALPHA) -> DataFrame:
+    """Add ``out`` (compound score in [-1, 1]) to every row of ``df`` (``id_col``
+    unique).
 
-    Small lexicon (row count checked): one narrow projection, the lexicon travels
-    as a map literal, no shuffle. Large lexicon: tokens are exploded and joined
-    (shuffle hash / sort-merge, AQE decides), summed per ``id_col`` and joined back.
+    Plan: tokens are exploded and hash-joined to the lexicon map-side (broadcast
+    when its row count is within the limit), valences get a partial sum per row
+    before the shuffle, and the per-row sums are left-joined back so rows without a
+    lexicon token score 0. Only matched tokens ever leave the scan task.
     """
-    n_lex = lexicon.count()
-    if n_lex <= MAP_LEXICON_LIMIT:
-        pairs = lexicon.select(token_col, F.col(valence_col).cast("double")).collect()
-        lex_map = F.create_map(*[x for t, v in pairs for x in (F.lit(t), F.lit(v))]) if pairs \
-            else F.create_map().cast("map<string,double>")
-        vals = F.transform(tokens(text), lambda t: F.coalesce(F.try_element_at(lex_map, t), F.lit(0.0)))
-        s = F.aggregate(vals, F.lit(0.0), lambda a, b: a + b)
-        return df.withColumn(out, normalise(s, alpha))
-    if id_col is None:
-        raise ValueError("a large lexicon needs id_col to sum per row")
-    tok = df.select(id_col, F.explode(tokens(text)).alias(token_col))
-    s = (tok.join(lexicon.select(token_col, valence_col), token_col)
-            .groupBy(id_col).agg(F.sum(F.col(valence_col).cast("double")).alias("_s")))
-    return (df.join(s, id_col, "left")
+    lex = lexicon.select(F.col(token_col).alias("_tok"), F.col(valence_col).cast("double").alias("_val"))
+    if lexicon.count() <= BROADCAST_LEXICON_LIMIT:
+        lex = F.broadcast(lex)
+    # empty tokens (text starting with a non-letter) never match a lexicon entry
+    tok = df.select(F.col(id_col).alias("_id"), F.explode(F.split(F.lower(F.col(text)), TOKEN_SPLIT)).alias("_tok"))
+    s = tok.join(lex, "_tok").groupBy("_id").agg(F.sum("_val").alias("_s"))
+    return (df.join(s.withColumnRenamed("_id", id_col), id_col, "left")
               .withColumn(out, normalise(F.coalesce(F.col("_s"), F.lit(0.0)), alpha)).drop("_s"))
 
 
