@@ -22,29 +22,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Published rational approximation of the standard normal CDF
-# (Abramowitz & Stegun 26.2.17), |error| < 7.5e-8.
-AS_P = 0.2316419
-AS_B = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+from orrery.functions.columns import AS_B, AS_P, normal_cdf, soft_threshold  # noqa: F401
 
 
-# ---------------------------------------------------------------- scalar helpers
 
-def soft_threshold(b: Column, l1: float | Column, l2: float | Column = 0.0) -> Column:
-    """sign(b) · max(|b| - l1, 0) / (1 + 2 l2)."""
-    l1c = l1 if isinstance(l1, Column) else F.lit(float(l1))
-    l2c = l2 if isinstance(l2, Column) else F.lit(float(l2))
-    # an explicit 0.0 (not sign · 0, which is -0.0 for negative b)
-    return F.when(F.abs(b) <= l1c, F.lit(0.0)).otherwise(F.signum(b) * (F.abs(b) - l1c) / (1 + 2 * l2c))
-
-
-def normal_cdf(z: Column) -> Column:
-    """Φ(z) as column arithmetic (Spark SQL has no erf)."""
-    x = F.abs(z)
-    t = 1 / (1 + F.lit(AS_P) * x)
-    poly = t * (F.lit(AS_B[0]) + t * (F.lit(AS_B[1]) + t * (F.lit(AS_B[2]) + t * (F.lit(AS_B[3]) + t * F.lit(AS_B[4])))))
-    upper = F.exp(-x * x / 2) / F.lit(math.sqrt(2 * math.pi)) * poly
-    return F.when(z >= 0, 1 - upper).otherwise(upper)
+# ---------------------------------------------------------------- scalar helpers
 
 
 def wald_two_prop(df: DataFrame, n1: str, k1: str, n2: str, k2: str) -> DataFrame:

@@ -11,14 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.functions.columns import hash_order  # noqa: F401
+
 from orrery.operators.scalar_join import attach_scalar
 from orrery.operators.skew import ranked
 
 
-def hash_order(key: str, seed: int | str) -> Column:
-    return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
-
-
 def holdout(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42,
             out: str = "split") -> DataFrame:
     """First ``floor(frac * n)`` rows in hash order are 'train', the rest 'test'."""

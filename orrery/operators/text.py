@@ -12,27 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# split on any run of non-letters (Unicode aware)
-TOKEN_SPLIT = r"[^\p{L}]+"
-VADER_ALPHA = 15.0
+from orrery.functions.columns import TOKEN_SPLIT, VADER_ALPHA, feed_rows, normalise, parse_compact_time, parse_tweet_time, sentiment_bucket, to_json_value, tokens  # noqa: F401
+
 # lexicons up to this many entries are broadcast (a hash table of at most this
 # many short strings per executor); larger ones are joined with a shuffle on the
 # token, where AQE splits hot tokens.
 BROADCAST_LEXICON_LIMIT = 1_000_000
 
 
-def tokens(text: Column | str) -> Column:
-    c = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(c), TOKEN_SPLIT), lambda t: F.length(t) > 0)
-
-
-def normalise(s: Column, alpha: float = VADER_ALPHA) -> Column:
-    """s / sqrt(s^2 + alpha). The sum is first rounded to 9 places so that valences
-    that cancel give exactly 0 whatever the summation order."""
-    s = F.round(s, 9)
-    return F.when(s == 0, F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(alpha)))
-
-
 def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
                       token_col: str = "token", valence_col: str = "valence", out: str = "compound",
                       alpha: float = VADER_ALPHA) -> DataFrame:
@@ -54,42 +41,8 @@ def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
               .withColumn(out, normalise(F.coalesce(F.col("_s"), F.lit(0.0)), alpha)).drop("_s"))
 
 
-def sentiment_bucket(score: Column | str, pos: float = 0.05, neg: float = -0.05,
-                     strict: bool = False) -> Column:
-    """'positive' (>= pos), 'negative' (<= neg), else 'neutral'. ``strict=True``
-    keeps the literal three-rule form where only exactly 0 is neutral and values
-    strictly between the thresholds (other than 0) get NULL."""
-    c = F.col(score) if isinstance(score, str) else score
-    b = F.when(c >= pos, F.lit("positive")).when(c <= neg, F.lit("negative"))
-    return b.when(c == 0, F.lit("neutral")) if strict else b.otherwise(F.lit("neutral"))
-
-
 def daily_mean(df: DataFrame, date: Column | str, value: str, out: str = "avg_sentiment") -> DataFrame:
     d = F.col(date) if isinstance(date, str) else date
     return df.groupBy(d.alias("date")).agg(F.avg(F.col(value)).alias(out),
                                            F.count(F.lit(1)).alias("n_docs"))
 
-
-def parse_tweet_time(c: Column | str) -> Column:
-    """'Mon May 01 12:00:00 +0000 2017' → timestamp. The day-of-week field is
-    dropped (its parser pattern is rejected by the current datetime parser) and the
-    rest is parsed; malformed text gives NULL instead of failing the job."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(F.substring(col, 5, 1 << 20), F.lit("MMM dd HH:mm:ss Z yyyy"))
-
-
-def parse_compact_time(c: Column | str) -> Column:
-    """'20240101T000007' → timestamp."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(col, F.lit("yyyyMMdd'T'HHmmss"))
-
-
-def feed_rows(feed_json: Column | str, item_schema: str, feed_field: str = "feed") -> Column:
-    """JSON text ``{"feed": [ {...}, ... ]}`` → array of structs (explode it)."""
-    col = F.col(feed_json) if isinstance(feed_json, str) else feed_json
-    return F.from_json(col, f"struct<{feed_field}: array<struct<{item_schema}>>>")[feed_field]
-
-
-def to_json_value(*cols: str) -> Column:
-    """Row → JSON text, as the ``value`` of a message."""
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.functions.columns import direction_label, inverse_scale  # noqa: F401
+
 from orrery.operators.scalar_join import attach_scalar
 
 
@@ -126,11 +128,6 @@ def minmax_scale(df: DataFrame, series: str | None, value: str, out: str | None
                                 .otherwise((v - F.col("scale_min")) / rng))
 
 
-def inverse_scale(x: Column, lo: Column, hi: Column) -> Column:
-    """min + x * (max - min)."""
-    return lo + x * (hi - lo)
-
-
 def latest_per_series(df: DataFrame, series: str, date: str, cols: list[str]) -> DataFrame:
     """Top-1 row per series by date, as a one-pass ``max_by`` aggregate."""
     packed = F.struct(*[F.col(c) for c in [date] + cols])
@@ -145,9 +142,3 @@ def append_forecast_row(df: DataFrame, series: str, date: str, value: str) -> Da
              .withColumn(value, F.lit(None).cast("double")))
     return df.unionByName(nxt, allowMissingColumns=True)
 
-
-def direction_label(change: Column) -> Column:
-    """'rises' / 'falls' / 'same' from a signed change."""
-    return (F.when(change > 0, F.lit("rises"))
-             .when(change < 0, F.lit("falls"))
-             .otherwise(F.lit("same")))
