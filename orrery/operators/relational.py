@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from orrery.operators.scalar_join import attach_scalar
 from orrery.operators.skew import explode_count, ranked
+from orrery.session import cut_lineage
 
 
 # ---------------------------------------------------------------- filters
@@ -92,14 +93,15 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], bins: in
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                    F.col(c).cast("double").alias("v"))
                                           for c in cols])).alias("s")).select("s.*")
-    vc = (long.filter(F.col("v").isNotNull())
-              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    # (value, count) is read by every later step: materialise it once
+    vc = cut_lineage(long.filter(F.col("v").isNotNull())
+                         .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt")))
     cuts = vc.groupBy("column_name").agg(
         F.percentile_approx("v", [i / bins for i in range(1, bins)], 1000).alias("cuts"),
         F.sum("cnt").alias("n"))
-    vb = (vc.join(F.broadcast(cuts), "column_name")  # one row per column
-            .withColumn("bucket", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
-            .drop("cuts"))
+    vb = cut_lineage(vc.join(F.broadcast(cuts), "column_name")  # one row per column
+                       .withColumn("bucket", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
+                       .drop("cuts"))
     bk = vb.groupBy("column_name", "bucket", "n").agg(F.sum("cnt").alias("bcnt"))
     wb = Window.partitionBy("column_name").orderBy("bucket")
     bk = bk.withColumn("bend", F.sum("bcnt").over(wb)).withColumn("bstart", F.col("bend") - F.col("bcnt"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.skew import salted_self_join
+from orrery.session import cut_lineage
 
 FREE = "*"
 # Week layout of the timetable.
@@ -33,7 +34,8 @@ def conflict_edges(enrol: DataFrame, student: str = "student", course: str = "co
     least one student (both directions, irreflexive). Enrolments are deduplicated
     first; students with more than ``salt_threshold`` courses are split over
     ``salts`` tasks so one hot student does not produce all its pairs in one task."""
-    e = enrol.select(F.col(student).alias("_s"), F.col(course).alias("_c")).distinct()
+    # both join sides and the heavy-key count read the deduplicated enrolments
+    e = cut_lineage(enrol.select(F.col(student).alias("_s"), F.col(course).alias("_c")).distinct())
     left, right = salted_self_join(e, e, "_s", "_c", salt_threshold, salts)
     a = left.select("_s", "_salt", F.col("_c").alias("course_a"))
     b = right.select("_s", "_salt", F.col("_c").alias("course_b"))
@@ -72,16 +74,15 @@ def precedence_violations(assign: DataFrame, duration: int = 1) -> DataFrame:
         "course", "lesson", "slot", "next_lesson", "next_slot")
 
 
-def cells(n_rooms: Column) -> Column:
-    """Array of (room, slot) structs for rooms 0..n_rooms-1 and all slots."""
-    return F.flatten(F.transform(F.sequence(F.lit(0), n_rooms - 1), lambda r: F.transform(
-        F.sequence(F.lit(0), F.lit(N_SLOTS - 1)), lambda s: F.struct(r.alias("room"), s.alias("slot")))))
-
-
 def grid(assign: DataFrame, rooms: DataFrame) -> DataFrame:
     """(room, slot, content): the lowest course assigned to the cell, '*' if none.
-    ``rooms`` is a one-row frame with ``n_rooms``."""
-    all_cells = rooms.select(F.explode(cells(F.col("n_rooms"))).alias("c")).select("c.room", "c.slot")
+    ``rooms`` is a one-row frame with ``n_rooms``; the cells are generated by a
+    distributed ``range`` over rooms (one scalar read), each room row exploding
+    into its slots, so no task builds the whole grid."""
+    spark = assign.sparkSession
+    n_rooms = int(rooms.first()["n_rooms"])
+    all_cells = spark.range(n_rooms).select(F.col("id").cast("int").alias("room"),
+                                            F.explode(F.sequence(F.lit(0), F.lit(N_SLOTS - 1))).alias("slot"))
     occupied = assign.groupBy("room", "slot").agg(F.min("course").alias("_c"))
     return (all_cells.join(occupied, ["room", "slot"], "left")
                      .select("room", "slot", F.coalesce(F.col("_c").cast("string"), F.lit(FREE)).alias("content")))
