@@ -110,7 +110,7 @@ def forest_prefix_error(model, test: DataFrame, id_col: str, max_trees: int | No
 
 def gbt_iteration_error(model, test: DataFrame) -> DataFrame:
     """Loss of a binary GBT after each boosting iteration (built-in evaluation)."""
-    loss = model.evaluateEachIteration(test, "logistic")
+    loss = model.evaluateEachIteration(test)  # the model's own loss (logistic)
     spark = test.sparkSession
     return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(loss)], "k int, loss double")
 

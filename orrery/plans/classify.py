@@ -41,6 +41,15 @@ def q_knn_vote(spark, sf):
         F.col("test_id").alias("vec_id"), "label", F.col("pred").cast("int").alias("pred"))
 
 
+def q_knn_vote_weighted(spark, sf):
+    """k = 5, Manhattan distance, votes weighted by 1 / distance."""
+    train, test = _parts(spark, sf)
+    nb = cl.knn_neighbors(train, test, "vec_id", "label", FEATS, K, metric="l1")
+    p = cl.knn_vote(nb, weighted=True)
+    return p.join(test.select(F.col("vec_id").alias("test_id"), "label"), "test_id").select(
+        F.col("test_id").alias("vec_id"), "label", F.col("pred").cast("int").alias("pred"))
+
+
 def q_knn_k_sweep(spark, sf):
     nb, test = neighbours(spark, sf, K_MAX)
     s = cl.knn_k_sweep(nb, test, "vec_id", "label", K_MAX)
@@ -59,6 +68,7 @@ QUERIES = {
     "standardize": q_standardize,
     "balanced_weights": q_balanced_weights,
     "knn_vote": q_knn_vote,
+    "knn_vote_weighted": q_knn_vote_weighted,
     "knn_k_sweep": q_knn_k_sweep,
     "clf_nb": q_clf_nb,
 }
@@ -69,6 +79,11 @@ tr AS (SELECT * FROM ho WHERE split = 'train'), te AS (SELECT * FROM ho WHERE sp
 nb AS (SELECT t.vec_id, t.label, r.vec_id AS nb_id, r.label AS nb_label,
          row_number() OVER (PARTITION BY t.vec_id ORDER BY {_DIST}, r.vec_id) AS nb_rank
        FROM te t, tr r)"""
+_L1 = " + ".join(f"abs(t.f{i} - r.f{i})" for i in range(N_FEATS))
+NB1_SQL = f"""{HOLDOUT_SQL},
+tr AS (SELECT * FROM ho WHERE split = 'train'), te AS (SELECT * FROM ho WHERE split = 'test'),
+d AS (SELECT t.vec_id, t.label, r.vec_id AS nb_id, r.label AS nb_label, {_L1} AS dist FROM te t, tr r),
+nb AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nb_id) AS nb_rank FROM d)"""
 _LONG_TR = " UNION ALL ".join(f"SELECT label AS cls, {i} AS j, f{i} AS x FROM tr" for i in range(N_FEATS))
 _LONG_TE = " UNION ALL ".join(f"SELECT vec_id, label, {i} AS j, f{i} AS x FROM te" for i in range(N_FEATS))
 
@@ -83,6 +98,10 @@ SELECT vec_id, ho.label, round((SELECT sum(nc) FROM c) / ((SELECT count(*) FROM
 FROM ho JOIN c USING (label)""",
     "knn_vote": f"""WITH {NB_SQL},
 v AS (SELECT vec_id, label, nb_label, count(*) AS votes FROM nb WHERE nb_rank <= {K} GROUP BY 1, 2, 3)
+SELECT vec_id, label, CAST(nb_label AS INTEGER) AS pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, nb_label) AS rn FROM v) WHERE rn = 1""",
+    "knn_vote_weighted": f"""WITH {NB1_SQL},
+v AS (SELECT vec_id, label, nb_label, sum(1.0 / dist) AS votes FROM nb WHERE nb_rank <= {K} GROUP BY 1, 2, 3)
 SELECT vec_id, label, CAST(nb_label AS INTEGER) AS pred FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, nb_label) AS rn FROM v) WHERE rn = 1""",
     "knn_k_sweep": f"""WITH {NB_SQL},

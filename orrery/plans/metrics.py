@@ -57,6 +57,13 @@ def q_roc_auc(spark, sf):
     return mt.roc_auc(p).select(rnd("auc", 6).alias("auc"))
 
 
+def q_roc_auc_per_class(spark, sf):
+    """One-vs-rest ROC AUC per class of the multiclass scores."""
+    m = multiclass_scores(spark, sf)
+    a = mt.ovr_auc(m, "label", {c: f"p{c}" for c in CLASSES})
+    return a.select(F.col("cls").cast("int").alias("cls"), rnd("auc", 6).alias("auc"), "support")
+
+
 def q_regression_metrics(spark, sf):
     p = event_prices(spark, sf)
     lf = ts.lag_features(p, "series", "date", "close", 10)
@@ -95,6 +102,7 @@ QUERIES = {
     "clf_metrics": q_clf_metrics,
     "roc_points": q_roc_points,
     "roc_auc": q_roc_auc,
+    "roc_auc_per_class": q_roc_auc_per_class,
     "regression_metrics": q_regression_metrics,
     "leaderboard": q_leaderboard,
     "accuracy": q_accuracy,
@@ -144,6 +152,14 @@ wa AS (SELECT sum(auc * support) / sum(support) AS weighted_auc FROM auc)
 SELECT (SELECT count(*) FROM m) AS n,
   round((SELECT avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) FROM m), 6) AS accuracy,
   round((SELECT macro_f1 FROM f1), 6) AS macro_f1, round((SELECT weighted_auc FROM wa), 6) AS weighted_auc""",
+    "roc_auc_per_class": f"""WITH {MC_SQL},
+lg AS ({_LONG}),
+c AS (SELECT cls, p, sum(CASE WHEN label = cls THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN label = cls THEN 0 ELSE 1 END) AS neg FROM lg GROUP BY cls, p),
+r AS (SELECT *, sum(pos) OVER (PARTITION BY cls ORDER BY p DESC) AS cum_pos,
+        sum(pos) OVER (PARTITION BY cls) AS PP, sum(neg) OVER (PARTITION BY cls) AS NN FROM c)
+SELECT CAST(cls AS INTEGER) AS cls, round(sum(neg * (2 * cum_pos - pos) / (2.0 * PP * NN)), 6) AS auc,
+  CAST(max(PP) AS BIGINT) AS support FROM r GROUP BY cls""",
     "roc_points": f"""WITH {BIN_SQL}
 SELECT threshold, pos, neg, round(cum_pos / P, 6) AS tpr, round(cum_neg / N, 6) AS fpr FROM r""",
     "roc_auc": f"""WITH {BIN_SQL}

@@ -108,6 +108,15 @@ def q_tree_sweep(spark, sf):
     return md.forest_prefix_error(m, test, "vec_id").select("k", rnd("error_rate", 6).alias("error_rate"))
 
 
+def q_gbt_sweep(spark, sf):
+    """Binary boosted trees (label >= 5): test log-loss after each of 20 iterations."""
+    from pyspark.ml.classification import GBTClassifier
+    train, test = parts(spark, sf)
+    binar = lambda df: df.withColumn("label", (F.col("label") >= 5).cast("double"))
+    m = GBTClassifier(featuresCol="fv", labelCol="label", maxIter=20, seed=SEED).fit(binar(train))
+    return md.gbt_iteration_error(m, binar(test)).select("k", rnd("loss", 6).alias("loss"))
+
+
 def q_feature_importance(spark, sf):
     m, _ = forest(spark, sf)
     return md.importances(m, FEATS, spark).orderBy(F.col("importance").desc(), "feature")
@@ -130,6 +139,7 @@ QUERIES = {
     "clf_forest": q_clf_forest,
     "clf_svm": q_clf_svm,
     "tree_sweep": q_tree_sweep,
+    "gbt_sweep": q_gbt_sweep,
     "feature_importance": q_feature_importance,
     "pca_explained": q_pca_explained,
 }

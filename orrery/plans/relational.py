@@ -110,7 +110,14 @@ def q_csv_roundtrip(spark, sf):
     return files.read_csv(spark, path, CUST_SCHEMA, sep=";", multiline=True)
 
 
+def q_first_rows(spark, sf):
+    """First 10 rows under the lineitem key order: a bounded top-k (TakeOrdered)."""
+    li = Tables(spark, sf).lineitem.select(*LI_KEY, "l_quantity", "l_extendedprice")
+    return li.orderBy(*LI_KEY).limit(10)
+
+
 QUERIES = {
+    "first_rows": q_first_rows,
     "prefix_filter": q_prefix_filter,
     "row_slice": q_row_slice,
     "null_profile": q_null_profile,
@@ -138,6 +145,8 @@ _desc = " UNION ALL ".join(
   round(quantile_cont({c}, 0.75), 4) AS q75, round(max({c}), 4) AS max FROM lineitem""" for c in NUM)
 
 ORACLE = {
+    "first_rows": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem
+ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 10""",
     "prefix_filter": """SELECT p_partkey, p_type, p_brand FROM part
 WHERE starts_with(p_type, 'S') AND p_brand <> 'Brand#13'""",
     "row_slice": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, row_pos FROM (
