@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.scalar_join import attach_scalar
-from orrery.operators.skew import explode_count, ranked
+from orrery.operators.skew import explode_count, ranked, running_total
 from orrery.session import cut_lineage
 
 
@@ -114,11 +114,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], bins: in
     wb2 = want.join(bk, ["column_name", "n"]).filter(
         (F.col("pos") >= F.col("bstart")) & (F.col("pos") < F.col("bend")))
     need = wb2.select("column_name", "bucket").distinct()
-    wv = Window.partitionBy("column_name", "bucket").orderBy("v")
+    # exact running counts inside the needed buckets, with the distributed running
+    # total (a hot bucket is split over range partitions, no single-task window)
     fine = (vb.join(need, ["column_name", "bucket"], "left_semi")
-              .join(bk.select("column_name", "bucket", "bstart"), ["column_name", "bucket"])
-              .withColumn("cend", F.col("bstart") + F.sum("cnt").over(wv))
-              .withColumn("cstart", F.col("cend") - F.col("cnt")))
+              .join(bk.select("column_name", "bucket", "bstart"), ["column_name", "bucket"]))
+    fine = running_total(fine, ["v"], "cnt", partition=["column_name", "bucket"], out="_cum")
+    fine = (fine.withColumn("cend", F.col("bstart") + F.col("_cum"))
+                .withColumn("cstart", F.col("cend") - F.col("cnt")))
     hit = (wb2.select("column_name", "bucket", "prob", "h", "pos")
               .join(fine.select("column_name", "bucket", "v", "cstart", "cend"), ["column_name", "bucket"])
               .filter((F.col("pos") >= F.col("cstart")) & (F.col("pos") < F.col("cend"))))
