@@ -17,7 +17,7 @@ KEYS = ["series", "target_date"]
 
 
 def lagged(spark, sf):
-    lf = ts.lag_features(scaled_split(spark, sf), "series", "date", "x", N_LAGS)
+    lf = ts.lag_features(scaled_split(spark, sf), "series", "date", "x", N_LAGS, hot_series_rows=None)
     return fc.with_vector(lf)
 
 
@@ -38,7 +38,7 @@ def sentiment_lagged(spark, sf, split_days=5):
     p = event_prices(spark, sf).join(daily_sentiment(spark, sf).select("date", "avg_sentiment"), "date", "left")
     p = ts.time_split(p, "series", "date", split_days)
     p = ts.minmax_scale(p, "series", "close", out="x", fit_mask=F.col("split") == "train")
-    lf = ts.lag_features(p, "series", "date", "x", N_LAGS, extra=["avg_sentiment"])
+    lf = ts.lag_features(p, "series", "date", "x", N_LAGS, extra=["avg_sentiment"], hot_series_rows=None)
     return fc.with_vector(lf)
 
 

@@ -42,7 +42,7 @@ def q_pred_actual_join(spark, sf):
     """Keyed predictions (mean of the last 10 days, for ``target_date``) joined to
     the actual value of that day on (series, date) — no positional zip."""
     p = event_prices(spark, sf)
-    lf = ts.lag_features(p, "series", "date", "close", 10)
+    lf = ts.lag_features(p, "series", "date", "close", 10, hot_series_rows=None)
     pred = lf.select("series", F.col("target_date").alias("date"),
                      F.aggregate("features", F.lit(0.0), lambda a, b: a + b).alias("_s"))
     pred = pred.select("series", "date", (F.col("_s") / 10).alias("prediction"))

@@ -66,7 +66,7 @@ def q_roc_auc_per_class(spark, sf):
 
 def q_regression_metrics(spark, sf):
     p = event_prices(spark, sf)
-    lf = ts.lag_features(p, "series", "date", "close", 10)
+    lf = ts.lag_features(p, "series", "date", "close", 10, hot_series_rows=None)
     pr = lf.select("series", (F.aggregate("features", F.lit(0.0), lambda a, b: a + b) / 10).alias("pred"), "label")
     r = mt.regression_metrics(pr, "label", "pred", ["series"])
     return r.select("series", "n", rnd("mae", 6).alias("mae"), rnd("mse", 6).alias("mse"),
@@ -75,7 +75,7 @@ def q_regression_metrics(spark, sf):
 
 def baseline_errors(spark, sf):
     """Next-day forecasts of three baseline models on the priority series."""
-    lf = ts.lag_features(prices(spark, sf), "series", "date", "close", 10)
+    lf = ts.lag_features(prices(spark, sf), "series", "date", "close", 10, hot_series_rows=None)
     f = F.col("features")
     preds = {"last_value": f[9], "mean_3": (f[7] + f[8] + f[9]) / 3,
              "mean_10": F.aggregate(f, F.lit(0.0), lambda a, b: a + b) / 10}

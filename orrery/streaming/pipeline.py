@@ -100,7 +100,7 @@ def forecast_batch(sink: str, n_lags: int = 10, seed: int = 42):
         daily = ts.series_daily(batch, "event_type", "ts", "value", out="close")
         full = ts.append_forecast_row(daily, "event_type", "date", "close")
         lf = ts.lag_features(full, "event_type", "date", "close", n_lags, include_current=False,
-                             keep_null_label=True)
+                             keep_null_label=True, hot_series_rows=None)  # daily rows
         lf = fc.with_vector(lf)
         train = lf.filter(F.col("label").isNotNull())
         todo = lf.filter(F.col("label").isNull())
