@@ -10,7 +10,7 @@ from orrery.operators import metrics as mt
 from orrery.operators import models as md
 from orrery.operators import split as sp
 from orrery.plans.common import rnd
-from orrery.plans.ml_common import FEATS, SEED, with_holdout
+from orrery.plans.ml_common import FEATS, HOLDOUT_SQL, SEED, with_holdout
 
 CLASSES = list(range(10))
 
@@ -46,6 +46,22 @@ def q_clf_qda(spark, sf):
     return _discriminant(spark, sf, True)
 
 
+def q_class_moments(spark, sf):
+    """The statistics LDA / QDA are fitted on: per class and feature pair, the
+    unbiased covariance from ONE pass of sums (n, Σx, Σxxᵀ) on the train rows."""
+    from orrery.operators.regress import gram_stats
+    train, _ = parts(spark, sf)
+    st = gram_stats(train.withColumn("_one", F.lit(0.0)), "_one", FEATS, ["label"])
+    p = len(FEATS)
+    cov = lambda i, j: ((F.col(f"sxx_{i}_{j}") - F.col(f"sx_{i}") * F.col(f"sx_{j}") / F.col("n"))
+                        / (F.col("n") - 1))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), cov(i, j).alias("cov"),
+                                         (F.col(f"sx_{i}") / F.col("n")).alias("mean_i"))
+                                for i in range(p) for j in range(i, p)]))
+    return st.select(F.col("label").cast("int").alias("label"), "n", pairs.alias("s")).select(
+        "label", "n", "s.i", "s.j", rnd("s.cov", 9).alias("cov"), rnd("s.mean_i", 9).alias("mean_i"))
+
+
 def logistic_cv(spark, sf):
     train, test = parts(spark, sf)
     train = cl.balanced_weights(sp.kfold(train, "vec_id", 3, SEED), "label")
@@ -131,6 +147,7 @@ def q_pca_explained(spark, sf):
 QUERIES = {
     "clf_lda": q_clf_lda,
     "clf_qda": q_clf_qda,
+    "class_moments": q_class_moments,
     "clf_logistic": q_clf_logistic,
     "clf_coefficients": q_clf_coefficients,
     "grid_search": q_grid_search,
@@ -143,4 +160,12 @@ QUERIES = {
     "feature_importance": q_feature_importance,
     "pca_explained": q_pca_explained,
 }
-ORACLE: dict = {}
+_LONG_SQL = " UNION ALL ".join(f"SELECT vec_id, label, {i} AS i, f{i} AS x FROM tr" for i in range(len(FEATS)))
+ORACLE = {
+    "class_moments": f"""WITH {HOLDOUT_SQL},
+tr AS (SELECT * FROM ho WHERE split = 'train'),
+lg AS ({_LONG_SQL})
+SELECT a.label, count(*) AS n, a.i, b.i AS j, round(covar_samp(a.x, b.x), 9) + 0.0 AS cov,
+  round(avg(a.x), 9) + 0.0 AS mean_i
+FROM lg a JOIN lg b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.label, a.i, b.i""",
+}
