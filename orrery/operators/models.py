@@ -51,6 +51,45 @@ def grid_search(est, grid: list, train: DataFrame, fold_col: str | None = None,
     return m.bestModel, g
 
 
+def logistic_c_grid(train: DataFrame, cs: list[float], weight_cols: dict, fold_col: str, num_folds: int,
+                    parallelism: int | None = None, seed: int = 42, tol: float = 1e-4):
+    """Grid over inverse regularisation C (regParam = 1 / (C · n)), class weighting
+    and the multiclass strategy (multinomial softmax vs one-vs-rest binary fits),
+    each point scored by k-fold accuracy. ``weight_cols`` maps a weighting name to
+    a weight column (a column of ones = unweighted). Returns (best model, grid).
+
+    The fits are tiny and latency-bound (one Spark job per optimizer iteration), so
+    all grid points run concurrently (``parallelism`` defaults to the grid size) and
+    one-vs-rest fits its classes concurrently; ``tol`` = 1e-4 is the usual in-memory
+    default tolerance."""
+    n = train.count()
+    spark = train.sparkSession
+    rows, best = [], (None, -1.0)
+    for strategy in ("multinomial", "ovr"):
+        lr = LogisticRegression(featuresCol="fv", labelCol="label", maxIter=100, tol=tol,
+                                family="multinomial" if strategy == "multinomial" else "binomial")
+        est = lr if strategy == "multinomial" else OneVsRest(classifier=lr, featuresCol="fv", labelCol="label",
+                                                           parallelism=10)
+        maps, desc = [], []
+        for c in cs:
+            for wname, wcol in weight_cols.items():
+                if strategy == "multinomial":
+                    maps.append({lr.regParam: 1.0 / (c * n), lr.weightCol: wcol})
+                else:
+                    inner = lr.copy({lr.regParam: 1.0 / (c * n)})
+                    maps.append({est.classifier: inner, est.weightCol: wcol})
+                desc.append((strategy, float(c), wname))
+        cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=accuracy_evaluator(),
+                            numFolds=num_folds, parallelism=parallelism or len(maps), seed=seed, foldCol=fold_col)
+        m = cv.fit(train)
+        for d, acc in zip(desc, m.avgMetrics):
+            rows.append((*d, float(acc)))
+        if max(m.avgMetrics) > best[1]:
+            best = (m.bestModel, max(m.avgMetrics))
+    g = spark.createDataFrame(rows, "strategy string, c double, weighting string, mean_accuracy double")
+    return best[0], g
+
+
 def logistic(weight_col: str | None = None, family: str = "multinomial"):
     lr = LogisticRegression(featuresCol="fv", labelCol="label", family=family, maxIter=100)
     return lr.setWeightCol(weight_col) if weight_col else lr
