@@ -29,22 +29,31 @@ def _cols(cs):
 def ranked(df: DataFrame, order: list, partition: list[str] | None = None,
            out: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """Add a 1-based row number of each row within ``partition`` (or globally) under
-    the total order ``order``. Ties must be broken by the caller (include a key)."""
+    the total order ``order``. Ties must be broken by the caller (include a key).
+
+    One shuffle: range partitioning on (partition, order) with a sort inside each
+    range partition, materialised by a reliable checkpoint. On the checkpoint the
+    position of a row inside its range partition is fixed, so
+    ``monotonically_increasing_id`` (partition index << 33 | position) gives it
+    without another shuffle. A small table of (range partition, group) → first
+    position and row count yields the offsets; it has one row per range partition
+    when ranking globally (broadcast, bounded by the partition count).
+    """
     partition = partition or []
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(partition) + _cols(order)
-    r = (df.repartitionByRange(n, *keys)
-           .withColumn("_pid", F.spark_partition_id()))
-    # the same partition contents must be seen by the count and the numbering pass
-    r = cut_lineage(r)
-    counts = r.groupBy("_pid", *partition).agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))).drop("_n")
-    w = Window.partitionBy("_pid", *partition).orderBy(*_cols(order))
-    return (r.join(offsets, ["_pid", *partition])
-             .withColumn(out, F.col("_off") + F.row_number().over(w))
-             .drop("_pid", "_off"))
+    r = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    r = (r.withColumn("__rk_pid", F.spark_partition_id())
+          .withColumn("__rk_idx", F.monotonically_increasing_id() - F.shiftleft(F.col("__rk_pid").cast("long"), 33)))
+    firsts = r.groupBy("__rk_pid", *partition).agg(F.min("__rk_idx").alias("__rk_first"), F.count(F.lit(1)).alias("__rk_n"))
+    wo = Window.partitionBy(*partition).orderBy("__rk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = firsts.withColumn("__rk_off", F.coalesce(F.sum("__rk_n").over(wo), F.lit(0))).drop("__rk_n")
+    if not partition:
+        offsets = F.broadcast(offsets)  # one row per range partition
+    return (r.join(offsets, ["__rk_pid", *partition])
+             .withColumn(out, F.col("__rk_off") + F.col("__rk_idx") - F.col("__rk_first") + 1)
+             .drop("__rk_pid", "__rk_idx", "__rk_first", "__rk_off"))
 
 
 def running_total(df: DataFrame, order: list, value, partition: list[str] | None = None,
