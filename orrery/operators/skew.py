@@ -56,29 +56,82 @@ def ranked(df: DataFrame, order: list, partition: list[str] | None = None,
              .drop("__rk_pid", "__rk_idx", "__rk_first", "__rk_off"))
 
 
+# offsets tables up to this many rows are shipped to the tasks as a parameter
+OFFSETS_BROADCAST_ROWS = 100_000
+
+
 def running_total(df: DataFrame, order: list, value, partition: list[str] | None = None,
                   out="cum", num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sum(s) of ``value`` (a column name or a list of them) under
-    a total ``order`` (within ``partition``), computed like ``ranked``: totals per
-    range partition, their prefix sums as offsets, and a running sum inside each
-    range partition. Several value columns share one range partitioning."""
+    a total ``order`` (within ``partition``).
+
+    One shuffle: range partitioning on (partition, order), sorted inside each range
+    partition and materialised by a reliable checkpoint. Totals per (range
+    partition, group) give each partition's starting offsets (a table of at most
+    partitions + groups rows). When that table is small (a bounded read), a vectorised
+    pass over each sorted partition carries the running sums from the offsets — no
+    second shuffle; otherwise offsets are joined and a window per (range
+    partition, group) adds the local running sum.
+    """
+    import numpy as np
+    import pandas as pd
+
     partition = partition or []
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(partition) + _cols(order)
-    r = cut_lineage(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
-    tot = r.groupBy("_pid", *partition).agg(*[F.sum(v).alias(f"_t{i}") for i, v in enumerate(values)])
-    wo = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select("_pid", *partition, *[F.coalesce(F.sum(f"_t{i}").over(wo), F.lit(0)).alias(f"_o{i}")
-                                               for i in range(len(values))])
-    w = (Window.partitionBy("_pid", *partition).orderBy(*_cols(order))
+    r = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    r = r.withColumn("__rt_pid", F.spark_partition_id())
+    tot = r.groupBy("__rt_pid", *partition).agg(*[F.sum(v).alias(f"__rt_t{i}") for i, v in enumerate(values)])
+    types = dict(df.dtypes)
+    out_types = ["bigint" if types[v] in ("int", "bigint", "smallint", "tinyint") else "double" for v in values]
+
+    head = tot.limit(OFFSETS_BROADCAST_ROWS + 1).collect()  # bounded read of a small table
+    if len(head) <= OFFSETS_BROADCAST_ROWS:
+        table, acc = {}, {}
+        for row in sorted(head, key=lambda x: (tuple(str(x[c]) for c in partition), x["__rt_pid"])):
+            g = tuple(row[c] for c in partition)
+            prev = acc.get(g, [0] * len(values))
+            table[(row["__rt_pid"],) + g] = list(prev)
+            acc[g] = [a + (row[f"__rt_t{i}"] or 0) for i, a in enumerate(prev)]
+        bc = spark.sparkContext.broadcast(table)
+        schema = ", ".join(f"`{c}` {t}" for c, t in r.dtypes) + ", " + ", ".join(
+            f"`{o}` {t}" for o, t in zip(outs, out_types))
+
+        def carry(batches):
+            offs = bc.value
+            run = {}  # group -> running sums inside this range partition
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                gkeys = list(zip(pdf["__rt_pid"], *[pdf[c] for c in partition])) if partition else \
+                    [(p,) for p in pdf["__rt_pid"]]
+                codes, uniq = pd.factorize(pd.Series(gkeys, dtype=object))
+                for i, v in enumerate(values):
+                    col = pdf[v].fillna(0).to_numpy()
+                    local = pd.Series(col).groupby(codes).cumsum().to_numpy()
+                    base = np.array([run.get((g, i), offs.get(g, [0] * len(values))[i] or 0) for g in uniq])
+                    pdf[outs[i]] = base[codes] + local
+                    last = pd.Series(pdf[outs[i]].to_numpy()).groupby(codes).last()
+                    for code, val in last.items():
+                        run[(uniq[code], i)] = val
+                yield pdf
+
+        res = r.mapInPandas(carry, schema)
+        return res.drop("__rt_pid")
+
+    wo = Window.partitionBy(*partition).orderBy("__rt_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tot.select("__rt_pid", *partition,
+                         *[F.coalesce(F.sum(f"__rt_t{i}").over(wo), F.lit(0)).alias(f"__rt_o{i}")
+                           for i in range(len(values))])
+    w = (Window.partitionBy("__rt_pid", *partition).orderBy(*_cols(order))
                .rowsBetween(Window.unboundedPreceding, 0))
-    res = r.join(offsets, ["_pid", *partition])
+    res = r.join(offsets, ["__rt_pid", *partition])
     for i, (v, o) in enumerate(zip(values, outs)):
-        res = res.withColumn(o, F.col(f"_o{i}") + F.sum(v).over(w))
-    return res.drop("_pid", *[f"_o{i}" for i in range(len(values))])
+        res = res.withColumn(o, F.col(f"__rt_o{i}") + F.sum(v).over(w))
+    return res.drop("__rt_pid", *[f"__rt_o{i}" for i in range(len(values))])
 
 
 def heavy_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
