@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orrery.plans.common import rnd
 from orrery.plans.text import SCORED_SQL, daily_sentiment
 from orrery.sources.files import scratch_path
-from orrery.streaming import pipeline as sp
+from orrery.streaming import hops as sp
 
 PRED_SCHEMA = "stock string, date date, prediction double, close double"
 
