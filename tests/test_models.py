@@ -155,3 +155,23 @@ def test_discriminant_model_size(spark, parts):
     h = with_holdout(spark, SF_SMALL)
     m = md.fit_discriminant(h.filter(F.col("split") == "train"), "label", FEATS, quadratic=True)
     assert m["prec"].shape == (10, len(FEATS), len(FEATS))
+
+
+def test_batched_ovr_newton_matches_spark_lr(spark):
+    """One (weighting, C, fold, class) model of the batched Newton grid equals Spark's
+    binomial LogisticRegression on the same rows under regParam = 1 / (C · Σw)."""
+    from pyspark.ml.classification import LogisticRegression
+    from orrery.operators import split as spl
+    h = with_holdout(spark, SF_SMALL).filter(F.col("split") == "train")
+    h = spl.kfold(h, "vec_id", 3, 42).withColumn("w1", F.lit(1.0))
+    feats = FEATS[:6]
+    cs = [0.5]
+    theta, index, classes = md.ovr_logistic_grid_newton(h, feats, "label", "fold", [0, 1, 2], {"none": "w1"}, cs)
+    k, f = classes[3], 1
+    row = index.index(("none", 0.5, f, k))
+    tr = h.filter(F.col("fold") != f).withColumn("y", (F.col("label") == k).cast("double"))
+    n = tr.count()
+    m = LogisticRegression(featuresCol="fv", labelCol="y", family="binomial", regParam=1.0 / (0.5 * n),
+                           standardization=False, tol=1e-10, maxIter=500).fit(md.assemble(tr, feats))
+    assert np.allclose(theta[row, :-1], m.coefficients.toArray(), atol=1e-4)
+    assert theta[row, -1] == pytest.approx(m.intercept, abs=1e-4)
