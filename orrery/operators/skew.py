@@ -8,8 +8,7 @@
 * ``salted_self_join`` — self equi-join where keys with many rows are split into
   ``salts`` sub-keys on one side and replicated on the other, so a key holding a
   third of all rows is worked on by many tasks. Only keys above a threshold are
-  salted; their list is bounded (at most rows / threshold keys) and so can be
-  broadcast.
+  salted, at most the 10,000 largest: the broadcast key list has a fixed bound.
 * ``explode_count`` — expand (row, n) into n rows in bounded chunks, so one huge
   count does not become one huge array in one task.
 """
@@ -134,10 +133,18 @@ def running_total(df: DataFrame, order: list, value, partition: list[str] | None
     return res.drop("__rt_pid", *[f"__rt_o{i}" for i in range(len(values))])
 
 
-def heavy_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (at most rows/threshold of them)."""
+# at most this many keys are salted (the broadcast list has a fixed size bound)
+MAX_HEAVY_KEYS = 10_000
+
+
+def heavy_keys(df: DataFrame, key: str, threshold: int, max_keys: int = MAX_HEAVY_KEYS) -> DataFrame:
+    """The (at most ``max_keys``) largest keys with more than ``threshold`` rows.
+    Keys beyond the cap are joined unsalted: the result is the same, only the
+    balance differs."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-              .filter(F.col("_cnt") > threshold).select(key, F.lit(True).alias("_heavy")))
+              .filter(F.col("_cnt") > threshold)
+              .orderBy(F.col("_cnt").desc(), F.col(key)).limit(max_keys)
+              .select(key, F.lit(True).alias("_heavy")))
 
 
 def salted_self_join(left: DataFrame, right: DataFrame, key: str, salt_by: Column | str,
