@@ -57,19 +57,22 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 # ---------------------------------------------------------------- k nearest neighbours
 
 def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, feats: list[str],
-                  k: int, metric: str = "l2", block: int = 2048) -> DataFrame:
+                  k: int, metric: str = "l2", block: int = 2048, group: str | None = None) -> DataFrame:
     """(test_id, nb_id, nb_label, dist, nb_rank) for the k nearest train rows of every
-    test row. Ties in distance are broken by the smaller train id."""
+    test row. Ties in distance are broken by the smaller train id. With ``group``
+    (a column of both frames, e.g. a cross-validation fold) neighbours are searched
+    only inside the same group, and the group is part of the output key."""
     nt, nr = test.count(), train.count()  # sizes decide the blocking, nothing else
     tb = max(1, math.ceil(nt / block))
     rb = max(1, math.ceil(nr / block))
     # fresh names per side: both sides often derive from one frame (a split)
     fa = [f"_a{j}" for j in range(len(feats))]
     fb = [f"_b{j}" for j in range(len(feats))]
-    te = (test.select(F.col(id_col).alias("_id"), *[F.col(c).alias(a) for c, a in zip(feats, fa)])
+    gcols = [F.col(group).alias("_g")] if group else [F.lit(0).alias("_g")]
+    te = (test.select(F.col(id_col).alias("_id"), *gcols, *[F.col(c).alias(a) for c, a in zip(feats, fa)])
               .withColumn("_tb", F.pmod(F.xxhash64("_id"), F.lit(tb)).cast("int"))
               .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
-    tr = (train.select(F.col(id_col).alias("_id"), F.col(label).cast("long").alias("_y"),
+    tr = (train.select(F.col(id_col).alias("_id"), F.col(label).cast("long").alias("_y"), *gcols,
                        *[F.col(c).alias(b) for c, b in zip(feats, fb)])
                .withColumn("_rb", F.pmod(F.xxhash64("_id"), F.lit(rb)).cast("int"))
                .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(tb - 1)))))
@@ -77,7 +80,8 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
 
     def block_topk(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"test_id": pd.Series([], dtype="int64"), "nb_id": pd.Series([], dtype="int64"),
+            return pd.DataFrame({"_g": pd.Series([], dtype="int64"), "test_id": pd.Series([], dtype="int64"),
+                                 "nb_id": pd.Series([], dtype="int64"),
                                  "nb_label": pd.Series([], dtype="int64"), "dist": pd.Series([], dtype="float64")})
         xa = a[fa].to_numpy(dtype=np.float64)
         xb = b[fb].to_numpy(dtype=np.float64)
@@ -91,28 +95,59 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
         rows = np.repeat(np.arange(len(xa)), kk)
         cols = order.ravel()
         dist = d[rows, cols]
-        return pd.DataFrame({"test_id": a["_id"].to_numpy()[rows], "nb_id": ids[cols],
+        return pd.DataFrame({"_g": np.full(len(rows), int(a["_g"].iloc[0]), dtype="int64"),
+                             "test_id": a["_id"].to_numpy()[rows], "nb_id": ids[cols],
                              "nb_label": b["_y"].to_numpy()[cols],
                              "dist": dist if l1 else np.sqrt(dist)})
 
-    cand = (te.groupBy("_tb", "_rb").cogroup(tr.groupBy("_tb", "_rb"))
-              .applyInPandas(block_topk, "test_id long, nb_id long, nb_label long, dist double"))
-    w = Window.partitionBy("test_id").orderBy("dist", "nb_id")
-    return cand.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
+    cand = (te.groupBy("_tb", "_rb", "_g").cogroup(tr.groupBy("_tb", "_rb", "_g"))
+              .applyInPandas(block_topk, "_g long, test_id long, nb_id long, nb_label long, dist double"))
+    w = Window.partitionBy("_g", "test_id").orderBy("dist", "nb_id")
+    out = cand.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
+    return out.withColumnRenamed("_g", group) if group else out.drop("_g")
 
 
 def knn_vote(neigh: DataFrame, k: int | None = None, weighted: bool = False,
-             k_col: str | None = None) -> DataFrame:
+             k_col: str | None = None, extra_keys: list[str] | None = None) -> DataFrame:
     """Majority (or 1/distance-weighted) vote; ties go to the smallest label.
-    With ``k_col`` the vote is per (test_id, k)."""
+    With ``k_col`` the vote is per (test_id, k); ``extra_keys`` (e.g. a fold) are
+    kept in the key."""
     n = neigh if k is None else neigh.filter(F.col("nb_rank") <= k)
-    keys = ["test_id"] + ([k_col] if k_col else [])
+    keys = (extra_keys or []) + ["test_id"] + ([k_col] if k_col else [])
     wgt = (1.0 / F.col("dist")) if weighted else F.lit(1.0)
     votes = n.groupBy(*keys, "nb_label").agg(F.sum(wgt).alias("_v"))
     return votes.groupBy(*keys).agg(
         F.min_by("nb_label", F.struct(-F.col("_v"), F.col("nb_label"))).alias("pred"))
 
 
+def knn_cv_grid(df: DataFrame, id_col: str, label: str, feats: list[str], fold: str, ks: list[int],
+                metrics: tuple = ("l2", "l1")) -> DataFrame:
+    """Cross-validated KNN grid: every (metric, weighting, k) scored as the mean
+    over folds of the held-out accuracy. Per metric ONE neighbour search covers all
+    folds (the fold is a block key; each row is a query in its own fold and a
+    candidate in the others) and all k and weightings come from that top-max(k)
+    table."""
+    folds = [r[0] for r in df.select(fold).distinct().collect()]  # k folds
+    test = df.select(id_col, label, fold, *feats)
+    train = df.select(id_col, label, *feats, F.explode(F.filter(F.array(*[F.lit(f) for f in folds]),
+                                                               lambda x: x != F.col(fold))).alias(fold))
+    truth = df.select(F.col(id_col).alias("test_id"), F.col(label).cast("long").alias("_y"), fold)
+    out = None
+    for metric in metrics:
+        nb = knn_neighbors(train, test, id_col, label, feats, max(ks), metric=metric, group=fold)
+        kk = nb.withColumn("k", F.explode(F.filter(F.array(*[F.lit(k) for k in ks]),
+                                                   lambda x: x >= F.col("nb_rank"))))
+        for weighted in (False, True):
+            v = knn_vote(kk, weighted=weighted, k_col="k", extra_keys=[fold])
+            acc = (v.join(truth, [fold, "test_id"])
+                    .groupBy(fold, "k").agg(F.avg((F.col("pred") == F.col("_y")).cast("double")).alias("acc"))
+                    .groupBy("k").agg(F.avg("acc").alias("mean_accuracy"))
+                    .select(F.lit(metric).alias("metric"), F.lit("distance" if weighted else "uniform").alias("weighting"),
+                            "k", "mean_accuracy"))
+            out = acc if out is None else out.unionByName(acc)
+    return out
+
+
 def knn_k_sweep(neigh: DataFrame, truth: DataFrame, id_col: str, label: str, k_max: int) -> DataFrame:
     """Accuracy and error for k = 1..k_max from ONE top-k_max neighbour table."""
     ks = neigh.withColumn("k", F.explode(F.sequence(F.col("nb_rank").cast("int"), F.lit(k_max))))

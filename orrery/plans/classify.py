@@ -56,6 +56,18 @@ def q_knn_k_sweep(spark, sf):
     return s.select("k", rnd("accuracy", 6).alias("accuracy"), rnd("error_rate", 6).alias("error_rate"))
 
 
+KNN_KS = [1, 3, 5, 6, 7, 8]
+
+
+def q_knn_grid(spark, sf):
+    """5-fold CV over k in {1,3,5,6,7,8} x {uniform, distance} x {euclidean, manhattan}."""
+    from orrery.operators.split import kfold
+    train, _ = _parts(spark, sf)
+    f = kfold(train.select("vec_id", "label", *FEATS), "vec_id", 5, 42)
+    g = cl.knn_cv_grid(f, "vec_id", "label", FEATS, "fold", KNN_KS)
+    return g.select("metric", "weighting", F.col("k").cast("int").alias("k"), rnd("mean_accuracy", 6).alias("mean_accuracy"))
+
+
 def q_clf_nb(spark, sf):
     train, test = _parts(spark, sf)
     m = cl.fit_gaussian_nb(train, "label", FEATS)
@@ -70,6 +82,7 @@ QUERIES = {
     "knn_vote": q_knn_vote,
     "knn_vote_weighted": q_knn_vote_weighted,
     "knn_k_sweep": q_knn_k_sweep,
+    "knn_grid": q_knn_grid,
     "clf_nb": q_clf_nb,
 }
 
@@ -87,7 +100,31 @@ nb AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nb_id) AS
 _LONG_TR = " UNION ALL ".join(f"SELECT label AS cls, {i} AS j, f{i} AS x FROM tr" for i in range(N_FEATS))
 _LONG_TE = " UNION ALL ".join(f"SELECT vec_id, label, {i} AS j, f{i} AS x FROM te" for i in range(N_FEATS))
 
+_KNN_GRID_SQL = f"""{HOLDOUT_SQL},
+tr0 AS (SELECT * FROM ho WHERE split = 'train'),
+fo AS (SELECT *, CAST((row_number() OVER (ORDER BY md5('42' || CAST(vec_id AS VARCHAR)), vec_id) - 1) % 5 AS INTEGER) AS fold
+       FROM tr0),
+pr AS (SELECT t.fold, t.vec_id, t.label, r.vec_id AS nb_id, r.label AS nb_label,
+         {_DIST} AS d2, {" + ".join(f"abs(t.f{i} - r.f{i})" for i in range(N_FEATS))} AS d1
+       FROM fo t JOIN fo r ON t.fold <> r.fold),
+m AS (SELECT fold, vec_id, label, nb_id, nb_label, 'l2' AS metric, sqrt(d2) AS dist,
+         row_number() OVER (PARTITION BY fold, vec_id ORDER BY d2, nb_id) AS nb_rank FROM pr
+      UNION ALL
+      SELECT fold, vec_id, label, nb_id, nb_label, 'l1', d1,
+         row_number() OVER (PARTITION BY fold, vec_id ORDER BY d1, nb_id) FROM pr),
+ks AS (SELECT unnest([{", ".join(str(k) for k in KNN_KS)}]) AS k),
+wt AS (SELECT unnest(['uniform', 'distance']) AS weighting),
+v AS (SELECT metric, weighting, k, fold, vec_id, label, nb_label,
+        sum(CASE WHEN weighting = 'uniform' THEN 1.0 ELSE 1.0 / dist END) AS votes
+      FROM m JOIN ks ON m.nb_rank <= ks.k CROSS JOIN wt GROUP BY ALL),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY metric, weighting, k, fold, vec_id
+                                                  ORDER BY votes DESC, nb_label) AS rn FROM v) WHERE rn = 1),
+fa AS (SELECT metric, weighting, k, fold, avg(CASE WHEN nb_label = label THEN 1.0 ELSE 0.0 END) AS acc
+       FROM p GROUP BY ALL)"""
+
 ORACLE = {
+    "knn_grid": f"""WITH {_KNN_GRID_SQL}
+SELECT metric, weighting, CAST(k AS INTEGER) AS k, round(avg(acc), 6) AS mean_accuracy FROM fa GROUP BY metric, weighting, k""",
     "standardize": f"""WITH {HOLDOUT_SQL},
 m AS (SELECT {", ".join(f"avg(f{i}) AS mu{i}, stddev_pop(f{i}) AS sd{i}" for i in range(N_FEATS))} FROM ho WHERE split = 'train')
 SELECT vec_id, split, {", ".join(f"round(CASE WHEN sd{i} = 0 THEN 0.0 ELSE (f{i} - mu{i}) / sd{i} END, 6) AS z_f{i}" for i in range(N_FEATS))}
