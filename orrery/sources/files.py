@@ -29,6 +29,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: st
             .csv(path))
 
 
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False) -> DataFrame:
+    """JSON lines (or whole-file JSON documents with ``multiline``) with an explicit
+    schema; nested arrays of structs are then flattened with ``explode`` (A5)."""
+    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
               mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
