@@ -60,6 +60,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint (never localCheckpoint): survives executor loss."""
+    """Reliable checkpoint (never localCheckpoint): survives executor loss.
+    A frame this function returned is returned as is (no second write)."""
+    if getattr(df, "_orrery_checkpointed", False):
+        return df
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    out = df.checkpoint(eager=eager)
+    out._orrery_checkpointed = True
+    return out
