@@ -1,8 +1,9 @@
 """Attaching one-row results (a global max, fitted bounds, a scalar) to every row.
 
-Expressed as a broadcast *hash* join on a constant key instead of a cartesian
-product: the broadcast side is an aggregate without grouping keys, so its size is
-bounded by construction (exactly one row).
+The one-row aggregate is computed first (a grouping-free aggregate: exactly one
+row, so its size is bounded by construction) and its values are added to ``df``
+as typed literals — the way a fitted scaler applies its statistics. No join, no
+cross product: the consumer stays a narrow projection inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a grouping-free aggregate to every row of ``df``."""
-    k = "__scalar_key"
-    right = one_row.withColumn(k, F.lit(1))
-    return df.withColumn(k, F.lit(1)).join(F.broadcast(right), k, "inner").drop(k)
+    row = one_row.first()  # one row by construction
+    cols = [F.lit(None if row is None else row[f.name]).cast(f.dataType).alias(f.name)
+            for f in one_row.schema.fields]
+    return df.select("*", *cols)
