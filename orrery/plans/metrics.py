@@ -110,7 +110,7 @@ QUERIES = {
 
 BIN_SQL = """b AS (SELECT l.doc_id, l.quality AS y, round(d.n_chars / (d.n_chars + 2000.0), 2) AS score
   FROM labels l JOIN documents d USING (doc_id)),
-c AS (SELECT score AS threshold, sum(y) AS pos, sum(1 - y) AS neg FROM b GROUP BY score),
+c AS (SELECT score AS threshold, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg FROM b GROUP BY score),
 r AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC) AS cum_pos, sum(neg) OVER (ORDER BY threshold DESC) AS cum_neg,
         sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM c)"""
 _EXP = ", ".join(f"exp(CAST(embedding[{c + 1}] AS DOUBLE)) AS e{c}" for c in CLASSES)

@@ -60,7 +60,7 @@ def q_conflict_pairs(spark, sf):
 
 def q_conflict_sets(spark, sf):
     s = tt.conflict_sets(tt.conflict_edges(enrolments(spark, sf)))
-    return s.select(F.col("course_a").alias("course"), "n_conflicts",
+    return s.select(F.col("course_a").alias("course"), F.col("n_conflicts").cast("long").alias("n_conflicts"),
                     F.array_join(F.transform("conflicts", lambda x: x.cast("string")), ",").alias("conflicts"))
 
 
@@ -132,7 +132,7 @@ cand AS (SELECT CAST(k.candidate AS INTEGER) AS candidate, g.room,
 ct AS (SELECT *, lead(content) OVER (PARTITION BY candidate, room, slot // 5 ORDER BY slot) AS nxt FROM cand),
 sc AS (SELECT candidate, count(*) FILTER (WHERE slot % 5 <> 4 AND content = nxt) AS adjacent_pairs,
   count(*) FILTER (WHERE slot % 5 >= 3 AND content = '*') AS free_afternoons FROM ct GROUP BY candidate),
-sc2 AS (SELECT *, adjacent_pairs * 0.1 + free_afternoons * 1.0 AS score FROM sc),
+sc2 AS (SELECT *, CAST(adjacent_pairs AS DOUBLE) * 0.1 + CAST(free_afternoons AS DOUBLE) * 1.0 AS score FROM sc),
 best AS (SELECT * FROM sc2 ORDER BY score DESC, candidate LIMIT 1),
 bgrid AS (SELECT room, slot, content FROM cand WHERE candidate = (SELECT candidate FROM best))"""
 
