@@ -9,11 +9,21 @@ from conftest import SF_SMALL
 ORACLE = E.oracle_sql()
 
 
+SPARK_T = {"int": "INT32", "bigint": "INT64", "double": "DOUBLE", "string": "STRING", "date": "DATE",
+           "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+DUCK_T = {"INTEGER": "INT32", "BIGINT": "INT64", "DOUBLE": "DOUBLE", "VARCHAR": "STRING", "DATE": "DATE",
+          "TIMESTAMP": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, duck, key):
-    got = E.queries()[key](spark, SF_SMALL).toPandas()
+    frame = E.queries()[key](spark, SF_SMALL)
+    got = frame.toPandas()
     want = duck.execute(ORACLE[key]).df()
     assert_same(got, want)
+    rel = duck.sql(ORACLE[key])
+    dt = {c: DUCK_T.get(str(t).upper(), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SPARK_T.get(t, t) for c, t in frame.dtypes} == dt
 
 
 def test_every_oracle_has_a_query():
