@@ -394,6 +394,23 @@ def forest_prefix_error(model, test: DataFrame, id_col: str, max_trees: int | No
     return pred.groupBy("k").agg((1 - F.avg((F.col("pred") == F.col("label")).cast("double"))).alias("error_rate"))
 
 
+def gbt_prefix_error(model, test: DataFrame, id_col: str) -> DataFrame:
+    """Misclassification error of a binary boosted model after k = 1..n iterations:
+    each tree's weighted output is stacked into one long table, the margin of the
+    first k trees is a grouped sum over trees 1..k, class 1 when the margin is > 0."""
+    trees, weights = model.trees, model.treeWeights
+    parts = [t.transform(test).select(id_col, "label", F.lit(i + 1).alias("tree"),
+                                      (F.col("prediction") * float(weights[i])).alias("m"))
+             for i, t in enumerate(trees)]
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    ks = long.withColumn("k", F.explode(F.sequence(F.col("tree"), F.lit(len(trees)))))
+    margin = ks.groupBy(id_col, "label", "k").agg(F.sum("m").alias("margin"))
+    pred = (F.col("margin") > 0).cast("double")
+    return margin.groupBy("k").agg((1 - F.avg((pred == F.col("label")).cast("double"))).alias("error_rate"))
+
+
 def gbt_iteration_error(model, test: DataFrame) -> DataFrame:
     """Loss of a binary GBT after each boosting iteration (built-in evaluation)."""
     loss = model.evaluateEachIteration(test)  # the model's own loss (logistic)

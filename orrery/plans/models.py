@@ -120,17 +120,22 @@ def q_clf_svm(spark, sf):
 
 
 def q_tree_sweep(spark, sf):
-    m, test = forest(spark, sf, 20)
+    """Forest error rate for 1..100 trees from ONE fitted 100-tree forest."""
+    m, test = forest(spark, sf, 100)
     return md.forest_prefix_error(m, test, "vec_id").select("k", rnd("error_rate", 6).alias("error_rate"))
 
 
 def q_gbt_sweep(spark, sf):
-    """Binary boosted trees (label >= 5): test log-loss after each of 20 iterations."""
+    """Binary boosted trees (label >= 5): test error rate and log-loss after each of
+    the 20 iterations, from one fitted model."""
     from pyspark.ml.classification import GBTClassifier
     train, test = parts(spark, sf)
     binar = lambda df: df.withColumn("label", (F.col("label") >= 5).cast("double"))
     m = GBTClassifier(featuresCol="fv", labelCol="label", maxIter=20, seed=SEED).fit(binar(train))
-    return md.gbt_iteration_error(m, binar(test)).select("k", rnd("loss", 6).alias("loss"))
+    err = md.gbt_prefix_error(m, binar(test), "vec_id")
+    loss = md.gbt_iteration_error(m, binar(test))
+    return err.join(loss, "k").select(F.col("k").cast("int").alias("k"), rnd("error_rate", 6).alias("error_rate"),
+                                      rnd("loss", 6).alias("loss"))
 
 
 def q_feature_importance(spark, sf):
