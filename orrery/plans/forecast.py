@@ -54,9 +54,11 @@ def q_forecast_board(spark, sf):
     train, test = lf.filter(F.col("split") == "train"), lf.filter(F.col("split") == "test")
     preds, secs = fc.board(train, test, KEYS)
     m = mt.regression_metrics(preds, "label", "prediction", ["model"])
-    t = spark.createDataFrame(list(secs.items()), "model string, fit_seconds double")
+    t = spark.createDataFrame([(k, f, p) for k, (f, p) in secs.items()],
+                              "model string, fit_seconds double, predict_seconds double")
     return m.join(t, "model").select("model", "n", rnd("mae", 6).alias("mae"), rnd("mse", 6).alias("mse"),
-                                     rnd("fit_seconds", 3).alias("fit_seconds"))
+                                     rnd("fit_seconds", 3).alias("fit_seconds"),
+                                     rnd("predict_seconds", 3).alias("predict_seconds"))
 
 
 def q_stacked_forecast(spark, sf):
