@@ -18,7 +18,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.regress import Suff, gram_stats
@@ -377,36 +377,47 @@ def importances(model, feats: list[str], spark) -> DataFrame:
     return spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double")
 
 
+def _chain_trees(trees, test: DataFrame, keep: list[str], out: str) -> DataFrame:
+    """One scan of ``test``: every tree adds one output column (``out`` =
+    "prediction" or "probability") as a narrow projection; other outputs off."""
+    cur = test.select(*keep, "fv")
+    for i, t in enumerate(trees):
+        m = t.copy()
+        for param in ("predictionCol", "rawPredictionCol", "probabilityCol"):
+            if m.hasParam(param):
+                m = m._set(**{param: f"_o{i}" if param == f"{out}Col" else ""})
+        cur = m.transform(cur)
+    return cur
+
+
 def forest_prefix_error(model, test: DataFrame, id_col: str, max_trees: int | None = None) -> DataFrame:
-    """Error rate of the first k trees' majority vote, k = 1..n, from ONE fitted
-    forest: per-tree predictions are stacked into one long table, the running vote
-    per (row, k) is a grouped count over trees 1..k (each tree row is replicated to
-    every k >= its index)."""
+    """Error rate of the forest made of its first k trees, k = 1..n, from ONE
+    fitted forest. As the forest itself, the prefix predicts the class with the
+    largest sum of the trees' class probabilities (ties → smallest class). The
+    probabilities of all trees come from one scan; the running sums are a window
+    per (row, class) over the tree order."""
     trees = model.trees[: max_trees or len(model.trees)]
-    parts = [t.transform(test).select(id_col, "label", F.lit(i + 1).alias("tree"), F.col("prediction").alias("p"))
-             for i, t in enumerate(trees)]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    ks = long.withColumn("k", F.explode(F.sequence(F.col("tree"), F.lit(len(trees)))))
-    votes = ks.groupBy(id_col, "label", "k", "p").agg(F.count(F.lit(1)).alias("v"))
-    pred = votes.groupBy(id_col, "label", "k").agg(F.min_by("p", F.struct(-F.col("v"), F.col("p"))).alias("pred"))
+    cur = _chain_trees(trees, test, [id_col, "label"], "probability")
+    arrs = F.array(*[vector_to_array(F.col(f"_o{i}")) for i in range(len(trees))])
+    long = (cur.select(id_col, "label", F.posexplode(arrs).alias("_t", "_q"))
+               .select(id_col, "label", (F.col("_t") + 1).alias("k"), F.posexplode("_q").alias("cls", "q")))
+    w = Window.partitionBy(id_col, "cls").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    cum = long.withColumn("s", F.sum("q").over(w))
+    pred = cum.groupBy(id_col, "label", "k").agg(
+        F.max_by("cls", F.struct(F.col("s"), -F.col("cls"))).cast("double").alias("pred"))
     return pred.groupBy("k").agg((1 - F.avg((F.col("pred") == F.col("label")).cast("double"))).alias("error_rate"))
 
 
 def gbt_prefix_error(model, test: DataFrame, id_col: str) -> DataFrame:
     """Misclassification error of a binary boosted model after k = 1..n iterations:
-    each tree's weighted output is stacked into one long table, the margin of the
-    first k trees is a grouped sum over trees 1..k, class 1 when the margin is > 0."""
+    the tree outputs come from one scan; the margin of the first k trees is a
+    running weighted sum (window per row over the tree order); class 1 when > 0."""
     trees, weights = model.trees, model.treeWeights
-    parts = [t.transform(test).select(id_col, "label", F.lit(i + 1).alias("tree"),
-                                      (F.col("prediction") * float(weights[i])).alias("m"))
-             for i, t in enumerate(trees)]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    ks = long.withColumn("k", F.explode(F.sequence(F.col("tree"), F.lit(len(trees)))))
-    margin = ks.groupBy(id_col, "label", "k").agg(F.sum("m").alias("margin"))
+    cur = _chain_trees(trees, test, [id_col, "label"], "prediction")
+    vals = F.array(*[F.col(f"_o{i}") * float(weights[i]) for i in range(len(trees))])
+    long = cur.select(id_col, "label", F.posexplode(vals).alias("_t", "m")).withColumn("k", F.col("_t") + 1)
+    w = Window.partitionBy(id_col).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    margin = long.withColumn("margin", F.sum("m").over(w))
     pred = (F.col("margin") > 0).cast("double")
     return margin.groupBy("k").agg((1 - F.avg((pred == F.col("label")).cast("double"))).alias("error_rate"))
 

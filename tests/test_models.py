@@ -234,3 +234,12 @@ def test_gbt_prefix_error_matches_model(spark):
     err = {r.k: r.error_rate for r in md.gbt_prefix_error(m, binar(test), "vec_id").collect()}
     p = m.transform(binar(test)).select(F.avg((F.col("prediction") != F.col("label")).cast("double"))).first()[0]
     assert sorted(err) == list(range(1, 9)) and err[8] == pytest.approx(p)
+
+
+def test_forest_prefix_full_equals_forest(spark):
+    """With all trees, the prefix prediction is the forest's own prediction."""
+    from orrery.plans.models import forest
+    m, test = forest(spark, SF_SMALL, 15)
+    err = {r.k: r.error_rate for r in md.forest_prefix_error(m, test, "vec_id").collect()}
+    p = m.transform(test).select(F.avg((F.col("prediction") != F.col("label")).cast("double"))).first()[0]
+    assert sorted(err) == list(range(1, 16)) and err[15] == pytest.approx(p)
