@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.operators.scalar_join import attach_scalar
 from orrery.operators.skew import explode_count, ranked, running_total
 from orrery.session import cut_lineage
 
@@ -206,6 +205,3 @@ def stack_frames(frames: list[DataFrame]) -> DataFrame:
 def share_of_total(df: DataFrame, count_col: str) -> Column:
     return F.col(count_col) * 100.0 / F.sum(count_col).over(Window.partitionBy())
 
-
-def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    return attach_scalar(df, one_row)
