@@ -25,13 +25,25 @@ DEFAULT_CONF = {
 }
 
 
+def default_driver_memory() -> str:
+    """60 % of physical memory, between 1 GB and 16 GB (local mode: the driver JVM
+    is the whole executor)."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal"))
+        gb = int(kb / (1 << 20) * 0.6)
+    except (OSError, StopIteration, ValueError):
+        gb = 4
+    return f"{max(1, min(16, gb))}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "orrery", extra: dict | None = None) -> SparkSession:
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf["spark.driver.memory"] = os.environ.get("ORRERY_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("ORRERY_DRIVER_MEMORY", default_driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
