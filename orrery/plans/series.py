@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orrery.operators import timeseries as ts
-from orrery.plans.common import r6, rnd
+from orrery.plans.common import r6, rnd, rnd_half_up, sql_half_up
 from orrery.sources.tables import Tables
 
 N_LAGS = 10
@@ -49,7 +49,7 @@ def _fcols(arr="features", n=N_LAGS):
 
 
 def q_series_daily(spark, sf):
-    return prices(spark, sf).select("series", "date", rnd("close", 4).alias("close"))
+    return prices(spark, sf).select("series", "date", rnd_half_up("close", 4).alias("close"))
 
 
 def q_lag_features(spark, sf):
@@ -66,7 +66,7 @@ def q_lag_features_prev(spark, sf):
 
 def q_warmup_drop(spark, sf):
     return (ts.warmup_drop(prices(spark, sf), "series", "date", 10)
-              .select("series", "date", rnd("close", 4).alias("close")))
+              .select("series", "date", rnd_half_up("close", 4).alias("close")))
 
 
 def q_time_split(spark, sf):
@@ -82,18 +82,18 @@ def q_minmax_scale(spark, sf):
 def q_inverse_scale(spark, sf):
     z = scaled_split(spark, sf)
     back = ts.inverse_scale(F.col("x"), F.col("scale_min"), F.col("scale_max"))
-    return z.select("series", "date", rnd(back, 4).alias("close_back"),
+    return z.select("series", "date", rnd_half_up(back, 4).alias("close_back"),
                     rnd((back - F.col("close")), 6).alias("roundtrip_err"))
 
 
 def q_latest_per_series(spark, sf):
     return ts.latest_per_series(prices(spark, sf), "series", "date", ["close"]).select(
-        "series", "date", rnd("close", 4).alias("close"))
+        "series", "date", rnd_half_up("close", 4).alias("close"))
 
 
 def q_append_forecast_row(spark, sf):
     return ts.append_forecast_row(prices(spark, sf), "series", "date", "close").select(
-        "series", "date", rnd("close", 4).alias("close"))
+        "series", "date", rnd_half_up("close", 4).alias("close"))
 
 
 def q_direction_label(spark, sf):
@@ -135,7 +135,7 @@ _F_CUR = ", ".join(f"round(lag(x, {N_LAGS - 1 - i}) OVER w, 6) AS f{i}" for i in
 _F_PREV = ", ".join(f"round(lag(x, {N_LAGS - i}) OVER w, 6) AS f{i}" for i in range(N_LAGS))
 
 ORACLE = {
-    "series_daily": f"WITH {PRICES_SQL} SELECT series, date, round(close, 4) AS close FROM prices",
+    "series_daily": f"WITH {PRICES_SQL} SELECT series, date, {sql_half_up('close', 4)} AS close FROM prices",
     "lag_features": f"""WITH {SCALED_SQL},
 l AS (SELECT series, date, split, lead(date) OVER w AS target_date, {_F_CUR},
              round(lead(x) OVER w, 6) AS label,
@@ -150,7 +150,7 @@ l AS (SELECT series, date, split, {_F_PREV}, round(x, 6) AS label,
 SELECT series, date, split, {", ".join(f"f{i}" for i in range(N_LAGS))}, label
 FROM l WHERE n = 10 AND label IS NOT NULL""",
     "warmup_drop": f"""WITH {PRICES_SQL}
-SELECT series, date, round(close, 4) AS close FROM (
+SELECT series, date, {sql_half_up('close', 4)} AS close FROM (
   SELECT *, row_number() OVER (PARTITION BY series ORDER BY date) AS rn FROM prices) WHERE rn > 10""",
     "nth_smallest": f"""WITH {PRICES_SQL}
 SELECT series, date AS nth_date FROM (
@@ -162,12 +162,12 @@ SELECT series, date, threshold, CASE WHEN date <= threshold THEN 'train' ELSE 't
 b AS (SELECT *, min(close) OVER (PARTITION BY series) AS mn, max(close) OVER (PARTITION BY series) AS mx FROM prices)
 SELECT series, date, round(CASE WHEN mx = mn THEN 0.5 ELSE (close - mn) / (mx - mn) END, 6) AS scaled FROM b""",
     "inverse_scale": f"""WITH {SCALED_SQL}
-SELECT series, date, round(mn + x * (mx - mn), 4) AS close_back,
+SELECT series, date, {sql_half_up('mn + x * (mx - mn)', 4)} AS close_back,
        round((mn + x * (mx - mn)) - close, 6) + 0.0 AS roundtrip_err FROM z""",
     "latest_per_series": f"""WITH {PRICES_SQL}
-SELECT series, max(date) AS date, round(arg_max(close, date), 4) AS close FROM prices GROUP BY series""",
+SELECT series, max(date) AS date, {sql_half_up('arg_max(close, date)', 4)} AS close FROM prices GROUP BY series""",
     "append_forecast_row": f"""WITH {PRICES_SQL}
-SELECT series, date, round(close, 4) AS close FROM prices
+SELECT series, date, {sql_half_up('close', 4)} AS close FROM prices
 UNION ALL
 SELECT series, CAST(max(date) + INTERVAL 1 DAY AS DATE) AS date, CAST(NULL AS DOUBLE) AS close
 FROM prices GROUP BY series""",
