@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -42,7 +44,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    if shuffle_partitions:  # else Spark's default, coalesced by AQE
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("ORRERY_DRIVER_MEMORY", default_driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
@@ -57,8 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this is a shared folder set by the operator of the cluster and is
-    only read here. Only when it is unset (local runs, tests) do we set one of our
-    own, under a fresh scratch folder.
+    only read here; without one a cluster session is refused, because a folder of
+    the driver's machine is not visible to the executors. Only a local session
+    (one machine: tests, the bench) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -66,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="orrery-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
