@@ -4,7 +4,7 @@ import math
 
 
 def _norm(v):
-    if v is None:
+    if v is None or type(v).__name__ in ("NAType", "NaTType"):
         return None
     if hasattr(v, "item") and not isinstance(v, (list, tuple, str)):
         try:
