@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from orrery.llm import mixing, quality
+from orrery.llm import mixing, near_dedup, quality, warc
 
 QUERIES = {
+    "op4_warc": warc.op4_warc,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
     "op1_quality": quality.op1_quality,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE = {
+    "op4_warc": warc.SQL,
+    "op6_near_dedup": near_dedup.SQL,
     "op10_mixing": mixing.SQL,
 }
