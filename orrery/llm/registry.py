@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from orrery.llm import mixing, near_dedup, quality, warc
+from orrery.llm import line_dedup, mixing, near_dedup, quality, warc
 
 QUERIES = {
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_warc": warc.op4_warc,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op1_quality": quality.op1_quality,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_line_dedup": line_dedup.SQL,
     "op4_warc": warc.SQL,
     "op6_near_dedup": near_dedup.SQL,
     "op10_mixing": mixing.SQL,
