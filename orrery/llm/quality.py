@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.llm.common import SPACES, materialize, read_table, words
+from orrery.operators.scalar_join import attach_scalar
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -78,7 +79,8 @@ def bucket_low(b: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """(lang, source, measure, bucket, n): the quantile sketches as a count table."""
+    """(lang, source, measure, bucket, n): the quantile sketches as a count table, with
+    documents counted per group, measure and bucket."""
     pairs = F.array(*[F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("bucket")) for m in MEASURES])
     return (measured.select("lang", "source", F.explode(pairs).alias("x"))
                     .groupBy("lang", "source", "x.measure", "x.bucket").agg(F.count(F.lit(1)).alias("n")))
@@ -107,11 +109,10 @@ def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, fence: int = FENCE) -> D
     own = wide(quartiles(sketch, ["lang", "source"]), ["lang", "source"])
     lang = wide(quartiles(sketch, ["lang"]), ["lang"]).select(F.col("lang").alias("l_lang"), F.col("docs").alias("l_docs"),
                                                               *[F.col(m).alias(f"l_{m}") for m in MEASURES])
-    every = wide(quartiles(sketch.withColumn("all", F.lit(0)), ["all"]), ["all"]).select(
-        F.col("all"), *[F.col(m).alias(f"a_{m}") for m in MEASURES])
-    f = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).withColumn("all", F.lit(0)).join(every, "all")
+    every = wide(quartiles(sketch, []), []).select(*[F.col(f"{m}.{e}").alias(f"a_{m}_{e}") for m in MEASURES for e in ("low", "high")])
+    f = attach_scalar(own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))), every)
     chosen = {m: F.when(F.col("docs") >= min_docs, F.col(m)).when(F.col("l_docs") >= min_docs, F.col(f"l_{m}"))
-              .otherwise(F.col(f"a_{m}")) for m in MEASURES}
+              .otherwise(F.struct(F.col(f"a_{m}_low").alias("low"), F.col(f"a_{m}_high").alias("high"))) for m in MEASURES}
     return f.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"),
                     *[c["low"].alias(f"{m}_low") for m, c in chosen.items() if MEASURES[m][1]],
                     *[c["high"].alias(f"{m}_high") for m, c in chosen.items() if MEASURES[m][2]])
@@ -149,3 +150,40 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "documents")).drop("outside")
+
+SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+g AS (SELECT rid, unnest(range(1, len(w) - 1)) AS p, w FROM w WHERE len(w) > 2),
+h AS (SELECT rid, p, count(*) OVER (PARTITION BY rid, w[p], w[p + 1], w[p + 2]) AS k FROM g),
+r AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([p, p + 1, p + 2]) AS p FROM h WHERE k > 1) GROUP BY rid),
+b AS (SELECT t.doc_id, t.lang, t.source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(n_symbols AS BIGINT) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+      FROM t JOIN w USING (rid) LEFT JOIN r USING (rid)),
+m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        CASE WHEN word_chars > 0 THEN 10000 * n_symbols // word_chars ELSE 0 END AS symbol_rate,
+        CASE WHEN n_lines > 0 THEN 10000 * n_dup_lines // n_lines ELSE 0 END AS dup_line_rate,
+        CASE WHEN n_words > 0 THEN 10000 * n_repeat_words // n_words ELSE 0 END AS repeat_rate,
+        CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END AS word_length FROM b),
+u AS (UNPIVOT (SELECT lang, source, symbol_rate, dup_line_rate, repeat_rate, word_length FROM m WHERE NOT base_failed)
+      ON symbol_rate, dup_line_rate, repeat_rate, word_length INTO NAME measure VALUE v),
+-- the least value of a bucket: what is left of v with 6 leading bits
+v AS (SELECT lang, source, measure, (v >> greatest(0, length(bin(v)) - 6)) << greatest(0, length(bin(v)) - 6) AS v FROM u),
+q AS (
+  SELECT 1 AS level, lang, source, measure, count(*) AS docs, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM v GROUP BY ALL
+  UNION ALL SELECT 2, lang, NULL, measure, count(*), quantile_disc(v, 0.25), quantile_disc(v, 0.75) FROM v GROUP BY ALL
+  UNION ALL SELECT 3, NULL, NULL, measure, count(*), quantile_disc(v, 0.25), quantile_disc(v, 0.75) FROM v GROUP BY ALL),
+f AS (SELECT *, q1 - 3 * reach AS low, q3 + 3 * reach AS high FROM (SELECT *, greatest(q3 - q1,
+        CASE measure WHEN 'symbol_rate' THEN 100 WHEN 'word_length' THEN 50 ELSE 500 END) AS reach FROM q)),
+c AS (SELECT a.lang, a.source, a.measure, CASE WHEN a.docs >= 200 THEN a.low WHEN l.docs >= 200 THEN l.low ELSE e.low END AS low,
+        CASE WHEN a.docs >= 200 THEN a.high WHEN l.docs >= 200 THEN l.high ELSE e.high END AS high
+      FROM (SELECT * FROM f WHERE level = 1) a JOIN (SELECT * FROM f WHERE level = 2) l ON l.lang IS NOT DISTINCT FROM a.lang AND l.measure = a.measure
+      JOIN (SELECT * FROM f WHERE level = 3) e ON e.measure = a.measure),
+k AS (SELECT lang, source, max(high) FILTER (WHERE measure = 'symbol_rate') AS s, max(high) FILTER (WHERE measure = 'dup_line_rate') AS d,
+        max(high) FILTER (WHERE measure = 'repeat_rate') AS r, max(high) FILTER (WHERE measure = 'word_length') AS hi,
+        max(low) FILTER (WHERE measure = 'word_length') AS lo FROM c GROUP BY ALL)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(symbol_rate > s OR dup_line_rate > d OR repeat_rate > r OR word_length > hi OR word_length < lo, false) AS kept
+FROM m LEFT JOIN k ON m.lang IS NOT DISTINCT FROM k.lang AND m.source IS NOT DISTINCT FROM k.source
+"""
