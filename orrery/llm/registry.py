@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from orrery.llm import line_dedup, mixing, near_dedup, quality, warc
+from orrery.llm import line_dedup, mixing, near_dedup, quality, toxicity, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_warc": warc.op4_warc,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op1_quality": quality.op1_quality,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE = {
+    "op1_quality": quality.SQL,
     "op2_line_dedup": line_dedup.SQL,
     "op4_warc": warc.SQL,
     "op6_near_dedup": near_dedup.SQL,
