@@ -70,6 +70,7 @@ def remove_spread_lines(docs: DataFrame, text: str = "text", site: str = "source
     hits = (text_lines(docs.select(F.col(text).alias("__t"), F.unhex(F.md5(F.col(text))).alias("__hit")), "__t", "__hit")
             .join(spread, "key").groupBy("__hit", "at").agg(F.first("size").alias("size"))
             .groupBy("__hit").agg(F.collect_list("at").alias("__at"), F.sum("size").alias("__chars")))
+    hits = materialize(hits, "hits")  # a table, so that the join below may split a text with many copies
     j = keyed.join(hits, F.col("__text") == F.col("__hit"), "left")
     cut = F.col("__chars") * 100 <= F.length(F.translate(F.col(text), "\n", "")) * max_percent
     cut = F.coalesce(cut, F.lit(False))
