@@ -30,6 +30,7 @@ MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 256 << 20
 MERGE_GAP = 64 << 10
 READ_BYTES = 8 << 20
+TASK_BYTES = 128 << 20
 DATE = "2000-01-01T00:00:00Z"
 INDEX = "file string, offset long, length long, page_id long, url string, digest string, record_type string"
 RECORD = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -171,7 +172,10 @@ def read_records(selected: DataFrame, path: str, merge_gap: int = MERGE_GAP, rea
             if source is not None:
                 source.close()
 
-    ranges = selected.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    # few bytes of index stand for many bytes of archive: the tasks follow the latter
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES + 1)
+    ranges = selected.select("file", "offset", "length").repartition(tasks, "file").sortWithinPartitions("file", "offset")
     return ranges.mapInArrow(read, RECORD)
 
 
