@@ -7,9 +7,10 @@
    probability below ``miss``; by the prefix principle they then share a posting among
    the ``coords - min_matches + 1`` rarest of each, so only those are kept, values that
    occur once (which collide with nothing) counted first.
-3. Within a posting list, classes are paired with one pivot, not with each other. Pairs
-   that agree in fewer coordinates are skipped; the rest are confirmed on the full sets
-   and the links merged into components. With other pivots this repeats for lists that
+3. Within a posting list, classes are paired with one pivot, not with each other, and of
+   its pivots a class takes the one it collides with most often. Pairs that agree in fewer
+   coordinates are skipped; the rest are confirmed on the full sets and the links merged
+   into components. With other pivots this repeats for lists that
    still hold several components, until few pairs are open; then every pair of a list
    whose two sides are in different components is compared. So no link between different
    components is lost and no list is expanded into all its pairs.
@@ -17,6 +18,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -44,15 +46,22 @@ def min_matches(coords: int, percent: int, miss: float = MISS) -> int:
     return max(1, t)
 
 
+def row_key(doc_id, text):
+    """128-bit key of a row's id and text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("\n"), F.coalesce(text, F.lit("")))))
+
+
 def signatures(docs: DataFrame, n: int, coords: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, node (128-bit digest of the set), sig (32-bit minima)
-    per row of (doc_id, text, text_key); node and sig are null for an empty set."""
-    seeds = mix(np.arange(1, coords + 1, dtype=np.uint64))
-    kinds = [("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int64()))]
+    """doc_id, row_key, n_shingles, node (128-bit digest of the set), sig (32-bit minima)
+    per row of (doc_id, text, row_key); node and sig are null for an empty set."""
+    seeds = mix(np.arange(1, coords + 1, dtype=np.uint64))[:, None]
+    kinds = [("doc_id", pa.int64()), ("row_key", pa.binary()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int32()))]
 
-    def sign(batches):
-        import hashlib
+    def minima(s):
+        low = [mix(s[i:i + 4096] ^ seeds).min(1) for i in range(0, len(s), 4096)]
+        return (np.min(low, axis=0) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
+    def sign(batches):
         hasher = Hasher()
         for b in batches:
             size, node, sig = [], [], []
@@ -61,12 +70,12 @@ def signatures(docs: DataFrame, n: int, coords: int) -> DataFrame:
                 size.append(len(s))
                 node.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 with np.errstate(over="ignore"):
-                    sig.append([int(mix(s ^ x).min() >> np.uint64(32)) for x in seeds] if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key").cast(pa.binary()), pa.array(size, pa.int64()),
-                                              pa.array(node, pa.binary()), pa.array(sig, pa.list_(pa.int64()))], schema=pa.schema(kinds))
+                    sig.append(minima(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row_key").cast(pa.binary()), pa.array(size, pa.int64()),
+                                              pa.array(node, pa.binary()), pa.array(sig, pa.list_(pa.int32()))], schema=pa.schema(kinds))
 
-    return docs.select("doc_id", "text", "text_key").mapInArrow(
-        sign, "doc_id long, text_key binary, n_shingles long, node binary, sig array<long>")
+    return docs.select("doc_id", "text", "row_key").mapInArrow(
+        sign, "doc_id long, row_key binary, n_shingles long, node binary, sig array<int>")
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -101,7 +110,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def postings(nodes: DataFrame, coords: int, matches: int) -> DataFrame:
     """(token, node): each class under the rarest of its signature's coordinate values."""
-    token = lambda v, i: F.struct(i.alias("coord"), v.alias("value"))
+    # coordinate and value in one long
+    token = lambda v, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     t = nodes.select("node", F.explode(F.transform("sig", token)).alias("token"))
     seen = t.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = (t.join(seen, "token").groupBy("node")
@@ -114,9 +124,9 @@ def postings(nodes: DataFrame, coords: int, matches: int) -> DataFrame:
 
 def classes(docs: DataFrame, n: int, coords: int) -> tuple[DataFrame, DataFrame]:
     """The signed documents and one row per class of equal sets: node, n_shingles, sig, and
-    the row (first_id, first_key) that represents it."""
+    the id and key of the row that represents it."""
     signed = materialize(signatures(docs, n, coords), "signed")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row_key").alias("key"))
     nodes = (signed.filter("node is not null").groupBy("node")
                    .agg(F.min(first).alias("first"), F.first("n_shingles").alias("m"), F.first("sig").alias("sig"))
                    .select("node", "m", "sig", F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key")))
@@ -127,9 +137,9 @@ def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int,
     """(node, component) for every class that links with another; ``component`` is a node."""
     matches = min_matches(coords, percent)
     posted = materialize(postings(nodes, coords, matches), "postings")
-    wanted = nodes.join(posted.select("node").distinct(), "node", "left_semi").select("node", "first_id", "first_key")
-    texts = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.first_id) & (docs.text_key == wanted.first_key))
-    sets = materialize(shingle_sets(texts, n).dropDuplicates(["node"]), "sets")
+    wanted = nodes.join(posted.select("node").distinct(), "node", "left_semi").select("node", F.col("first_key").alias("row_key"))
+    texts = docs.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
+    sets = materialize(shingle_sets(texts, n), "sets")
     brief = nodes.select("node", "m", "sig")
 
     def candidates(pairs: DataFrame) -> DataFrame:
@@ -165,6 +175,9 @@ def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int,
             pivot = p.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(r), "node").alias("h"), F.col("node"), F.col("component"))).alias("v"))
             pivot = pivot.select("token", F.col("v.node").alias("y"), F.col("v.component").alias("cy"))
             pairs = p.select("token", F.col("node").alias("x"), F.col("component").alias("cx")).join(pivot, "token").filter("cx != cy")
+            # of a class's pivots, the one it collides with most often
+            pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("hits")).groupBy("x").agg(F.max(F.struct("hits", "y")).alias("v"))
+            pairs = pairs.select("x", F.col("v.y").alias("y"))
         found = confirm(candidates(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))), sets, percent)
         found = materialize(found, "links")
         if label is not None:
@@ -177,8 +190,7 @@ def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int,
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
                     coords: int = COORDS, rounds: int = ROUNDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_key (MD5 of the text), n_shingles,
-    component_id, kept.
+    """One row per row of ``docs``: doc_id, row_key (see there), n_shingles, component_id, kept.
 
     ``component_id`` is the smallest id of the documents reachable by links of at least
     ``percent`` percent Jaccard similarity, the document itself included; ``kept`` is
@@ -188,7 +200,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     empty table gives an empty result. Other columns are not read.
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                    F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_key"))
+                    row_key(F.col(doc_id), F.col(text)).alias("row_key"))
     signed, nodes = classes(d, n, coords)
     label = links(d, nodes, n, percent, coords, rounds)
     first = nodes.select("node", "first_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -196,11 +208,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = first.join(smallest, "component").select(F.col("node").alias("__node"), "component_id")
     out = signed.join(first, signed.node == first["__node"], "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "text_key", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return out.select("doc_id", "row_key", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"), n=2).drop("text_key")
+    return near_duplicates(read_table(spark, sf_dir, "documents"), n=2).drop("row_key")
 
 
 SQL = r"""
