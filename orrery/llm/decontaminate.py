@@ -228,6 +228,20 @@ def blocks(items: DataFrame, item_id: str, text: str, min_words: int, block_word
         yield block
 
 
+def search_batch(index: Index, texts) -> list[tuple[int, int, int]]:
+    """``Index.search`` over an Arrow column, some CHUNK_BYTES of text at once."""
+    out, chunk, size, first = [], [], 0, 0
+    for i in range(len(texts) + 1):
+        if i == len(texts) or size > CHUNK_BYTES:
+            out += [(first + p, item, n) for p, item, n in index.search(chunk)]
+            chunk, size, first = [], 0, i
+        if i < len(texts):
+            t = texts[i].as_py()
+            chunk.append(t)
+            size += len(t or "")
+    return out
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
           min_words: int = MIN_WORDS, share: float = EDIT_SHARE, sampled: int = SAMPLED, recall: float = RECALL,
           block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -246,18 +260,9 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         shared = spark.sparkContext.broadcast(Index(block, share, sampled, recall))  # block_words bounds it
 
         def search(batches):
-            index = shared.value
             for b in batches:
-                ids, texts, out, size, first = b.column("doc_id").to_pylist(), b.column("text"), [], 0, 0
-                chunk = []
-                for i in range(b.num_rows + 1):
-                    if i == b.num_rows or size > CHUNK_BYTES:
-                        out += [(ids[first + p], item, n) for p, item, n in index.search(chunk)]
-                        chunk, size, first = [], 0, i
-                    if i < b.num_rows:
-                        t = texts[i].as_py()
-                        chunk.append(t)
-                        size += len(t or "")
+                ids = b.column("doc_id").to_pylist()
+                out = [(ids[p], item, n) for p, item, n in search_batch(shared.value, b.column("text"))]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["doc_id", "item_id", "edits"])
 
         return d.mapInArrow(search, RESULT)
@@ -266,5 +271,24 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RESULT)
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+                  min_words: int = MIN_WORDS, share: float = EDIT_SHARE, sampled: int = SAMPLED, recall: float = RECALL,
+                  block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` without the rows that an item leaks into, all columns kept; the cases are
+    those of ``leaks``. No shuffle: each block of items is one pass over the rows left."""
+    spark, at = docs.sparkSession, [c.lower() for c in docs.columns].index(text.lower())
+    for block in blocks(items, item_id, item_text, min_words, block_words):
+        shared = spark.sparkContext.broadcast(Index(block, share, sampled, recall))
+
+        def clean(batches, shared=shared):
+            for b in batches:
+                keep = np.ones(b.num_rows, bool)
+                keep[[p for p, _, _ in search_batch(shared.value, b.column(at))]] = False
+                yield b.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
