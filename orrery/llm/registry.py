@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from orrery.llm import decontaminate, line_dedup, mixing, near_dedup, quality, toxicity, warc
+from orrery.llm import decontaminate, html_text, line_dedup, mixing, near_dedup, quality, toxicity, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_warc": warc.op4_warc,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op1_quality": quality.op1_quality,
+    "op7_html_text": html_text.op7_html_text,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
