@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from orrery.llm import decontaminate, html_text, line_dedup, mixing, near_dedup, quality, toxicity, warc
+from orrery.llm import decontaminate, html_text, line_dedup, lm_score, mixing, near_dedup, quality, toxicity, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_warc": warc.op4_warc,
+    "op5_lm_score": lm_score.op5_lm_score,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op1_quality": quality.op1_quality,
     "op7_html_text": html_text.op7_html_text,
@@ -19,6 +20,7 @@ ORACLE = {
     "op1_quality": quality.SQL,
     "op2_line_dedup": line_dedup.SQL,
     "op4_warc": warc.SQL,
+    "op5_lm_score": lm_score.SQL,
     "op6_near_dedup": near_dedup.SQL,
     "op10_mixing": mixing.SQL,
 }
