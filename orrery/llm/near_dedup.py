@@ -33,6 +33,7 @@ from orrery.llm.shingles import Hasher, mix, shingles
 COORDS = 32
 MISS = 1e-6
 ROUNDS = 4
+OPEN_PAIRS = 16  # pairs per list entry that may be compared without another round of pivots
 
 
 def min_matches(coords: int, percent: int, miss: float = MISS) -> int:
@@ -133,53 +134,35 @@ def classes(docs: DataFrame, n: int, coords: int) -> tuple[DataFrame, DataFrame]
     return signed, materialize(nodes, "nodes")
 
 
-def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int, rounds: int = ROUNDS) -> DataFrame:
-    """(node, component) for every class that links with another; ``component`` is a node."""
-    matches = min_matches(coords, percent)
-    posted = materialize(postings(nodes, coords, matches), "postings")
-    wanted = nodes.join(posted.select("node").distinct(), "node", "left_semi").select("node", F.col("first_key").alias("row_key"))
-    texts = docs.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
-    sets = materialize(shingle_sets(texts, n), "sets")
-    brief = nodes.select("node", "m", "sig")
-
-    def candidates(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and signatures allow the similarity."""
-        p = (pairs.distinct()
-                  .join(brief.select(F.col("node").alias("a"), F.col("m").alias("ma"), F.col("sig").alias("sa")), "a")
-                  .join(brief.select(F.col("node").alias("b"), F.col("m").alias("mb"), F.col("sig").alias("sb")), "b"))
-        same = F.size(F.filter(F.arrays_zip("sa", "sb"), lambda x: x["sa"] == x["sb"]))
-        return p.filter((F.least("ma", "mb") * 100 >= F.greatest("ma", "mb") * percent) & (same >= matches)).select("a", "b")
-
-    edges, label = None, None
+def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | None:
+    """(node, component) by links that share a list of ``posted`` (token, node, m), have sizes
+    m that allow the similarity and pass ``test`` (pairs a, b → those that do); None if no
+    list holds two nodes. Nodes without a link may be missing."""
+    label, found = None, None
     for r in range(rounds + 1):
-        p = posted
-        if label is not None:
-            p = p.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            # lists that still hold several components, and the component most of a list is in
-            per = p.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
-            lists = (per.groupBy("token").agg(F.max(F.struct("k", "component")).alias("main"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("comps"))
-                        .filter("comps > 1").select("token", F.col("main.component").alias("main"), (F.col("all") - F.col("main.k")).alias("others"), "all"))
-            p = materialize(p.join(lists, "token"), "open")
-            size = p.agg(F.sum(F.when(F.col("component") != F.col("main"), F.col("all"))).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
-            if not size["rows"]:
-                break
-        else:
-            p = p.withColumn("component", F.col("node"))
-            size = None
-        last = r == rounds or (size is not None and size["pairs"] <= 4 * size["rows"])
+        p = posted.withColumn("component", F.col("node")) if label is None else (
+            posted.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        # lists that hold several components, and the component most of a list is in
+        per = p.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
+        lists = (per.groupBy("token").agg(F.max(F.struct("k", "component")).alias("main"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("comps"))
+                    .filter("comps > 1").select("token", F.col("main.component").alias("main"), "all"))
+        p = materialize(p.join(lists, "token"), "open")
+        size = p.agg(F.sum(F.when(F.col("component") != F.col("main"), F.col("all"))).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
+        if not size["rows"]:
+            break
+        last = r == rounds or size["pairs"] <= OPEN_PAIRS * size["rows"]
+        a = p.select("token", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("m").alias("mx"), "main")
+        b = p.select("token", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("m").alias("my"))
+        fits = (F.col("cx") != F.col("cy")) & (F.least("mx", "my") * 100 >= F.greatest("mx", "my") * percent)
         if last:
-            a = p.filter(F.col("component") != F.col("main")).select("token", F.col("node").alias("x"), F.col("component").alias("cx"))
-            b = p.select("token", F.col("node").alias("y"), F.col("component").alias("cy"))
-            pairs = a.join(b, "token").filter("cx != cy")
+            pairs = a.filter("cx != main").join(b, "token").filter(fits)
         else:
-            pivot = p.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(r), "node").alias("h"), F.col("node"), F.col("component"))).alias("v"))
-            pivot = pivot.select("token", F.col("v.node").alias("y"), F.col("v.component").alias("cy"))
-            pairs = p.select("token", F.col("node").alias("x"), F.col("component").alias("cx")).join(pivot, "token").filter("cx != cy")
+            pivot = b.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(r), "y").alias("h"), "y", "cy", "my")).alias("v")).select("token", "v.*")
+            pairs = a.join(pivot, "token").filter(fits)
             # of a class's pivots, the one it collides with most often
             pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("hits")).groupBy("x").agg(F.max(F.struct("hits", "y")).alias("v"))
             pairs = pairs.select("x", F.col("v.y").alias("y"))
-        found = confirm(candidates(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))), sets, percent)
-        found = materialize(found, "links")
+        found = materialize(test(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()), "links")
         if label is not None:
             found = found.unionByName(label.select(F.col("component").alias("a"), F.col("node").alias("b")).filter("a != b"))
         label = components(found)
@@ -188,6 +171,29 @@ def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int,
     return label
 
 
+def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int, rounds: int = ROUNDS) -> DataFrame | None:
+    """(node, component) for every class that links with another; ``component`` is a node."""
+    matches = min_matches(coords, percent)
+    brief = nodes.select("node", "sig")
+    posted = materialize(postings(nodes, coords, matches).join(nodes.select("node", "m"), "node"), "postings")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        p = (pairs.join(brief.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
+                  .join(brief.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b"))
+        return p.filter(F.size(F.filter(F.arrays_zip("sa", "sb"), lambda x: x["sa"] == x["sb"])) >= matches).select("a", "b")
+
+    # links lie inside the components by signatures alone: full sets are needed of their members only
+    rough = linked(posted, alike, percent, rounds)
+    if rough is None:
+        return None
+    rough = materialize(rough.withColumnRenamed("component", "rough"), "rough")
+    wanted = nodes.join(rough, "node", "left_semi").select("node", F.col("first_key").alias("row_key"))
+    texts = docs.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
+    sets = materialize(shingle_sets(texts, n), "sets")
+    inside = posted.join(rough, "node").select(F.struct("token", "rough").alias("token"), "node", "m")
+    return linked(materialize(inside, "postings"), lambda pairs: confirm(alike(pairs), sets, percent), percent, rounds)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
                     coords: int = COORDS, rounds: int = ROUNDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, row_key (see there), n_shingles, component_id, kept.
@@ -203,7 +209,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     row_key(F.col(doc_id), F.col(text)).alias("row_key"))
     signed, nodes = classes(d, n, coords)
     label = links(d, nodes, n, percent, coords, rounds)
-    first = nodes.select("node", "first_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = nodes.select("node", "first_id").withColumn("component", F.col("node")) if label is None else (
+        nodes.select("node", "first_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
     smallest = first.groupBy("component").agg(F.min("first_id").alias("component_id"))
     first = first.join(smallest, "component").select(F.col("node").alias("__node"), "component_id")
     out = signed.join(first, signed.node == first["__node"], "left")
