@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from orrery.llm import decontaminate, html_text, line_dedup, lm_score, mixing, near_dedup, quality, toxicity, warc
+from orrery.llm import decontaminate, html_text, line_dedup, lm_score, mixing, near_dedup, pii, quality, toxicity, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_pii": pii.op3_pii,
     "op4_warc": warc.op4_warc,
     "op5_lm_score": lm_score.op5_lm_score,
     "op6_near_dedup": near_dedup.op6_near_dedup,
