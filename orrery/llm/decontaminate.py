@@ -173,10 +173,11 @@ class Index:
         if not texts or not self.items:
             return []
         gap = self.sizes[-1] + 2
-        known, parts, begin, at = self.vocabulary, [], [], 0
+        known, parts, begin, ends, at = self.vocabulary, [], [], [], 0
         for t in texts:
             w = item_words(t)
             begin.append(at)
+            ends.append(at + len(w))
             parts += [np.fromiter((known.get(x, -1) for x in w), np.int64, len(w)), np.full(gap, -1)]
             at += len(w) + gap
         ids, begin = np.concatenate(parts), np.array(begin)
@@ -204,9 +205,11 @@ class Index:
         for s, x in sorted(found):
             item_id, item = self.items[x]
             doc, e = int(np.searchsorted(begin, s, "right")) - 1, max_edits(len(item), self.share)
-            if best.get((doc, item_id)) == 0:
+            if s >= ends[doc]:  # a window may start in the gap before its text
+                doc += 1
+            if doc == len(ends) or best.get((doc, item_id)) == 0:
                 continue
-            d = edit_distance(item, ids[max(int(begin[doc]), s - e):s + len(item) + e])
+            d = edit_distance(item, ids[max(int(begin[doc]), s - e):min(ends[doc], s + len(item) + e)])
             if d <= e:
                 best[doc, item_id] = min(d, best.get((doc, item_id), d))
         return [(doc, item, d) for (doc, item), d in sorted(best.items())]
