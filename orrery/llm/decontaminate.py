@@ -36,7 +36,7 @@ from orrery.llm.shingles import M3, mix
 MIN_WORDS = 8
 EDIT_SHARE = 0.2
 SAMPLED = 3
-RECALL = 0.99
+RECALL = 0.999
 MOST_REPEATS = 1000
 BLOCK_WORDS = 200_000  # words of the items of a block
 PAIR_BITS = 22  # size of the table of word pairs

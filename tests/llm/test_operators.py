@@ -389,9 +389,9 @@ def test_toxicity_held_out_accuracy(spark):
 
 
 def test_toxicity_grades_and_edge_cases(spark, odd, nothing):
-    texts, y = [["bad", "bad"], ["bad", "x", "x"], ["bad", "x", "x", "x"], ["bad"], ["x"], ["y"], ["x", "y"], ["z"]] + [["z"]] * 4, np.array([1] * 4 + [0] * 8)
-    g = toxicity.grades(texts, y)
-    assert list(g[4:]) == [0] * 8 and set(g[:4]) == {1, 2} and g[0] == 2 and g[2] == 1
+    texts, y = ["bad bad", "bad xx xx", "bad xx xx xx", "bad", "xx", "yy", "xx yy", "zz"] + ["zz"] * 4, np.array([1] * 4 + [0] * 8)
+    g = toxicity.grades(toxicity.matrix(texts), y)
+    assert list(g[4:]) == [0] * 8 and set(g[:4]) == {1, 2} and g[2] == 1
     labels = spark.createDataFrame([(5, None), (None, 1), (6, 0)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)  # one class only
     got = toxicity.score(odd, model)
