@@ -7,7 +7,7 @@ grades; ordered thresholds cut the score:
     P(grade > k) = sigmoid(w.x - b_k),   b_0 <= b_1 <= ...
 
 and the expected severity is the sum of these probabilities. The grades of the labelled
-rows: 0 where ``toxic`` is 0; toxic rows have grades from 1 up by the share of their words
+rows: 0 where ``toxic`` is 0; toxic rows have grades from 1 up by the share of their features
 that occur in toxic rows far more often than in others (grades of equal size).
 
 The model is fitted on a bounded sample of the labelled rows (parameters below); scoring
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import read_table
+from orrery.llm.common import materialize, read_table
 
 BITS = 18
 PREFIXES = (4, 5, 6, 7)
@@ -72,43 +73,54 @@ class Model:
         return (1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds, -40, 40)))).sum(1)
 
 
-def matrix(texts: list[list[str]]):
-    """Sparse rows (starts, columns, values) of tokenised texts."""
-    f, starts, cols, vals = Features(), [0], [], []
-    for words in texts:
-        c, n = np.unique(np.fromiter((x for w in words for x in f.of_word(w)), np.int64), return_counts=True)
+@dataclass
+class Rows:
+    """Sparse rows: columns and values of row i are at starts[i]:starts[i + 1]."""
+
+    starts: np.ndarray
+    cols: np.ndarray
+    vals: np.ndarray
+
+
+def matrix(texts: Iterable[str | None]) -> Rows:
+    """Features of texts, read one at a time."""
+    f, starts, cols, vals = Features(1 << 16), [0], [], []
+    for t in texts:
+        words = text_words(t)
+        c, n = np.unique(np.fromiter((x for w in words for x in f.of_word(w)), np.int32), return_counts=True)
         cols.append(c)
-        vals.append(n / np.sqrt(max(1, len(words))))
+        vals.append((n / np.sqrt(max(1, len(words)))).astype(np.float32))
         starts.append(starts[-1] + len(c))
-    return np.array(starts), np.concatenate(cols) if cols else np.zeros(0, np.int64), np.concatenate(vals) if vals else np.zeros(0)
-
-
-def grades(texts: list[list[str]], toxic: np.ndarray, levels: int = GRADES) -> np.ndarray:
-    """0 for rows that aren't toxic; for the others 1 .. levels - 1 by their share of words
-    that are typical of toxic rows."""
-    counts = [{}, {}]
-    f = Features()
-    parts = [set(x for w in set(t) for x in f.of_word(w)) for t in texts]
-    for p, y in zip(parts, toxic):
-        for x in p:
-            counts[y][x] = counts[y].get(x, 0) + 1
+    return Rows(np.array(starts), np.concatenate(cols or [np.zeros(0, np.int32)]), np.concatenate(vals or [np.zeros(0, np.float32)]))
+
+
+def _rows_with(rows: Rows, toxic: np.ndarray) -> list[np.ndarray]:
+    """Per class (0, 1) and feature: rows that have it."""
+    y = np.repeat(toxic, np.diff(rows.starts))
+    return [np.bincount(rows.cols[y == k], minlength=1 << BITS) for k in (0, 1)]
+
+
+def grades(rows: Rows, toxic: np.ndarray, levels: int = GRADES) -> np.ndarray:
+    """0 for rows that aren't toxic; for the others 1 .. levels - 1 by their share of
+    features that are typical of toxic rows."""
     n = [max(1, int((toxic == y).sum())) for y in (0, 1)]
-    typical = {x for x, c in counts[1].items() if c >= 3 and c / n[1] > 8 * (counts[0].get(x, 0) + 0.5) / n[0]}
-    share = np.array([sum(any(x in typical for x in f.of_word(w)) for w in t) / max(1, len(t)) for t in texts])
-    out = np.zeros(len(texts), np.int64)
+    clean, bad = _rows_with(rows, toxic)
+    typical = (bad >= MIN_ROWS) & (bad / n[1] > 8 * (clean + 0.5) / n[0])
+    of = np.repeat(np.arange(len(toxic)), np.diff(rows.starts))
+    share = np.bincount(of, rows.vals * typical[rows.cols], len(toxic)) / np.maximum(1e-9, np.bincount(of, rows.vals, len(toxic)))
+    out = np.zeros(len(toxic), np.int64)
     rank = np.argsort(np.argsort(share[toxic == 1], kind="stable"), kind="stable")
     out[toxic == 1] = 1 + rank * (levels - 1) // max(1, len(rank))
     return out
 
 
-def fit(rows, y: np.ndarray, levels: int = GRADES, l2: float = L2, steps: int = STEPS) -> Model:
+def fit(rows: Rows, y: np.ndarray, levels: int = GRADES, l2: float = L2, steps: int = STEPS) -> Model:
     """Penalised maximum likelihood of the cumulative-link model by Adam; the thresholds
     stay ordered as the first plus positive gaps. Rows of grade 0 and of the grades above
     weigh the same in sum. Without rows of two grades the severity is 0."""
-    starts, cols, vals = rows
-    row = np.repeat(np.arange(len(y)), np.diff(starts))
+    cols, row = rows.cols, np.repeat(np.arange(len(y)), np.diff(rows.starts))
     often = np.bincount(cols, minlength=1 << BITS)[cols] >= MIN_ROWS
-    row, cols, vals = row[often], cols[often], vals[often]
+    row, cols, vals = row[often], cols[often], rows.vals[often]
     each = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
     if len(np.unique(y)) < 2:
         return Model(np.zeros(1 << BITS, np.float32), np.full(levels - 1, 40.0))
@@ -143,7 +155,7 @@ def fit(rows, y: np.ndarray, levels: int = GRADES, l2: float = L2, steps: int =
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-                  rows: int = SAMPLE_ROWS, words: int = SAMPLE_WORDS) -> tuple[list[list[str]], np.ndarray]:
+                  rows: int = SAMPLE_ROWS, words: int = SAMPLE_WORDS) -> tuple[Rows, np.ndarray]:
     """A sample of the labelled rows: of each class the ``rows`` ids that come first by MD5,
     without texts of more than ``words`` words. Null ids, labels and texts are left out."""
     known = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg(
@@ -153,15 +165,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     picked = F.broadcast(part[0].unionByName(part[1]))  # 2 * rows ids at most
     got = (docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
                .join(picked, "__id").filter(F.size(F.split("__text", r"\s+")) <= words)
-               .dropDuplicates(["__id"]).select("__id", "__text", "toxic").collect())
-    got.sort(key=lambda r: r["__id"])
-    return [text_words(r["__text"]) for r in got], np.array([r["toxic"] for r in got], np.int64)
+               .groupBy("__id", "toxic").agg(F.min("__text").alias("__text")).orderBy("__id"))
+    toxic = []
+
+    def texts():  # a partition at a time; only features stay on the driver
+        for r in materialize(got, "sample").toLocalIterator():
+            toxic.append(r["toxic"])
+            yield r["__text"]
+
+    m = matrix(texts())
+    return m, np.array(toxic, np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, **names) -> Model:
     """Fit the model on a bounded sample of the labelled rows."""
-    texts, toxic = training_rows(docs, labels, **names)
-    return fit(matrix(texts), grades(texts, toxic))
+    rows, toxic = training_rows(docs, labels, **names)
+    return fit(rows, grades(rows, toxic))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "severity") -> DataFrame:
