@@ -31,7 +31,8 @@ ORDER = 2
 MIN_COUNT = 2
 ALPHA = 0.4
 CHUNK_WORDS = 1 << 19
-PARTITION_WORDS = 1 << 22  # words of the corpus per hash partition
+PARTITION_WORDS = 1 << 21  # words of the corpus per hash partition
+KEY_BITS = 56  # of an n-gram's hash
 SCORES = "doc_id long, n_words long, n_backoff long, log_score long"
 
 
@@ -92,7 +93,7 @@ def grams(words: np.ndarray, starts: np.ndarray, order: int) -> list[tuple[np.nd
             # the word k places before joins from the left
             before = np.concatenate([np.zeros(min(k, len(words)), np.uint64), words[:max(0, len(words) - k)]])
             h = mix(h * M3 + mix(before + np.uint64(k + 1)))
-            out.append((h, starts >= k))
+            out.append((h >> np.uint64(64 - KEY_BITS), starts >= k))
     return out
 
 
@@ -115,7 +116,7 @@ def posts(chunked: DataFrame, order: int, parts: int) -> DataFrame:
     """part, chunk, k, keys, counts: a chunk's distinct n-grams of order k by hash range."""
     schema = "part int, chunk string, k int, keys binary, counts binary"
     kinds = [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary()]
-    edges = [(p << 64) // parts for p in range(1, parts)]
+    edges = [(p << KEY_BITS) // parts for p in range(1, parts)]
 
     def post(batches):
         for b in batches:

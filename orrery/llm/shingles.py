@@ -19,7 +19,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Hasher:
     """Hashes of words, remembered up to ``most`` words per task."""
 
-    def __init__(self, most: int = 1 << 20):
+    def __init__(self, most: int = 1 << 18):
         self.known, self.most = {}, most
 
     def words(self, text: str | None) -> np.ndarray:
