@@ -95,11 +95,13 @@ def normal_cdf(z: Column) -> Column:
 
 
 def dense_cosine(a, b):
-    """Cosine of two equal-length numeric arrays, in native higher-order functions."""
+    """Cosine of two equal-length numeric arrays in double precision, in native
+    higher-order functions; null if one of them is all zero."""
+    a, b = a.cast("array<double>"), b.cast("array<double>")
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
     na = F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda s, v: s + v))
     nb = F.sqrt(F.aggregate(F.transform(b, lambda x: x * x), F.lit(0.0), lambda s, v: s + v))
-    return dot / (na * nb)
+    return F.try_divide(dot, na * nb)
 
 
 def hash_order(key: str, seed: int | str) -> Column:

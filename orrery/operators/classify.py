@@ -109,12 +109,17 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
 
 def knn_vote(neigh: DataFrame, k: int | None = None, weighted: bool = False,
              k_col: str | None = None, extra_keys: list[str] | None = None) -> DataFrame:
-    """Majority (or 1/distance-weighted) vote; ties go to the smallest label.
+    """Majority (or 1/distance-weighted) vote; ties go to the smallest label. Weighted,
+    the neighbours at distance 0, if any, decide alone.
     With ``k_col`` the vote is per (test_id, k); ``extra_keys`` (e.g. a fold) are
     kept in the key."""
     n = neigh if k is None else neigh.filter(F.col("nb_rank") <= k)
     keys = (extra_keys or []) + ["test_id"] + ([k_col] if k_col else [])
-    wgt = (1.0 / F.col("dist")) if weighted else F.lit(1.0)
+    if weighted:
+        # neighbours at distance 0 alone vote, one vote each
+        same = n.groupBy(*keys).agg(F.max(F.col("dist") == 0).alias("_same"))
+        n = n.join(same, keys).filter(~F.col("_same") | (F.col("dist") == 0))
+    wgt = F.coalesce(F.try_divide(F.lit(1.0), F.col("dist")), F.lit(1.0)) if weighted else F.lit(1.0)
     votes = n.groupBy(*keys, "nb_label").agg(F.sum(wgt).alias("_v"))
     return votes.groupBy(*keys).agg(
         F.min_by("nb_label", F.struct(-F.col("_v"), F.col("nb_label"))).alias("pred"))

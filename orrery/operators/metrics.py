@@ -9,6 +9,9 @@ threshold's own counts and the running totals.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +63,8 @@ def f1_table(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def roc_points(df: DataFrame, label: str, score: str, group: list[str] | None = None) -> DataFrame:
     """One point per distinct score threshold (descending): the rows with score >=
-    threshold are called positive. Ties share a point (range semantics)."""
+    threshold are called positive. Ties share a point (range semantics). Rates of a
+    class that has no row are null."""
     group = group or []
     c = df.groupBy(*group, F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
@@ -68,17 +72,22 @@ def roc_points(df: DataFrame, label: str, score: str, group: list[str] | None =
     c = c.withColumn("_neg_thr", -F.col("threshold"))
     c = running_total(c, ["_neg_thr"], ["pos", "neg"], partition=group, out=["cum_pos", "cum_neg"])
     tot = c.groupBy(*group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    c = c.join(tot, group) if group else attach_scalar(c, tot)
-    return (c.withColumn("tpr", F.col("cum_pos") / F.col("P"))
-             .withColumn("fpr", F.col("cum_neg") / F.col("N"))
+    if group:
+        tot = tot.select(*[F.col(g).alias(f"__{g}") for g in group], "P", "N")
+        same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group])
+        c = c.join(tot, same).drop(*[f"__{g}" for g in group])
+    else:
+        c = attach_scalar(c, tot)
+    return (c.withColumn("tpr", F.try_divide("cum_pos", "P"))
+             .withColumn("fpr", F.try_divide("cum_neg", "N"))
              .drop("_neg_thr"))
 
 
 def roc_auc(points: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Trapezoid area under the ROC points; equals the Mann-Whitney statistic with
-    ties counted one half. All scores equal → 0.5."""
+    ties counted one half. All scores equal → 0.5; null without positives or negatives."""
     group = group or []
-    term = F.col("neg") * (2 * F.col("cum_pos") - F.col("pos")) / (2.0 * F.col("P") * F.col("N"))
+    term = F.try_divide(F.col("neg") * (2 * F.col("cum_pos") - F.col("pos")), 2.0 * F.col("P") * F.col("N"))
     return points.groupBy(*group).agg(F.sum(term).alias("auc"))
 
 
@@ -96,14 +105,15 @@ def ovr_auc(df: DataFrame, label: str, prob_cols: dict) -> DataFrame:
 
 
 def classification_summary(df: DataFrame, label: str, pred: str, prob_cols: dict | None = None) -> DataFrame:
-    """accuracy, macro F1 (unweighted mean over classes), weighted one-vs-rest AUC."""
+    """accuracy, macro F1 (unweighted mean over classes), one-vs-rest AUC weighted by
+    support over the classes that have positives and negatives (null if none has)."""
     acc = df.agg(F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"),
                  F.count(F.lit(1)).alias("n"))
     f1 = f1_table(df, label, pred).agg(F.avg("f1").alias("macro_f1"))
     out = attach_scalar(acc, f1)
     if prob_cols:
         a = ovr_auc(df, label, prob_cols).agg(
-            (F.sum(F.col("auc") * F.col("support")) / F.sum("support")).alias("weighted_auc"))
+            F.try_divide(F.sum(F.col("auc") * F.col("support")), F.sum(F.when(F.col("auc").isNotNull(), F.col("support")))).alias("weighted_auc"))
         out = attach_scalar(out, a)
     return out
 

@@ -450,21 +450,24 @@ def fit_discriminant(train: DataFrame, label: str, feats: list[str], quadratic:
                      reg: float = 0.0) -> dict:
     """Model dict: classes, means, log priors, and either the pooled precision
     matrix (LDA) or per-class precision matrices and log-determinants (QDA).
-    Covariances are unbiased (n - k, resp. n_c - 1 denominators)."""
+    Covariances are unbiased (n - k, resp. n_c - 1 denominators). A class whose own
+    covariance is singular (a feature constant within it, or too few rows) takes the
+    pooled one in QDA."""
     st = _class_stats(train, label, feats)
     classes = sorted(st)
     p = len(feats)
     n = sum(s.n for s in st.values())
-    means = {c: st[c].sx / st[c].n for c in classes}
-    scat = {c: st[c].sxx - st[c].n * np.outer(means[c], means[c]) for c in classes}
+    means = {c: st[c].mean for c in classes}
+    scat = {c: st[c].scatter for c in classes}
+    pooled = sum(scat.values()) / max(n - len(classes), 1) + reg * np.eye(p)
     model = {"classes": classes, "means": np.array([means[c] for c in classes]),
              "log_prior": np.log(np.array([st[c].n / n for c in classes])), "quadratic": quadratic}
     if quadratic:
         covs = [scat[c] / max(st[c].n - 1, 1) + reg * np.eye(p) for c in classes]
+        covs = [pooled if np.linalg.matrix_rank(c, hermitian=True) < p else c for c in covs]
         model["prec"] = np.array([np.linalg.pinv(c) for c in covs])
         model["logdet"] = np.array([np.linalg.slogdet(c)[1] for c in covs])
     else:
-        pooled = sum(scat.values()) / max(n - len(classes), 1) + reg * np.eye(p)
         model["prec"] = np.linalg.pinv(pooled)
     return model
 

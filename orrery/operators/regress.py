@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -30,11 +32,12 @@ from orrery.functions.columns import AS_B, AS_P, normal_cdf, soft_threshold  # n
 
 
 def wald_two_prop(df: DataFrame, n1: str, k1: str, n2: str, k2: str) -> DataFrame:
-    """Wald test of equal proportions: z = (p1-p2)/sqrt(p1q1/n1 + p2q2/n2), two-sided p."""
-    p1 = F.col(k1) / F.col(n1)
-    p2 = F.col(k2) / F.col(n2)
-    se = F.sqrt(p1 * (1 - p1) / F.col(n1) + p2 * (1 - p2) / F.col(n2))
-    z = F.when(se > 0, (p1 - p2) / se)
+    """Wald test of equal proportions: z = (p1-p2)/sqrt(p1q1/n1 + p2q2/n2), two-sided p;
+    null without trials on a side or without variance."""
+    p1 = F.try_divide(F.col(k1), F.col(n1))
+    p2 = F.try_divide(F.col(k2), F.col(n2))
+    se = F.sqrt(F.try_divide(p1 * (1 - p1), F.col(n1)) + F.try_divide(p2 * (1 - p2), F.col(n2)))
+    z = F.when(se > 0, F.try_divide(p1 - p2, se))
     return (df.withColumn("p1", p1).withColumn("p2", p2).withColumn("z", z)
               .withColumn("p_value", 2 * (1 - normal_cdf(F.abs(F.col("z"))))))
 
@@ -42,22 +45,34 @@ def wald_two_prop(df: DataFrame, n1: str, k1: str, n2: str, k2: str) -> DataFram
 # ---------------------------------------------------------------- sufficient statistics
 
 def gram_stats(df: DataFrame, y: str, xs: list[str], group: list[str]) -> DataFrame:
-    """One row per group: n, sx_i, sy, sxx_i_j (i <= j), sxy_i, syy."""
+    """One row per group: n, the means c_i and cy, and the sums of the differences from
+    them: sx_i, sy, sxx_i_j (i <= j), sxy_i, syy.
+
+    Two passes: the means first, then products of differences, so a large mean costs no
+    precision. Null groups are a group.
+    """
     p = len(xs)
-    xc = [F.col(c).cast("double") for c in xs]
-    yc = F.col(y).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(yc).alias("sy"), F.sum(yc * yc).alias("syy")]
+    means = df.groupBy(*group).agg(*[F.avg(F.col(c).cast("double")).alias(f"c_{i}") for i, c in enumerate(xs)],
+                                   F.avg(F.col(y).cast("double")).alias("cy"))
+    keyed = means.select(*[F.col(g).alias(f"__{g}") for g in group], *[f"c_{i}" for i in range(p)], "cy")
+    d = df.join(keyed, reduce(and_, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]))
+    xc = [F.col(c).cast("double") - F.col(f"c_{i}") for i, c in enumerate(xs)]
+    yc = F.col(y).cast("double") - F.col("cy")
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(yc).alias("sy"), F.sum(yc * yc).alias("syy"), F.first("cy").alias("cy")]
+    aggs += [F.first(f"c_{i}").alias(f"c_{i}") for i in range(p)]
     aggs += [F.sum(xc[i]).alias(f"sx_{i}") for i in range(p)]
     aggs += [F.sum(xc[i] * yc).alias(f"sxy_{i}") for i in range(p)]
     aggs += [F.sum(xc[i] * xc[j]).alias(f"sxx_{i}_{j}") for i in range(p) for j in range(i, p)]
-    return df.groupBy(*group).agg(*aggs)
+    return d.groupBy(*group).agg(*aggs)
 
 
 class Suff:
-    """Sufficient statistics of one group, as NumPy arrays."""
+    """Sufficient statistics of one group about (cx, cy), as NumPy arrays."""
 
     def __init__(self, row, p: int):
         self.n = float(row["n"])
+        self.cy = float(row["cy"])
+        self.cx = np.array([row[f"c_{i}"] for i in range(p)], dtype=float)
         self.sy = float(row["sy"])
         self.syy = float(row["syy"])
         self.sx = np.array([row[f"sx_{i}"] for i in range(p)], dtype=float)
@@ -68,23 +83,30 @@ class Suff:
                 m[i, j] = m[j, i] = row[f"sxx_{i}_{j}"]
         self.sxx = m
 
+    @property
+    def mean(self):
+        return self.cx + self.sx / self.n
+
+    @property
+    def scatter(self):
+        """Sum of squares and products about the mean."""
+        return self.sxx - np.outer(self.sx, self.sx) / self.n
+
 
 def standardiser(s: Suff):
     """Population mean / std of x and y of the fitting set."""
-    mx = s.sx / s.n
-    sd = np.sqrt(np.maximum(np.diag(s.sxx) / s.n - mx * mx, 0.0))
+    sd = np.sqrt(np.maximum(np.diag(s.scatter) / s.n, 0.0))
     sd[sd == 0] = 1.0
-    my = s.sy / s.n
-    sy = math.sqrt(max(s.syy / s.n - my * my, 0.0)) or 1.0
-    return mx, sd, my, sy
+    sy = math.sqrt(max((s.syy - s.sy * s.sy / s.n) / s.n, 0.0)) or 1.0
+    return s.mean, sd, s.cy + s.sy / s.n, sy
 
 
 def centred(s: Suff, mx, sd, my, sy):
     """Z'Z, Z'v, v'v, n for z = (x - mx)/sd, v = (y - my)/sy over the rows of ``s``."""
-    d = 1.0 / sd
-    zz = (s.sxx - np.outer(mx, s.sx) - np.outer(s.sx, mx) + s.n * np.outer(mx, mx)) * np.outer(d, d)
-    zv = (s.sxy - my * s.sx - mx * s.sy + s.n * mx * my) * d / sy
-    vv = (s.syy - 2 * my * s.sy + s.n * my * my) / (sy * sy)
+    d, dx, dy = 1.0 / sd, s.cx - mx, s.cy - my
+    zz = (s.sxx + np.outer(dx, s.sx) + np.outer(s.sx, dx) + s.n * np.outer(dx, dx)) * np.outer(d, d)
+    zv = (s.sxy + dy * s.sx + dx * s.sy + s.n * dx * dy) * d / sy
+    vv = (s.syy + 2 * dy * s.sy + s.n * dy * dy) / (sy * sy)
     return zz, zv, vv, s.n
 
 

@@ -5,10 +5,9 @@
   most partitions + groups rows), prefix-sum those counts, and add the offset to a
   row number inside each range partition. A hot group is spread over several range
   partitions because the order columns split it.
-* ``salted_self_join`` — self equi-join where keys with many rows are split into
-  ``salts`` sub-keys on one side and replicated on the other, so a key holding a
-  third of all rows is worked on by many tasks. Only keys above a threshold are
-  salted, at most the 10,000 largest: the broadcast key list has a fixed bound.
+* ``salted_self_join`` — self equi-join where keys with many rows are split into as
+  many sub-keys as their size asks for on one side and replicated on the other, so a
+  key holding a third of all rows is worked on by many tasks.
 * ``explode_count`` — expand (row, n) into n rows in bounded chunks, so one huge
   count does not become one huge array in one task.
 """
@@ -48,123 +47,73 @@ def ranked(df: DataFrame, order: list, partition: list[str] | None = None,
     firsts = r.groupBy("__rk_pid", *partition).agg(F.min("__rk_idx").alias("__rk_first"), F.count(F.lit(1)).alias("__rk_n"))
     wo = Window.partitionBy(*partition).orderBy("__rk_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = firsts.withColumn("__rk_off", F.coalesce(F.sum("__rk_n").over(wo), F.lit(0))).drop("__rk_n")
-    if not partition:
-        offsets = F.broadcast(offsets)  # one row per range partition
-    return (r.join(offsets, ["__rk_pid", *partition])
-             .withColumn(out, F.col("__rk_off") + F.col("__rk_idx") - F.col("__rk_first") + 1)
-             .drop("__rk_pid", "__rk_idx", "__rk_first", "__rk_off"))
+    return (_with_offsets(r, offsets, partition)
+            .withColumn(out, F.col("__rk_off") + F.col("__rk_idx") - F.col("__rk_first") + 1)
+            .drop("__rk_pid", "__rk_idx", "__rk_first", "__rk_off"))
 
 
-# offsets tables up to this many rows are shipped to the tasks as a parameter
-OFFSETS_BROADCAST_ROWS = 100_000
+def _with_offsets(r: DataFrame, offsets: DataFrame, partition: list[str]) -> DataFrame:
+    """Join the offsets of each (range partition, group); null groups are a group. Left
+    to AQE: small tables are broadcast at runtime, large range partitions split."""
+    o = offsets.select(F.col("__rk_pid").alias("__o_pid"), *[F.col(g).alias(f"__o_{i}") for i, g in enumerate(partition)],
+                       *[c for c in offsets.columns if c not in ("__rk_pid", *partition)])
+    same = F.col("__rk_pid") == F.col("__o_pid")
+    for i, g in enumerate(partition):
+        same = same & F.col(g).eqNullSafe(F.col(f"__o_{i}"))
+    return r.join(o, same).drop("__o_pid", *[f"__o_{i}" for i in range(len(partition))])
 
 
 def running_total(df: DataFrame, order: list, value, partition: list[str] | None = None,
                   out="cum", num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sum(s) of ``value`` (a column name or a list of them) under
-    a total ``order`` (within ``partition``).
-
-    One shuffle: range partitioning on (partition, order), sorted inside each range
-    partition and materialised by a reliable checkpoint. Totals per (range
-    partition, group) give each partition's starting offsets (a table of at most
-    partitions + groups rows). When that table is small (a bounded read), a vectorised
-    pass over each sorted partition carries the running sums from the offsets — no
-    second shuffle; otherwise offsets are joined and a window per (range
-    partition, group) adds the local running sum.
-    """
-    import numpy as np
-    import pandas as pd
+    a total ``order`` (within ``partition``; null groups are a group).
 
+    Range partitioning on (partition, order), materialised by a reliable checkpoint.
+    Totals per (range partition, group) give each partition's starting offsets (a table
+    of at most partitions + groups rows); a window per (range partition, group) adds
+    the running sum inside. Integer and decimal sums stay exact.
+    """
     partition = partition or []
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(partition) + _cols(order)
     r = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
-    r = r.withColumn("__rt_pid", F.spark_partition_id())
-    tot = r.groupBy("__rt_pid", *partition).agg(*[F.sum(v).alias(f"__rt_t{i}") for i, v in enumerate(values)])
-    types = dict(df.dtypes)
-    out_types = ["bigint" if types[v] in ("int", "bigint", "smallint", "tinyint") else "double" for v in values]
-
-    head = tot.limit(OFFSETS_BROADCAST_ROWS + 1).collect()  # bounded read of a small table
-    if len(head) <= OFFSETS_BROADCAST_ROWS:
-        table, acc = {}, {}
-        for row in sorted(head, key=lambda x: (tuple(str(x[c]) for c in partition), x["__rt_pid"])):
-            g = tuple(row[c] for c in partition)
-            prev = acc.get(g, [0] * len(values))
-            table[(row["__rt_pid"],) + g] = list(prev)
-            acc[g] = [a + (row[f"__rt_t{i}"] or 0) for i, a in enumerate(prev)]
-        bc = spark.sparkContext.broadcast(table)
-        schema = ", ".join(f"`{c}` {t}" for c, t in r.dtypes) + ", " + ", ".join(
-            f"`{o}` {t}" for o, t in zip(outs, out_types))
-
-        def carry(batches):
-            offs = bc.value
-            run = {}  # group -> running sums inside this range partition
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                gkeys = list(zip(pdf["__rt_pid"], *[pdf[c] for c in partition])) if partition else \
-                    [(p,) for p in pdf["__rt_pid"]]
-                codes, uniq = pd.factorize(pd.Series(gkeys, dtype=object))
-                for i, v in enumerate(values):
-                    col = pdf[v].fillna(0).to_numpy()
-                    local = pd.Series(col).groupby(codes).cumsum().to_numpy()
-                    base = np.array([run.get((g, i), offs.get(g, [0] * len(values))[i] or 0) for g in uniq])
-                    pdf[outs[i]] = base[codes] + local
-                    last = pd.Series(pdf[outs[i]].to_numpy()).groupby(codes).last()
-                    for code, val in last.items():
-                        run[(uniq[code], i)] = val
-                yield pdf
-
-        res = r.mapInPandas(carry, schema)
-        return res.drop("__rt_pid")
-
-    wo = Window.partitionBy(*partition).orderBy("__rt_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select("__rt_pid", *partition,
-                         *[F.coalesce(F.sum(f"__rt_t{i}").over(wo), F.lit(0)).alias(f"__rt_o{i}")
-                           for i in range(len(values))])
-    w = (Window.partitionBy("__rt_pid", *partition).orderBy(*_cols(order))
+    r = r.withColumn("__rk_pid", F.spark_partition_id())
+    tot = r.groupBy("__rk_pid", *partition).agg(*[F.sum(v).alias(f"__rt_t{i}") for i, v in enumerate(values)])
+    wo = Window.partitionBy(*partition).orderBy("__rk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tot.select("__rk_pid", *partition, *[F.sum(f"__rt_t{i}").over(wo).alias(f"__rt_o{i}") for i in range(len(values))])
+    w = (Window.partitionBy("__rk_pid", *partition).orderBy(*_cols(order))
                .rowsBetween(Window.unboundedPreceding, 0))
-    res = r.join(offsets, ["__rt_pid", *partition])
-    for i, (v, o) in enumerate(zip(values, outs)):
-        res = res.withColumn(o, F.col(f"__rt_o{i}") + F.sum(v).over(w))
-    return res.drop("__rt_pid", *[f"__rt_o{i}" for i in range(len(values))])
-
-
-# at most this many keys are salted (the broadcast list has a fixed size bound)
-MAX_HEAVY_KEYS = 10_000
+    res = r.withColumns({f"__rt_s{i}": F.coalesce(F.sum(v).over(w), F.lit(0)) for i, v in enumerate(values)})
+    res = _with_offsets(res, offsets, partition)
+    res = res.withColumns({o: F.coalesce(F.col(f"__rt_o{i}"), F.lit(0)) + F.col(f"__rt_s{i}") for i, o in enumerate(outs)})
+    return res.drop("__rk_pid", *[f"__rt_{x}{i}" for x in "so" for i in range(len(values))])
 
 
-def heavy_keys(df: DataFrame, key: str, threshold: int, max_keys: int = MAX_HEAVY_KEYS) -> DataFrame:
-    """The (at most ``max_keys``) largest keys with more than ``threshold`` rows.
-    Keys beyond the cap are joined unsalted: the result is the same, only the
-    balance differs."""
+def heavy_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
+    """The keys with more than ``threshold`` rows, and into how many parts of at most
+    that size each is split. At most rows / threshold keys; the join with it is left to
+    AQE, which broadcasts it only if its measured size allows."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
               .filter(F.col("_cnt") > threshold)
-              .orderBy(F.col("_cnt").desc(), F.col(key)).limit(max_keys)
-              .select(key, F.lit(True).alias("_heavy")))
+              .select(key, F.ceil(F.col("_cnt") / threshold).cast("int").alias("_parts")))
 
 
 def salted_self_join(left: DataFrame, right: DataFrame, key: str, salt_by: Column | str,
-                     threshold: int = 100_000, salts: int = 32) -> DataFrame:
-    """``left ⋈ right`` on ``key`` with heavy keys split ``salts`` ways.
+                     threshold: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """The sides of ``left ⋈ right`` on (``key``, ``_salt``), heavy keys split into parts of
+    about ``threshold`` rows.
 
     ``salt_by`` is a column of ``left`` hashed into the salt (e.g. the item id), so
     the split is deterministic. Light keys keep salt 0 on both sides and join as a
     plain hash join.
     """
-    hk = F.broadcast(heavy_keys(left, key, threshold))
+    hk = heavy_keys(left, key, threshold)
     sb = F.col(salt_by) if isinstance(salt_by, str) else salt_by
-    lft = (left.join(hk, key, "left")
-               .withColumn("_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(sb), F.lit(salts)))
-                                     .otherwise(F.lit(0)))
-               .drop("_heavy"))
-    rgt = (right.join(hk, key, "left")
-                .withColumn("_salt", F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                               .otherwise(F.array(F.lit(0)))))
-                .drop("_heavy"))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    lft = left.join(hk, key, "left").withColumn("_salt", F.pmod(F.xxhash64(sb), parts).cast("int")).drop("_parts")
+    rgt = right.join(hk, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     return lft, rgt
 
 

@@ -35,12 +35,12 @@ def held_out_rows(df: DataFrame, train: DataFrame, key: str) -> DataFrame:
 def stratified(df: DataFrame, key: str, label: str, frac: float = 0.8, seed: int = 42,
                out: str = "split") -> DataFrame:
     """Per class, the first ``floor(frac * n_class)`` rows in hash order are train:
-    class shares are kept. Per-class positions come from ``ranked`` partitioned by
+    class shares are kept; a null class is one. Per-class positions come from ``ranked`` partitioned by
     the class, so a dominant class is still spread over many tasks."""
     h = df.withColumn("_h", hash_order(key, seed))
     r = ranked(h, ["_h", key], partition=[label], out="_rk")
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return (r.join(n, label)
+    n = df.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    return (r.join(n, F.col(label).eqNullSafe(F.col("_l"))).drop("_l")
              .withColumn(out, F.when(F.col("_rk") <= F.floor(F.col("_n") * frac), F.lit("train"))
                                .otherwise(F.lit("test")))
              .drop("_h", "_rk", "_n"))

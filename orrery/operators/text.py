@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 
 from orrery.functions.columns import TOKEN_SPLIT, VADER_ALPHA, feed_rows, normalise, parse_compact_time, parse_tweet_time, sentiment_bucket, to_json_value, tokens  # noqa: F401
 
-# lexicons up to this many entries are broadcast (a hash table of at most this
-# many short strings per executor); larger ones are joined with a shuffle on the
-# token, where AQE splits hot tokens.
-BROADCAST_LEXICON_LIMIT = 1_000_000
-
 
 def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
                       token_col: str = "token", valence_col: str = "valence", out: str = "compound",
@@ -26,14 +21,11 @@ def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
     """Add ``out`` (compound score in [-1, 1]) to every row of ``df`` (``id_col``
     unique).
 
-    Plan: tokens are exploded and hash-joined to the lexicon map-side (broadcast
-    when its row count is within the limit), valences get a partial sum per row
-    before the shuffle, and the per-row sums are left-joined back so rows without a
-    lexicon token score 0. Only matched tokens ever leave the scan task.
+    Plan: tokens are exploded and joined to the lexicon, valences get a partial sum per
+    row before the shuffle, and the per-row sums are left-joined back so rows without a
+    lexicon token score 0. The join strategy is Spark's, by the lexicon's measured size.
     """
     lex = lexicon.select(F.col(token_col).alias("_tok"), F.col(valence_col).cast("double").alias("_val"))
-    if lexicon.count() <= BROADCAST_LEXICON_LIMIT:
-        lex = F.broadcast(lex)
     # empty tokens (text starting with a non-letter) never match a lexicon entry
     tok = df.select(F.col(id_col).alias("_id"), F.explode(F.split(F.lower(F.col(text)), TOKEN_SPLIT)).alias("_tok"))
     s = tok.join(lex, "_tok").groupBy("_id").agg(F.sum("_val").alias("_s"))

@@ -21,8 +21,9 @@ from orrery.operators.scalar_join import attach_scalar
 def series_daily(df: DataFrame, series: str, ts: str, value: str, out: str = "close",
                  how: str = "avg") -> DataFrame:
     """One row per (series, day): the daily mean (or other aggregate) of ``value``."""
-    agg = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "last": F.max}[how]
-    return (df.select(F.col(series).alias(series), F.to_date(F.col(ts)).alias("date"),
+    last = lambda c: F.max_by(c, "_ts")  # noqa: E731  the value at the latest time
+    agg = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "last": last}[how]
+    return (df.select(F.col(series).alias(series), F.to_date(F.col(ts)).alias("date"), F.col(ts).alias("_ts"),
                       F.col(value).cast("double").alias(value))
               .groupBy(series, "date")
               .agg(agg(value).alias(out)))
@@ -33,15 +34,10 @@ def _w(series: str | list[str], date: str):
     return Window.partitionBy(*keys).orderBy(date)
 
 
-# Above this many rows in one series the window form would put that series in one
-# task; the exploded form is used instead (exact, same output).
-HOT_SERIES_ROWS = 5_000_000
-
-
 def lag_features(df: DataFrame, series: str, date: str, value: str, n_lags: int = 10,
                  include_current: bool = True, out: str = "features",
                  label: str = "label", extra: list[str] | None = None,
-                 keep_null_label: bool = False, hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+                 keep_null_label: bool = False) -> DataFrame:
     """Trailing list of ``n_lags`` values and a label.
 
     ``include_current=True`` (batch layout): frame rows -(n-1)..0 and the label is the
@@ -55,15 +51,10 @@ def lag_features(df: DataFrame, series: str, date: str, value: str, n_lags: int
     entries (a null extra value still counts as an entry, as ``array(NULL)`` does).
     ``keep_null_label`` keeps rows whose label is missing (rows to be forecast).
 
-    Rows of a series are ordered by ``date`` (unique within a series). When
-    ``hot_series_rows`` is set and some series has more rows than that, the exploded
-    form is used: no window partition holds a whole series.
+    Rows of a series are ordered by ``date``, unique within a series; a null series is
+    one. The input is one row per series and day (``series_daily``), so a window
+    partition is bounded by the calendar whatever the raw volume of a series.
     """
-    if hot_series_rows is not None:
-        biggest = df.groupBy(series).count().agg(F.max("count")).first()[0] or 0
-        if biggest > hot_series_rows:
-            return lag_features_exploded(df, series, date, value, n_lags, include_current, out, label,
-                                         extra, keep_null_label)
     w = _w(series, date)
     if include_current:
         frame = w.rowsBetween(-(n_lags - 1), 0)
@@ -86,42 +77,6 @@ def lag_features(df: DataFrame, series: str, date: str, value: str, n_lags: int
     return out_df.withColumn(out, feats).drop("_lags")
 
 
-def lag_features_exploded(df: DataFrame, series: str, date: str, value: str, n_lags: int = 10,
-                          include_current: bool = True, out: str = "features", label: str = "label",
-                          extra: list[str] | None = None, keep_null_label: bool = False) -> DataFrame:
-    """Same result as the window form without any per-series window: positions come
-    from the distributed ``ranked``; every row is sent to the n + 1 target positions
-    whose window (or label) it belongs to, and each target is one small group of
-    n + 1 rows. A series of any size is spread over all tasks."""
-    from orrery.operators.skew import ranked
-    r = ranked(df, [date], partition=[series], out="_rn")
-    cols = [c for c in df.columns if c != series]
-    if include_current:
-        feat_ks, label_k = list(range(0, n_lags)), -1     # rows t-(n-1)..t; label from t+1
-    else:
-        feat_ks, label_k = list(range(1, n_lags + 1)), 0  # rows t-n..t-1; label = row t
-    ks = sorted(set(feat_ks + [label_k, 0]))
-    e = r.select(series, "_rn", F.col(value).cast("double").alias("_v"), F.col(date).alias("_d"),
-                 F.struct(*[F.col(c) for c in cols]).alias("_row"),
-                 F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"))
-    e = e.withColumn("_t", F.col("_rn") + F.col("_k"))
-    is_feat = F.col("_k").isin(feat_ks) & F.col("_v").isNotNull()
-    g = e.groupBy(series, "_t").agg(
-        F.array_sort(F.collect_list(F.when(is_feat, F.struct((-F.col("_k")).alias("o"), F.col("_v").alias("v")))))
-         .alias("_f"),
-        F.max(F.when(F.col("_k") == label_k, F.col("_v"))).alias(label),
-        F.max(F.when(F.col("_k") == label_k, F.col("_d"))).alias("target_date"),
-        F.max(F.when(F.col("_k") == 0, F.col("_row"))).alias("_own"))
-    g = g.filter(F.col("_own").isNotNull() & (F.size("_f") == n_lags))
-    if not keep_null_label:
-        g = g.filter(F.col(label).isNotNull())
-    feats = F.transform("_f", lambda x: x["v"])
-    if extra:
-        feats = F.concat(feats, F.array(*[F.col("_own")[c].cast("double") for c in extra]))
-    return g.select(series, *[F.col("_own")[c].alias(c) for c in cols], label, "target_date",
-                    feats.alias(out))
-
-
 def warmup_drop(df: DataFrame, series: str, date: str, k: int = 10) -> DataFrame:
     """Drop the first ``k`` rows of each series (dates after the k-th smallest)."""
     w = _w(series, date)

@@ -29,14 +29,14 @@ FREE_AFTERNOON = 1.0     # a free room in one of the last two periods of a day
 
 
 def conflict_edges(enrol: DataFrame, student: str = "student", course: str = "course",
-                   salt_threshold: int = 10_000, salts: int = 32) -> DataFrame:
+                   salt_threshold: int = 10_000) -> DataFrame:
     """Distinct ordered pairs (course_a, course_b), a != b, of courses sharing at
     least one student (both directions, irreflexive). Enrolments are deduplicated
-    first; students with more than ``salt_threshold`` courses are split over
-    ``salts`` tasks so one hot student does not produce all its pairs in one task."""
+    first; students with more than ``salt_threshold`` courses are split by
+    size so one hot student does not produce all its pairs in one task."""
     # both join sides and the heavy-key count read the deduplicated enrolments
     e = cut_lineage(enrol.select(F.col(student).alias("_s"), F.col(course).alias("_c")).distinct())
-    left, right = salted_self_join(e, e, "_s", "_c", salt_threshold, salts)
+    left, right = salted_self_join(e, e, "_s", "_c", salt_threshold)
     a = left.select("_s", "_salt", F.col("_c").alias("course_a"))
     b = right.select("_s", "_salt", F.col("_c").alias("course_b"))
     return (a.join(b, ["_s", "_salt"]).filter(F.col("course_a") != F.col("course_b"))

@@ -27,9 +27,7 @@ PRICES_SQL = """prices AS (
 def scaled_split(spark, sf):
     """prices → 30-day split per series → min-max fitted on train rows.
 
-    The series are daily aggregates, so a series has at most one row per calendar
-    day: the registered queries call ``lag_features`` with ``hot_series_rows=None``
-    (no extra size-check pass over the input)."""
+    The series are daily aggregates, so a series has at most one row per calendar day."""
     p = ts.time_split(prices(spark, sf), "series", "date", SPLIT_DAYS)
     return ts.minmax_scale(p, "series", "close", out="x", fit_mask=F.col("split") == "train")
 
@@ -53,14 +51,14 @@ def q_series_daily(spark, sf):
 
 
 def q_lag_features(spark, sf):
-    lf = ts.lag_features(scaled_split(spark, sf), "series", "date", "x", N_LAGS, hot_series_rows=None)
+    lf = ts.lag_features(scaled_split(spark, sf), "series", "date", "x", N_LAGS)
     return lf.select("series", "date", "target_date", "split", *_fcols(),
                      rnd("label", 6).alias("label"))
 
 
 def q_lag_features_prev(spark, sf):
     lf = ts.lag_features(scaled_split(spark, sf), "series", "date", "x", N_LAGS,
-                         include_current=False, hot_series_rows=None)
+                         include_current=False)
     return lf.select("series", "date", "split", *_fcols(), rnd("label", 6).alias("label"))
 
 

@@ -13,9 +13,10 @@ from orrery.streaming import hops as sp
 PRED_SCHEMA = "stock string, date date, prediction double, close double"
 
 
-def event_stream(spark, sf):
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema  # footer only
-    return sp.source(spark, sf, schema, "parquet", glob="events.parquet")
+def event_stream(spark, sf, max_files=None):
+    path = f"{sf}/events.parquet"  # one file or a folder of files
+    # as a pattern, because a plain path of a file source must be a folder
+    return sp.source(spark, f"{sf}/event[s].parquet", spark.read.parquet(path).schema, "parquet", max_files=max_files)
 
 
 def q_stream_ingest(spark, sf):
@@ -47,11 +48,30 @@ def q_stream_direction(spark, sf):
     return spark.read.parquet(out).select("event_id", "stock", "date", "direction")
 
 
-def q_stream_forecast(spark, sf):
-    sink = scratch_path(spark, "stream_forecast")
-    sp.run_foreach_batch(event_stream(spark, sf), sp.forecast_batch(sink))
-    return spark.read.parquet(sink).select("event_type", "date", "prev_date", rnd("close", 6).alias("close"),
-                                           rnd("prediction", 6).alias("prediction"))
+MESSAGE_SCHEMA = "Date date, Prediction double, Prev_date date, Close double, `Stock Name` string"
+SERIES_SCHEMA = "stock string, history array<struct<date: date, close: double, avg_sentiment: double>>"
+
+
+def decoded(spark, path, schema):
+    return spark.read.text(path).select(F.from_json("value", schema).alias("m")).select("m.*")
+
+
+def q_stream_forecast(spark, sf, max_files=None):
+    """events → forecast per series → prediction messages, decoded."""
+    messages = scratch_path(spark, "stream_forecast")
+    sp.run_foreach_batch(event_stream(spark, sf, max_files), sp.forecast_batch(scratch_path(spark, "history"), messages))
+    return decoded(spark, messages, MESSAGE_SCHEMA).select(
+        F.col("Stock Name").alias("event_type"), F.col("Date").alias("date"), F.col("Prev_date").alias("prev_date"),
+        rnd("Close", 6).alias("close"), rnd("Prediction", 6).alias("prediction"))
+
+
+def q_stream_series(spark, sf, max_files=None):
+    """events → whole enriched series per message, decoded: one row per series and day."""
+    messages = scratch_path(spark, "stream_series")
+    static = daily_sentiment(spark, sf).select("date", "avg_sentiment")
+    sp.run_foreach_batch(event_stream(spark, sf, max_files), sp.enrich_batch(scratch_path(spark, "history"), static, messages))
+    d = decoded(spark, messages, SERIES_SCHEMA).select("stock", F.explode("history").alias("d"))
+    return d.select("stock", "d.date", rnd("d.close", 6).alias("close"), rnd("d.avg_sentiment", 6).alias("avg_sentiment"))
 
 
 QUERIES = {
@@ -59,6 +79,7 @@ QUERIES = {
     "stream_enrich": q_stream_enrich,
     "stream_direction": q_stream_direction,
     "stream_forecast": q_stream_forecast,
+    "stream_series": q_stream_series,
 }
 
 ORACLE = {
@@ -68,6 +89,10 @@ ORACLE = {
 ds AS (SELECT date, avg(compound) AS avg_sentiment FROM scored GROUP BY date)
 SELECT event_id, event_type, CAST(ts AS DATE) AS date, round(value, 6) AS value, round(avg_sentiment, 6) AS avg_sentiment
 FROM events LEFT JOIN ds ON CAST(ts AS DATE) = ds.date""",
+    "stream_series": f"""WITH {SCORED_SQL},
+ds AS (SELECT date, avg(compound) AS avg_sentiment FROM scored GROUP BY date),
+p AS (SELECT event_type AS stock, CAST(ts AS DATE) AS date, avg(value) AS close FROM events WHERE value IS NOT NULL GROUP BY ALL)
+SELECT stock, p.date, round(close, 6) AS close, round(avg_sentiment, 6) AS avg_sentiment FROM p LEFT JOIN ds ON p.date = ds.date""",
     "stream_direction": """SELECT event_id, event_type AS stock, CAST(ts AS DATE) AS date,
   CASE WHEN value - CAST(json_extract(props, '$.k') AS DOUBLE) > 0 THEN 'rises'
        WHEN value - CAST(json_extract(props, '$.k') AS DOUBLE) < 0 THEN 'falls' ELSE 'same' END AS direction
