@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.operators.scalar_join import attach_scalar
 from orrery.operators.skew import explode_count, ranked, running_total
 from orrery.session import cut_lineage
 
@@ -73,9 +74,10 @@ def shape(df: DataFrame, name: str) -> DataFrame:
 
 
 def class_share(df: DataFrame, label: str) -> DataFrame:
-    """(label, n, pct). The window runs on the per-class counts (one row per class)."""
+    """(label, n, pct): counts per class over the row count, attached as a literal."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return c.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
+    c = attach_scalar(c, df.agg(F.count(F.lit(1)).alias("_all")))
+    return c.withColumn("pct", F.col("n") * 100.0 / F.col("_all")).drop("_all")
 
 
 # ---------------------------------------------------------------- exact quantiles
@@ -200,8 +202,3 @@ def expand_counts(df: DataFrame, keys: list[str], trials: str, successes: str,
 
 def stack_frames(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def share_of_total(df: DataFrame, count_col: str) -> Column:
-    return F.col(count_col) * 100.0 / F.sum(count_col).over(Window.partitionBy())
-

@@ -182,7 +182,7 @@ def q_logistic_grid(spark, sf):
     train, _ = parts(spark, sf)
     train = cl.balanced_weights(sp.kfold(train, "vec_id", 5, SEED), "label").withColumn("w1", F.lit(1.0))
     cs = [10.0 ** e for e in range(-3, 6)]
-    _, g = md.logistic_c_grid(train, cs, {"none": "w1", "balanced": "weight"}, "fold", 5)
+    g = md.logistic_c_grid(train, cs, {"none": "w1", "balanced": "weight"}, "fold", 5)
     return g.select("strategy", "c", "weighting", rnd("mean_accuracy", 6).alias("mean_accuracy"))
 
 
