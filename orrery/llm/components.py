@@ -16,7 +16,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node with the least of the node and its neighbours."""
     n = _both(edges)
     least = n.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return n.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a != b").distinct()
+    return n.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a != b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
