@@ -18,7 +18,7 @@ XS = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "p_size", "p_retai
 Y = "charge"  # l_extendedprice · (1 - l_discount) · (1 + l_tax)
 L1_GRID = [round(0.1 * i, 1) for i in range(16)]
 L2_GRID = [round(0.1 * i, 1) for i in range(16)]
-N_RUNS = 10
+N_RUNS = 50
 SEED = 42
 
 
@@ -43,8 +43,9 @@ def q_soft_threshold(spark, sf):
 def regression_rows(spark, sf):
     t = Tables(spark, sf)
     j = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice"), "l_partkey")
-    h = F.xxhash64(*[F.col(c) for c in LI_KEY])
-    u = F.pmod(F.xxhash64(F.lit(SEED), *[F.col(c) for c in LI_KEY]), F.lit(10))
+    # the same in any engine: leading hex digits of an MD5 of the row's key
+    digits = lambda seed: F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in LI_KEY])), 1, 15), 16, 10).cast("long")
+    h, u = digits("run"), F.pmod(digits(str(SEED)), F.lit(10))
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     return j.select(*LI_KEY, charge.alias(Y), *XS,
                     F.pmod(h, F.lit(N_RUNS)).alias("run"),
