@@ -28,19 +28,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
              .filter("a != b").distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no smaller end."""
+    ends = edges.select(F.col("b").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("hub")).unionByName(
+        edges.select(F.col("a").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("hub")))
+    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("hub").alias("hub")).filter("up + hub > 1").isEmpty()
+
+
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its least node.
 
     Each round is two grouped minima and joins (hubs are pre-aggregated, their join sides
     may be split) and is written as a table; the number of rounds is logarithmic in
-    practice. Self loops are dropped.
+    practice. With ``rounds`` no more than these are made: nodes with one component are
+    then connected, but connected nodes may have several. Self loops are dropped.
     """
-    e, before = materialize(edges.filter("a != b").distinct(), "edges"), None
-    while True:
-        e = materialize(_small_star(_large_star(e)), "edges")
-        state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    members = e.select(F.col("b").alias("node"), F.col("a").alias("component"))
-    return members.unionByName(e.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    e, done = materialize(edges.filter("a != b").distinct(), "edges"), 0
+    while (rounds is None or done < rounds) and not (rounds is None and _is_stars(e)):
+        e, done = materialize(_small_star(_large_star(e)), "edges"), done + 1
+    ends = e.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("component"))
+    ends = ends.unionByName(e.select(F.least("a", "b").alias("node"), F.least("a", "b").alias("component")))
+    return ends.groupBy("node").agg(F.min("component").alias("component"))

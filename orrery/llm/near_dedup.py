@@ -138,7 +138,7 @@ def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | No
     """(node, component) by links that share a list of ``posted`` (token, node, m), have sizes
     m that allow the similarity and pass ``test`` (pairs a, b → those that do); None if no
     list holds two nodes. Nodes without a link may be missing."""
-    label, found = None, None
+    label, edges = None, None
     for r in range(rounds + 1):
         p = posted.withColumn("component", F.col("node")) if label is None else (
             posted.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -150,7 +150,8 @@ def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | No
         size = p.agg(F.sum(F.when(F.col("component") != F.col("main"), F.col("all"))).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
         if not size["rows"]:
             break
-        last = r == rounds or size["pairs"] <= OPEN_PAIRS * size["rows"]
+        last = r == rounds or size["pairs"] <= OPEN_PAIRS * size["rows"] or (r > 0 and 2 * size["pairs"] > before)
+        before = size["pairs"]
         a = p.select("token", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("m").alias("mx"), "main")
         b = p.select("token", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("m").alias("my"))
         fits = (F.col("cx") != F.col("cy")) & (F.least("mx", "my") * 100 >= F.greatest("mx", "my") * percent)
@@ -163,12 +164,11 @@ def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | No
             pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("hits")).groupBy("x").agg(F.max(F.struct("hits", "y")).alias("v"))
             pairs = pairs.select("x", F.col("v.y").alias("y"))
         found = materialize(test(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()), "links")
-        if label is not None:
-            found = found.unionByName(label.select(F.col("component").alias("a"), F.col("node").alias("b")).filter("a != b"))
-        label = components(found)
+        edges = found if edges is None else edges.unionByName(found)
         if last:
             break
-    return label
+        label = materialize(components(edges, rounds=2), "label")  # enough to see what is open
+    return None if edges is None else components(edges)
 
 
 def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int, rounds: int = ROUNDS) -> DataFrame | None:
