@@ -9,9 +9,9 @@ from conftest import SF_SMALL
 ORACLE = E.oracle_sql()
 
 
-SPARK_T = {"int": "INT32", "bigint": "INT64", "double": "DOUBLE", "string": "STRING", "date": "DATE",
+SPARK_T = {"int": "INT32", "bigint": "INT64", "double": "DOUBLE", "string": "STRING", "date": "DATE", "boolean": "BOOL",
            "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
-DUCK_T = {"INTEGER": "INT32", "BIGINT": "INT64", "DOUBLE": "DOUBLE", "VARCHAR": "STRING", "DATE": "DATE",
+DUCK_T = {"BOOLEAN": "BOOL", "INTEGER": "INT32", "BIGINT": "INT64", "DOUBLE": "DOUBLE", "VARCHAR": "STRING", "DATE": "DATE",
           "TIMESTAMP": "TIMESTAMP"}
 
 
