@@ -177,6 +177,13 @@ def unpivot_long(df: DataFrame, ids: list[str], values: list[str], var: str = "m
     return df.unpivot(ids, values, var, val)
 
 
+def transpose(df: DataFrame, key: str, columns: list[str], keys: list, name: str = "name") -> DataFrame:
+    """Rows to columns and back: one row per entry of ``columns``, one column per entry of
+    ``keys`` (the values of ``key``; each should occur once, the last of several wins by size)."""
+    long = df.unpivot([key], columns, name, "_v")
+    return long.groupBy(name).pivot(key, keys).agg(F.max("_v"))
+
+
 def dense_codes(df: DataFrame, value: str, first_seen: str, out: str = "code") -> DataFrame:
     """0-based codes for the distinct values of ``value`` in order of first
     appearance (the smallest ``first_seen`` key). The ranking of distinct values is

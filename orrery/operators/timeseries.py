@@ -91,14 +91,17 @@ def nth_smallest(df: DataFrame, series: str, date: str, n: int, out: str = "nth_
 
 
 def time_split(df: DataFrame, series: str, date: str, days: int = 30,
-               out: str = "split", per_series: bool = True) -> DataFrame:
-    """Label rows 'train' (date <= max(date) - days) or 'test'.
+               out: str = "split", per_series: bool = True, as_of=None) -> DataFrame:
+    """Label rows 'train' (date <= max(date) - days) or 'test'. With ``as_of`` (a date or
+    column, such as ``current_date()``) the days count back from it instead of the last date.
 
     The threshold day itself is in train. ``per_series`` takes the max per series
     (a window on the series partitioning the caller already has); otherwise the
     global max, obtained by a one-row aggregate joined back (no collect).
     """
-    if per_series:
+    if as_of is not None:
+        with_max = df.withColumn("_max_date", (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("date"))
+    elif per_series:
         mx = F.max(F.col(date)).over(Window.partitionBy(series))
         with_max = df.withColumn("_max_date", mx)
     else:

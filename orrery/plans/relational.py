@@ -116,7 +116,20 @@ def q_first_rows(spark, sf):
     return li.orderBy(*LI_KEY).limit(10)
 
 
+# The order priorities and states of the table.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+STATES = ["F", "O", "P"]
+
+
+def q_transpose_grid(spark, sf):
+    """Counts by priority (rows) and state (columns), then by state and priority."""
+    o = Tables(spark, sf).orders
+    grid = o.groupBy("o_orderpriority").pivot("o_orderstatus", STATES).agg(F.count(F.lit(1)))
+    return rel.transpose(grid, "o_orderpriority", STATES, PRIORITIES, "state")
+
+
 QUERIES = {
+    "transpose_grid": q_transpose_grid,
     "first_rows": q_first_rows,
     "prefix_filter": q_prefix_filter,
     "row_slice": q_row_slice,
@@ -145,6 +158,8 @@ _desc = " UNION ALL ".join(
   round(quantile_cont({c}, 0.75), 4) AS q75, round(max({c}), 4) AS max FROM lineitem""" for c in NUM)
 
 ORACLE = {
+    "transpose_grid": "SELECT o_orderstatus AS state, " + ", ".join(
+        f"""nullif(count(*) FILTER (WHERE o_orderpriority = '{p}'), 0) AS "{p}\"""" for p in PRIORITIES) + " FROM orders GROUP BY 1",
     "first_rows": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem
 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 10""",
     "prefix_filter": """SELECT p_partkey, p_type, p_brand FROM part

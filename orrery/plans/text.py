@@ -89,7 +89,15 @@ def q_timestamp_parse(spark, sf):
                     F.unix_timestamp(tx.parse_compact_time("news")).alias("epoch"))
 
 
+def q_epoch_text(spark, sf):
+    """events.ts → epoch seconds → text → epoch seconds."""
+    e = Tables(spark, sf).events.select("event_id", F.unix_timestamp("ts").alias("epoch"))
+    t = e.withColumn("text", F.from_unixtime("epoch", "yyyy-MM-dd HH:mm:ss"))
+    return t.withColumn("back", F.unix_timestamp("text", "yyyy-MM-dd HH:mm:ss"))
+
+
 QUERIES = {
+    "epoch_text": q_epoch_text,
     "text_contains": q_text_contains,
     "lexicon_sentiment": q_lexicon_sentiment,
     "sentiment_bucket": q_sentiment_bucket,
@@ -123,6 +131,8 @@ SELECT date, round(avg(compound), 6) AS avg_sentiment, count(*) AS n_docs FROM s
   avg(o_totalprice) AS close FROM orders GROUP BY 1, 2),
 l AS (SELECT series, max(date) AS date, round(arg_max(close, date), 2) AS close FROM p GROUP BY series)
 SELECT series, CAST(to_json({'series': series, 'date': date, 'close': close}) AS VARCHAR) AS value FROM l""",
+    "epoch_text": """SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS text, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS back FROM events""",
     "timestamp_parse": """SELECT event_id, date_trunc('second', ts) AS tweet_ts, date_trunc('second', ts) AS news_ts,
   CAST(ts AS DATE) AS news_date, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch FROM events""",
 }
