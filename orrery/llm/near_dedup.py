@@ -4,16 +4,19 @@
    sets (by a 128-bit digest) form one class; classes are what is compared below.
 2. Every (coordinate, value) pair of a signature is a posting. Two classes whose sets
    have the similarity asked for agree in at least ``min_matches`` coordinates but for a
-   probability below ``miss``; by the prefix principle they then share a posting among
-   the ``coords - min_matches + 1`` rarest of each, so only those are kept, values that
-   occur once (which collide with nothing) counted first.
+   probability below ``miss``; by the prefix principle they then share ``COLLISIONS``
+   postings among the ``coords - min_matches + COLLISIONS`` rarest of each, so only those
+   are kept, values that occur once (which collide with nothing) counted first.
 3. Within a posting list, classes are paired with one pivot, not with each other, and of
-   its pivots a class takes the one it collides with most often. Pairs that agree in fewer
-   coordinates are skipped; the rest are confirmed on the full sets and the links merged
-   into components. With other pivots this repeats for lists that
-   still hold several components, until few pairs are open; then every pair of a list
-   whose two sides are in different components is compared. So no link between different
-   components is lost and no list is expanded into all its pairs.
+   its pivots a class takes the one it collides with most often. Pairs of too different
+   size or that agree in too few coordinates are skipped; the other links are merged into
+   components. With other pivots this repeats for lists that still hold several components,
+   until few pairs are open or a round leaves more than half of them. Then the pairs of a
+   list whose two sides are in different components count their collisions, and those with
+   enough are compared. So no link between different components is lost and no list is
+   expanded into all its pairs.
+4. Step 3 runs on the signatures first. Inside its components it then runs on the full
+   sets, which only the members of components need.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from orrery.llm.shingles import Hasher, mix, shingles
 COORDS = 32
 MISS = 1e-6
 ROUNDS = 4
+COLLISIONS = 3  # postings that a pair must share
 OPEN_PAIRS = 16  # pairs per list entry that may be compared without another round of pivots
 
 
@@ -117,7 +121,7 @@ def postings(nodes: DataFrame, coords: int, matches: int) -> DataFrame:
     seen = t.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = (t.join(seen, "token").groupBy("node")
                .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared")))  # coords entries at most
-    prefix = F.lit(coords - matches + 1) - (F.lit(coords) - F.size("shared"))
+    prefix = F.lit(min(coords, coords - matches + COLLISIONS)) - (F.lit(coords) - F.size("shared"))
     return (shared.filter(F.size("shared") >= matches)
                   .select("node", F.explode(F.slice("shared", F.lit(1), F.greatest(F.lit(0), prefix))).alias("x"))
                   .select("x.token", "node"))
@@ -134,7 +138,7 @@ def classes(docs: DataFrame, n: int, coords: int) -> tuple[DataFrame, DataFrame]
     return signed, materialize(nodes, "nodes")
 
 
-def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | None:
+def linked(posted: DataFrame, test, percent: int, matches: int, rounds: int) -> DataFrame | None:
     """(node, component) by links that share a list of ``posted`` (token, node, m), have sizes
     m that allow the similarity and pass ``test`` (pairs a, b → those that do); None if no
     list holds two nodes. Nodes without a link may be missing."""
@@ -156,7 +160,11 @@ def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | No
         b = p.select("token", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("m").alias("my"))
         fits = (F.col("cx") != F.col("cy")) & (F.least("mx", "my") * 100 >= F.greatest("mx", "my") * percent)
         if last:
-            pairs = a.filter("cx != main").join(b, "token").filter(fits)
+            # a pair once per list, by its smaller node if neither is of the main component
+            once = (F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))
+            pairs = a.filter("cx != main").join(b, "token").filter(fits & once)
+            pairs = (pairs.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("hits"))
+                          .filter(F.col("hits") >= min(COLLISIONS, matches)).select("x", "y"))
         else:
             pivot = b.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(r), "y").alias("h"), "y", "cy", "my")).alias("v")).select("token", "v.*")
             pairs = a.join(pivot, "token").filter(fits)
@@ -183,7 +191,7 @@ def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int,
         return p.filter(F.size(F.filter(F.arrays_zip("sa", "sb"), lambda x: x["sa"] == x["sb"])) >= matches).select("a", "b")
 
     # links lie inside the components by signatures alone: full sets are needed of their members only
-    rough = linked(posted, alike, percent, rounds)
+    rough = linked(posted, alike, percent, matches, rounds)
     if rough is None:
         return None
     rough = materialize(rough.withColumnRenamed("component", "rough"), "rough")
@@ -191,7 +199,7 @@ def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int,
     texts = docs.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
     sets = materialize(shingle_sets(texts, n), "sets")
     inside = posted.join(rough, "node").select(F.struct("token", "rough").alias("token"), "node", "m")
-    return linked(materialize(inside, "postings"), lambda pairs: confirm(alike(pairs), sets, percent), percent, rounds)
+    return linked(materialize(inside, "postings"), lambda pairs: confirm(alike(pairs), sets, percent), percent, matches, rounds)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
