@@ -3,9 +3,10 @@
 Every line's hash gets a HyperLogLog sketch of the sites it occurs on; sketches merge by
 aggregation. Lines whose estimate is clearly above the threshold are boilerplate, those
 clearly below are not, and for those near it the distinct sites are counted exactly.
-Boilerplate lines are then removed from the documents that they frame. A document made
-mostly of spread lines is a copy of a whole page, not a page with boilerplate: it is left
-whole, for near-duplicate removal to keep one of its kind.
+Boilerplate lines are then removed from the documents that they frame. In a document made
+mostly of spread lines, those that frame several different texts elsewhere are boilerplate
+and cut; the others come from copies of a whole page and are left, for near-duplicate
+removal to keep one of its kind.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ MIN_SITES = 6
 MARGIN = 0.25
 LG_K = 10
 MAX_PERCENT = 50
+MIN_TEXTS = 6
 
 
 def line_key(line: Column) -> Column:
@@ -54,36 +56,52 @@ def spread_lines(docs: DataFrame, text: str = "text", site: str = "source", min_
 
 
 def remove_spread_lines(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-                        max_percent: int = MAX_PERCENT, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
+                        max_percent: int = MAX_PERCENT, margin: float = MARGIN, lg_k: int = LG_K, min_texts: int | None = MIN_TEXTS) -> DataFrame:
     """``docs`` with spread lines cut out of ``text``, and the columns n_spread (lines found)
     and n_removed (lines cut; both with underscores appended if the name is taken).
 
-    Lines are cut unless they make up more than ``max_percent`` percent of the document's
-    code points (line feeds aside). All rows and columns are kept; the other lines stay as
-    they are, joined by line feeds. Null text stays null, with 0 lines; rows with a null
-    site are cleaned too, but spread no line. Empty table: empty result.
+    A document is framed by spread lines that make up at most ``max_percent`` percent of its
+    code points (line feeds aside): all of them are cut. Of the others the lines are cut that
+    frame at least ``min_texts`` distinct texts (null: none); a copied page keeps its lines,
+    as they frame nothing. All rows and columns are kept; the other lines stay as they are,
+    joined by line feeds. Null text stays null, with 0 lines; rows with a null site are
+    cleaned too, but spread no line. Empty table: empty result.
     """
     n_spread, n_removed = free_name(docs, "n_spread"), free_name(docs, "n_removed")
     spread = materialize(spread_lines(docs, text, site, min_sites, margin, lg_k), "spread").select("key")
     keyed = docs.withColumn("__text", F.unhex(F.md5(F.col(text))))
     # the places of spread lines depend on the text only: a row per distinct text and line
-    hits = (text_lines(docs.select(F.col(text).alias("__t"), F.unhex(F.md5(F.col(text))).alias("__hit")), "__t", "__hit")
-            .join(spread, "key").groupBy("__hit", "at").agg(F.first("size").alias("size"))
-            .groupBy("__hit").agg(F.collect_list("at").alias("__at"), F.sum("size").alias("__chars")))
-    hits = materialize(hits, "hits")  # a table, so that the join below may split a text with many copies
-    j = keyed.join(hits, F.col("__text") == F.col("__hit"), "left")
-    cut = F.col("__chars") * 100 <= F.length(F.translate(F.col(text), "\n", "")) * max_percent
-    cut = F.coalesce(cut, F.lit(False))
-    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("__at", i))
-    found = F.coalesce(F.size("__at"), F.lit(0)).cast("long")
-    return (j.withColumns({n_spread: F.when(F.col("__at").isNull(), F.lit(0).cast("long")).otherwise(found)})
-             .withColumn(n_removed, F.when(cut, F.col(n_spread)).otherwise(F.lit(0).cast("long")))
-             .withColumn(text, F.when(cut, F.array_join(left, "\n")).otherwise(F.col(text)))
+    texts = docs.select(F.col(text).alias("__t"), F.unhex(F.md5(F.col(text))).alias("__hit"),
+                        F.length(F.translate(F.col(text), "\n", "")).alias("__all"))
+    hits = (text_lines(texts, "__t", "__hit", "__all").join(spread, "key")
+            .groupBy("__hit", "at").agg(F.first("size").alias("size"), F.first("key").alias("key"), F.first("__all").alias("__all"))
+            .groupBy("__hit").agg(F.collect_list(F.struct("at", "key")).alias("lines"), F.sum("size").alias("chars"), F.first("__all").alias("__all")))
+    framed = F.col("chars") * 100 <= F.col("__all") * max_percent
+    hits = materialize(hits.select("__hit", "lines", framed.alias("framed")), "hits")
+    at = F.col("lines.at")
+    cuts = hits.filter("framed").select("__hit", at.alias("__at"), at.alias("__cut"))
+    rest = hits.filter("not framed")
+    if min_texts is None:
+        cuts = cuts.unionByName(rest.select("__hit", at.alias("__at"), F.array().cast("array<int>").alias("__cut")))
+    else:
+        frames = (hits.filter("framed").select(F.explode(F.array_distinct("lines.key")).alias("key"))
+                  .groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= min_texts).select("key"))
+        one = rest.select("__hit", F.explode("lines").alias("line")).select("__hit", "line.at", "line.key")
+        one = one.join(frames.withColumn("frames", F.lit(True)), "key", "left")
+        # collect_list leaves out nulls
+        cuts = cuts.unionByName(one.groupBy("__hit").agg(F.collect_list("at").alias("__at"), F.collect_list(F.when(F.col("frames"), F.col("at"))).alias("__cut")))
+    cuts = materialize(cuts, "cuts")  # a table, so that the join below may split a text with many copies
+    j = keyed.join(cuts, F.col("__text") == F.col("__hit"), "left")
+    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("__cut", i))
+    count = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(c)).cast("long")
+    return (j.withColumns({n_spread: count("__at"), n_removed: count("__cut")})
+             .withColumn(text, F.when(F.col(n_removed) > 0, F.array_join(left, "\n")).otherwise(F.col(text)))
              .select(*docs.columns, n_spread, n_removed))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = remove_spread_lines(read_table(spark, sf_dir, "documents"))
+    # by share alone, as its SQL states the rule
+    d = remove_spread_lines(read_table(spark, sf_dir, "documents"), min_texts=None)
     return d.select("doc_id", "text", "n_spread", "n_removed")
 
 
