@@ -4,7 +4,8 @@ The page is read into a tree of elements with its text in blocks. Every block of
 passes points for its length and commas to its ancestors, all to the parent, half to the
 grandparent, less and less above; an element's sum is discounted by its link density. The
 best container is kept, widened to the article element around it, and with it those of its
-siblings that score well or are prose themselves. Menus, page headers and footers,
+siblings that score well or are prose themselves. Without an article element all its siblings
+are kept that aren't mostly links, whatever their length. Menus, page headers and footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are left out
 wherever they stand.
 """
@@ -49,7 +50,7 @@ _COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("name", "parent", "side", "block", "depth", "score", "chars", "linked")
+    __slots__ = ("name", "parent", "side", "block", "depth", "score", "chars", "linked", "blocks")
 
     def __init__(self, name, parent, side):
         # as in browsers, what is nested deeper than DEPTH stands beside its parent
@@ -58,11 +59,15 @@ class Node:
         self.name, self.parent, self.side = name, parent, side
         self.depth = parent.depth + 1 if parent is not None else 0
         self.block = self if parent is None or name not in _INLINE else parent.block
-        self.score, self.chars, self.linked = 0.0, 0, 0
+        self.score, self.chars, self.linked, self.blocks = 0.0, 0, 0, 0
 
     def density(self) -> float:
         return self.linked / self.chars if self.chars else 0.0
 
+    def is_menu(self) -> bool:
+        """A list of short links; longer ones are references."""
+        return self.name == "ul" and self.density() >= 0.8 and self.chars < 25 * self.blocks
+
 
 def _is_side(name: str, attrs: str) -> bool:
     if name in _LEFT_OUT:
@@ -170,10 +175,8 @@ def _score(blocks) -> dict[int, Node]:
         points = (min(len(text) / 100, 3) + len(_COMMAS.findall(text)) + (len(text) >= 25)) * (1 - linked / len(text))
         # a paragraph's points go to what holds it; text right inside a container counts for that
         up = node.parent if node.parent is not None and node.name in ("p", "pre", "li", "dd", "dt", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6") else node
-        node.chars, node.linked = node.chars + len(text), node.linked + linked
-        seen[id(node)] = node
-        for x in _above(node):
-            x.chars, x.linked = x.chars + len(text), x.linked + linked
+        for x in [node, *_above(node)]:
+            x.chars, x.linked, x.blocks = x.chars + len(text), x.linked + linked, x.blocks + 1
             seen[id(x)] = x
         for level, x in enumerate([up, *_above(up)]):
             x.score += points / (1, 2, 6)[min(level, 2)] / max(1, level - 1)
@@ -197,18 +200,24 @@ def main_text(page: str | None) -> str:
     best = max(ranked, key=lambda n: final[id(n)])
     top = final[id(best)]
     best = next((x for x in [best, *_above(best)] if x.name == "article"), best)
-    kept = {id(best)}
-    for n in ranked:
-        if n.parent is best.parent and n is not best and not n.side:
-            prose = n.name in ("p", "pre", "blockquote") and n.density() < 0.25 and n.chars >= 25
-            title = re.fullmatch("h[1-3]", n.name) and n.linked == 0
-            if prose or title or final[id(n)] >= max(3.0, 0.2 * top) and n.density() < 0.25:
-                kept.add(id(n))
+    kept, beside = {id(best)}, None
+    if best.name == "article":
+        for n in ranked:
+            if n.parent is best.parent and n is not best and not n.side:
+                prose = n.name in ("p", "pre", "blockquote") and n.density() < 0.25 and n.chars >= 25
+                title = re.fullmatch("h[1-3]", n.name) and n.linked == 0
+                if prose or title or final[id(n)] >= max(3.0, 0.2 * top) and n.density() < 0.25:
+                    kept.add(id(n))
+    else:
+        while best.parent is not None and best.parent.blocks == best.blocks:  # it only wraps the container
+            best = best.parent
+        beside = best.parent  # its own text stands between the siblings
+        kept = {id(best), *(id(n) for n in nodes.values() if n.parent is beside and not n.side and n.density() < 0.5)}
     out = []
     for text, linked, node in blocks:
-        if node.side or linked >= 0.8 * len(text) and any(x.name in ("li", "ul", "ol") and x.density() >= 0.8 for x in [node, *_above(node)]):
+        if node.side or any(x.is_menu() for x in [node, *_above(node)]):
             continue
-        if id(node) in kept or any(id(x) in kept for x in _above(node)):
+        if id(node) in kept or node is beside and linked < 0.5 * len(text) or any(id(x) in kept for x in _above(node)):
             out.append(text)
     return "\n".join(out)
 

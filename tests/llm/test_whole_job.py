@@ -1,7 +1,12 @@
 """Places where an operator once did less than its whole job."""
 
-from orrery.llm import line_dedup
-from test_operators import docs_of
+import html as h
+import re
+
+import pytest
+
+from orrery.llm import html_text, line_dedup
+from test_operators import SF, docs_of
 
 
 # --- line dedup
@@ -18,3 +23,36 @@ def test_lines_that_frame_other_texts_are_cut_from_short_documents(spark):
         assert (got[8 + i]["text"], got[8 + i]["n_spread"], got[8 + i]["n_removed"]) == (f"own {i}", 1, 1)
         assert got[i]["text"] == long[i].split("\n")[1]
         assert (got[16 + i]["text"], got[16 + i]["n_spread"], got[16 + i]["n_removed"]) == (copies[i], 2, 0)
+
+
+# --- HTML
+
+LONG = "<p>" + "A long paragraph of the article, with commas, " * 9 + "</p>"
+SHORT = "Short closing paragraph of the text."
+
+
+@pytest.mark.parametrize("beside, text", [
+    (f"<div><p>{SHORT}</p></div>", SHORT), ("<p>The end.</p>", "The end."), ("<h4>Note</h4><section>It was so.</section>", "Note\nIt was so."),
+    ("<ul><li>one<li>two</ul>", "one\ntwo"), ("<table><tr><td>1<td>2</table>", "1\n2"), ("Closing words.", "Closing words."),
+    ("<div class=share><p>Tell others about it.</p></div>", ""), ("<div><a href=a>Home</a> <a href=b>About</a></div>", "")])
+def test_short_siblings_of_the_container(beside, text):
+    want = h.unescape(re.sub("<[^>]*>", "", LONG)).strip()
+    assert html_text.main_text(f"<body><div>{LONG}</div>{beside}</body>") == "\n".join(filter(None, [want, text]))
+    assert html_text.main_text(f"<body><nav>Menu</nav><div><div>{LONG}</div></div>{beside}</body>") == "\n".join(filter(None, [want, text]))
+
+
+def test_link_only_items_of_the_article():
+    refs = ["Author, A. (2001): The first of the works cited", "Author, B. (2002): The second of the works cited"]
+    items = "".join(f"<li><a href=x>{r}</a>" for r in refs)
+    for kind in ("ul", "ol"):
+        got = html_text.main_text(f"<article>{LONG}<{kind}>{items}</{kind}></article>").split("\n")
+        assert got[1:] == refs
+    mixed = f"<article>{LONG}<ul><li>an item without a link, and some more text in it<li><a href=x>linked</a></ul></article>"
+    assert html_text.main_text(mixed).split("\n")[2:] == ["linked"]
+
+
+def test_article_split_over_containers(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect():
+        before, article, after = re.fullmatch("(.*)<article>(.*)</article>(.*)", r["html"], re.S).groups()
+        split = "".join(f"<div>{x}</div>" for x in re.split("(?<=</p>)", article) if x.strip())
+        assert html_text.main_text(before + split + after).split() == h.unescape(re.sub("<[^>]*>", " ", article)).split()
