@@ -8,8 +8,10 @@ that size. The CGK random walk reads a word, writes it, and moves on or stays by
 bit of (step, word); texts at a small edit distance then agree in most written words, so
 their Hamming distance is small. A repeat takes a walk of its own and ``SAMPLED`` of its
 steps; windows and items with equal sampled words are candidates. The number of repeats is
-chosen on the items: edited copies at the largest distance must be found with the target
-recall. Candidates are confirmed by exact edit distance.
+chosen for each item size: of several edited copies at the largest distance the one that is
+hit least must be found with the target recall. Candidates are confirmed by exact edit
+distance. Where a size would need more than MOST_REPEATS, the windows left by the bound
+below are compared by edit distance with all its items instead.
 
 Before the walks a bound drops windows that can't match: an edit takes at most two word pairs
 of an item from the window of its size, so a window within e edits holds all but 2 e of the
@@ -40,9 +42,11 @@ RECALL = 0.999
 MOST_REPEATS = 1000
 BLOCK_WORDS = 200_000  # words of the items of a block
 PAIR_BITS = 22  # size of the table of word pairs
-WINDOWS = 4096  # windows that walk together
+WINDOWS = 4096  # windows that walk together, fewer if
+WALK_BYTES = 64 << 20  # their sampled steps would take more than that
 CHUNK_BYTES = 4 << 20  # text that a task works on at once
-CALIBRATE_ITEMS = 64
+CALIBRATE_COPIES = 16  # of items of each size
+CALIBRATE_TRIALS = 256  # walks that each copy is tried with
 RESULT = "doc_id long, item_id long, edits long"
 
 _TO_SPACE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
@@ -91,8 +95,9 @@ class Walks:
         out = np.empty((self.repeats, len(starts)), np.uint64)
         salt = np.arange(1, self.repeats + 1, dtype=np.uint64)[:, None] << np.uint64(32)
         with np.errstate(over="ignore"):
-            for at in range(0, len(starts), WINDOWS):
-                first, size = starts[at:at + WINDOWS], sizes[at:at + WINDOWS]
+            together = max(1, min(WINDOWS, WALK_BYTES // (2 * self.repeats * int(sizes.max(initial=1)))))
+            for at in range(0, len(starts), together):
+                first, size = starts[at:at + together], sizes[at:at + together]
                 last = 2 * int(size.max())
                 taken = np.zeros((last, self.repeats, len(first)), bool)
                 for m in np.unique(size):
@@ -106,7 +111,7 @@ class Walks:
                     key[hit] = mix(key[hit] * M3 + (word[hit] + 3).astype(np.uint64))
                     turn = mix(salt + np.uint64(2 * (self.seed * 4096 + j) + 1)) | np.uint64(1)
                     move += ((mix((word + 3).astype(np.uint64)) * turn) >> np.uint64(63)).astype(np.int64)
-                out[:, at:at + WINDOWS] = key
+                out[:, at:at + together] = key
         return out
 
 
@@ -126,10 +131,22 @@ class Index:
             self.pairs[p] |= np.uint64(1 << m % 64)
             # one less, as the window's first pair may equal the one before it
             self.least[m] = min(self.least.get(m, m), len(np.unique(p)) - 2 * max_edits(m, share) - 1)
-        self.walks = Walks(self.repeats_for(recall, sampled), sampled)
-        keys = self.walks.keys(*self._windows([x for _, x in self.items]))
-        order = np.argsort(keys, axis=None, kind="stable")
-        self.keys, self.of = keys.ravel()[order], order % max(1, len(self.items))
+        self.by_size: dict[int, list[int]] = {}
+        for k, (_, x) in enumerate(self.items):
+            self.by_size.setdefault(len(x), []).append(k)
+        repeats = self.repeats_by_size(recall, sampled)
+        self.exact = [m for m in self.sizes if repeats[m] is None]  # sizes without walks
+        # sizes whose repeats round up to the same power of two walk together: (sizes, walks, sorted keys, their items)
+        self.groups, at = [], {}
+        for m in self.sizes:
+            if repeats[m] is not None:
+                at.setdefault(min(MOST_REPEATS, 1 << (repeats[m] - 1).bit_length()), []).append(m)
+        for n, group in at.items():
+            of = np.array([k for m in group for k in self.by_size[m]])
+            walks = Walks(n, sampled)
+            keys = walks.keys(*self._windows([self.items[k][1] for k in of]))
+            order = np.argsort(keys, axis=None, kind="stable")
+            self.groups.append((np.array(group), walks, keys.ravel()[order], of[order % len(of)]))
 
     @staticmethod
     def _windows(texts: list[np.ndarray]):
@@ -142,31 +159,31 @@ class Index:
         """Places of the neighbouring words in ``pairs``."""
         return (ids[:-1] * 1_000_003 + ids[1:]) & ((1 << PAIR_BITS) - 1)
 
-    def repeats_for(self, recall: float, sampled: int, trials: int = 48) -> int:
-        """Repeats that find edited copies, as far off as allowed, with ``recall``."""
-        rng = np.random.default_rng(7)
-        walks, originals, copies = Walks(trials, sampled, seed=2), [], []
-        for _ in range(CALIBRATE_ITEMS if self.items else 0):
-            x = self.items[rng.integers(len(self.items))][1]
-            copy, m = list(x), len(x)
-            for _ in range(max_edits(m, self.share)):
-                at, what = rng.integers(len(copy)), rng.integers(3)
-                if what == 0:
-                    copy[at] = -1
-                elif what == 1:
-                    copy.insert(at, -1)
-                else:
-                    del copy[at]
-            originals.append(x)
-            copies.append(np.array((copy + [-1] * m)[:m], np.int64))
-        if not originals:
-            return 1
-        same = walks.keys(*self._windows(originals)) == walks.keys(*self._windows(copies))
-        p = (same.sum(0) + 0.5) / (trials + 1)
-        n = 1
-        while n < MOST_REPEATS and np.mean(1 - (1 - p) ** n) < recall:
-            n += 1
-        return n
+    def repeats_by_size(self, recall: float, sampled: int) -> dict[int, int | None]:
+        """By item size: repeats that find edited copies, as far off as allowed, with ``recall``,
+        even the one of CALIBRATE_COPIES that is hit least; None if MOST_REPEATS are too few."""
+        rng, got = np.random.default_rng(7), {}
+        walks = Walks(CALIBRATE_TRIALS, sampled, seed=2)
+        for m in self.sizes:
+            originals, copies = [], []
+            for _ in range(CALIBRATE_COPIES):
+                x = self.items[rng.choice(self.by_size[m])][1]
+                copy = list(x)
+                for _ in range(max_edits(m, self.share)):
+                    at, what = rng.integers(len(copy)), rng.integers(3)
+                    if what == 0:
+                        copy[at] = -1
+                    elif what == 1:
+                        copy.insert(at, -1)
+                    else:
+                        del copy[at]
+                originals.append(x)
+                copies.append(np.array((copy + [-1] * m)[:m], np.int64))
+            same = walks.keys(*self._windows(originals)) == walks.keys(*self._windows(copies))
+            p = same.sum(0).min() / CALIBRATE_TRIALS
+            n = 1 if p == 1 else int(np.ceil(np.log(1 - recall) / np.log(1 - p))) if p > 0 else None
+            got[m] = n if n is not None and n <= MOST_REPEATS else None
+        return got
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int]]:
         """(place of the text, item_id, least edits) of every leak."""
@@ -193,25 +210,53 @@ class Index:
             for i in range(m - 1 if len(at) else 0):
                 own += (bits[at + i] >> np.uint64(m % 64) & np.uint64(1)).astype(np.int32)
             places.append(at[own >= self.least[m]])
-        starts, sizes = np.concatenate(places), np.repeat(self.sizes, [len(x) for x in places])
-        if not len(starts):
+        if not sum(map(len, places)):
             return []
-        k = self.walks.keys(ids, starts, sizes)
-        low, high = np.searchsorted(self.keys, k, "left"), np.searchsorted(self.keys, k, "right")
-        found = set()
-        for r, w in zip(*np.nonzero(high > low)):
-            found.update((int(starts[w]), int(x)) for x in self.of[low[r, w]:high[r, w]])
         best: dict[tuple[int, int], int] = {}
-        for s, x in sorted(found):
+
+        def text_at(start):
+            doc = int(np.searchsorted(begin, start, "right")) - 1
+            return doc + (start >= ends[doc])  # a window may start in the gap before its text
+
+        def compare(doc, x, first, last):
+            """Item ``x`` with the windows that start from ``first`` to ``last``."""
             item_id, item = self.items[x]
-            doc, e = int(np.searchsorted(begin, s, "right")) - 1, max_edits(len(item), self.share)
-            if s >= ends[doc]:  # a window may start in the gap before its text
-                doc += 1
-            if doc == len(ends) or best.get((doc, item_id)) == 0:
+            e = max_edits(len(item), self.share)
+            if best.get((doc, item_id)) != 0:
+                d = edit_distance(item, ids[max(int(begin[doc]), first - e):min(ends[doc], last + len(item) + e)])
+                if d <= e:
+                    best[doc, item_id] = min(d, best.get((doc, item_id), d))
+
+        place = dict(zip(self.sizes, places))
+        for group, walks, keys, of in self.groups:
+            starts, sizes = np.concatenate([place[m] for m in group]), np.repeat(group, [len(place[m]) for m in group])
+            if not len(starts):
                 continue
-            d = edit_distance(item, ids[max(int(begin[doc]), s - e):min(ends[doc], s + len(item) + e)])
-            if d <= e:
-                best[doc, item_id] = min(d, best.get((doc, item_id), d))
+            k = walks.keys(ids, starts, sizes)
+            low, high = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
+            found = set()
+            for r, w in zip(*np.nonzero(high > low)):
+                found.update((int(starts[w]), int(x)) for x in of[low[r, w]:high[r, w]])
+            for start, x in sorted(found):
+                doc = text_at(start)
+                if doc < len(ends):
+                    compare(doc, x, start, start)
+        for m in self.exact:
+            # windows of a text that overlap are one stretch
+            runs: list[list[int]] = []
+            for start in place[m].tolist():
+                doc = text_at(start)
+                if runs and runs[-1][0] == doc and start - runs[-1][2] <= m:
+                    runs[-1][2] = start
+                elif doc < len(ends):
+                    runs.append([doc, start, start])
+            for doc, first, last in runs:
+                e = max_edits(m, self.share)
+                near = pair[max(int(begin[doc]), first - e):min(ends[doc], last + m + e)]
+                for x in self.by_size[m]:
+                    p = np.unique(self._pair(self.items[x][1]))
+                    if np.isin(p, near).sum() >= len(p) - 2 * e:
+                        compare(doc, x, first, last)
         return [(doc, item, d) for (doc, item), d in sorted(best.items())]
 
 

@@ -1,12 +1,13 @@
 """Places where an operator once did less than its whole job."""
 
 import html as h
+import random
 import re
 
 import pytest
 
-from orrery.llm import html_text, line_dedup
-from test_operators import SF, docs_of
+from orrery.llm import decontaminate, html_text, line_dedup
+from test_operators import SF, docs_of, edited
 
 
 # --- line dedup
@@ -56,3 +57,33 @@ def test_article_split_over_containers(spark):
         before, article, after = re.fullmatch("(.*)<article>(.*)</article>(.*)", r["html"], re.S).groups()
         split = "".join(f"<div>{x}</div>" for x in re.split("(?<=</p>)", article) if x.strip())
         assert html_text.main_text(before + split + after).split() == h.unescape(re.sub("<[^>]*>", " ", article)).split()
+
+
+# --- decontamination
+
+def test_long_items_among_short_ones_are_found():
+    rnd = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [[rnd.choice(vocabulary) for _ in range(400 if i == 240 else rnd.randint(15, 59))] for i in range(241)]
+    texts = [" ".join(["pre"] * 9 + edited(rnd, items[240], decontaminate.max_edits(400)) + ["post"] * 9) for _ in range(12)]
+    index = decontaminate.Index([(i, [w.encode() for w in x]) for i, x in enumerate(items)])
+    assert {(d, i) for d, i, _ in index.search(texts)} == {(d, 240) for d in range(12)}
+
+
+def test_sizes_that_walks_cannot_reach_are_compared_exactly(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_REPEATS", 1)
+    rnd = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(500)]
+    items = [[rnd.choice(vocabulary) for _ in range(rnd.randint(10, 40))] for _ in range(30)]
+    texts = [" ".join(edited(rnd, x, decontaminate.max_edits(len(x)))) for x in items] + [None, "", "v1 v2 " * 50]
+    words = [decontaminate.item_words(t) for t in texts]
+    number = lambda ws: decontaminate.np.array([int(w[1:]) if w[:1] == b"v" else -1 for w in ws], int)
+    want = {}
+    for d, t in enumerate(words):
+        for i, x in enumerate(items):
+            e = decontaminate.edit_distance(number([w.encode() for w in x]), number(t))
+            if e <= decontaminate.max_edits(len(x)):
+                want[d, i] = e
+    index = decontaminate.Index([(i, [w.encode() for w in x]) for i, x in enumerate(items)])
+    assert index.exact == index.sizes
+    assert {(d, i): e for d, i, e in index.search(texts)} == want
