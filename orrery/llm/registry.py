@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orrery.llm import decontaminate, html_text, line_dedup, lm_score, mixing, near_dedup, pii, quality, toxicity, warc
+from orrery.llm import decontaminate, html_text, line_dedup, lm_score, mixing, near_dedup, phrases, pii, quality, token_align, token_files, toxicity, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
+    "op11_token_alignment": token_align.op11_token_alignment,
+    "op12_token_files": token_files.op12_token_files,
+    "op13_phrases": phrases.op13_phrases,
 }
 
 ORACLE = {
@@ -24,4 +27,5 @@ ORACLE = {
     "op5_lm_score": lm_score.SQL,
     "op6_near_dedup": near_dedup.SQL,
     "op10_mixing": mixing.SQL,
+    "op13_phrases": phrases.SQL,
 }
