@@ -26,3 +26,37 @@ def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     """A batch of ``schema`` from arrays or lists in its order."""
     cols = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(cols, schema=schema)
+
+
+class Numbers(dict):
+    """Numbers things by their first look-up; ``new`` holds those numbered since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, x) -> int:
+        self[x] = n = len(self)
+        self.new.append(x)
+        return n
+
+    def of(self, xs, count: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, xs), np.int64, count)
+
+    def keep(self, chosen: np.ndarray) -> None:
+        """Forget all but those whose numbers are ``chosen`` (ascending), numbered anew."""
+        things = list(self)
+        self.clear()
+        for i in chosen.tolist():
+            self[things[i]] = len(self)
+
+
+def often(uses: np.ndarray, most: int) -> np.ndarray:
+    """Numbers of at most ``most`` of the things that were used more than once, the most used."""
+    again = np.flatnonzero(uses > 1)
+    return again if len(again) <= most else np.sort(again[np.argsort(uses[again])[-most:]])
+
+
+def take_runs(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches ``flat[starts[i]:starts[i] + sizes[i]]`` one after another."""
+    return flat[np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)]

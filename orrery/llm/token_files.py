@@ -16,11 +16,14 @@ A record's data: 8 bytes document id, 1 byte whether it has one, 1 byte bytes pe
 
 from __future__ import annotations
 
+import json
 import os
 import posixpath
+import re
 import struct
 import uuid
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -31,14 +34,15 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import materialize, read_table, scratch_path
 from orrery.llm.records import Corrupt, frame, unframe
-from orrery.llm.text_batches import parts, record_batch
+from orrery.llm.text_batches import Numbers, often, parts, record_batch, take_runs
 from orrery.llm.warc import _store
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 FILE_BYTES = 256 << 20
 PART_BYTES = 2 << 20  # of text encoded at once
-KNOWN_WORDS = 1 << 18  # remembered per task
+KNOWN_WORDS = 400_000  # remembered per Python worker
+JOINED_WORDS = 500  # encoded together
 MERGE_GAP = 64 << 10
 READ_BYTES = 8 << 20
 TASK_BYTES = 64 << 20
@@ -54,35 +58,97 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+# letters that normal forms leave alone and lower-casing maps to one letter, then punctuation:
+# one piece or two
+PLAIN_WORD, MARKS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+|[.,;:!?]+"), ".,;:!?"
+
+
 class Encoder:
     """Ids of texts by a tokenizer that treats words between white space on their own, so
-    that every distinct word is encoded once per task (up to ``most`` at a time)."""
+    that a distinct word is encoded once (up to ``most`` are remembered).
+
+    Plain words are encoded by their lower-case letters and their punctuation, many of these
+    together, parted by spaces: where the vocabulary marks the ends of pieces, they tell them
+    apart again. If they don't, and for other words, each is encoded by itself.
+    """
 
     def __init__(self, path: str, most: int = KNOWN_WORDS):
         self.tokenizer, self.most = tokenizer(path), most
-        self._forget()
+        said = json.loads(self.tokenizer.to_str())
+        suffix = said["model"].get("end_of_word_suffix")
+        # plain words are in lower case and normal form already
+        self.plain = type(self.tokenizer).from_str(json.dumps(said | {"normalizer": None}))
+        if self.tokenizer.normalizer is None or self.tokenizer.normalizer.normalize_str("AÉĴ,") != "aéĵ,":
+            suffix = None
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in self.tokenizer.get_vocab().items() if suffix else ():
+            self.ends[i] = token.endswith(suffix)
+        self.stems: dict[str, bytes | None] = {}
+        self.known, self.flat = Numbers(), np.zeros(0, np.uint32)
+        self.starts, self.sizes, self.uses = (np.zeros(0, np.int64) for _ in range(3))
 
     def _forget(self):
-        self.known, self.flat, self.sizes = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
+        """All words but the more frequent ones."""
+        chosen = often(self.uses, self.most // 2)
+        self.known.keep(chosen)
+        self.flat = take_runs(self.flat, self.starts[chosen], self.sizes[chosen])
+        self.sizes = self.sizes[chosen]
+        self.starts, self.uses, self.stems = np.cumsum(self.sizes) - self.sizes, np.zeros(len(chosen), np.int64), {}
+
+    def _ids(self, texts: list[str], by=None) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in (by or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        """Words of one piece each; None for others."""
+        plain = [s for s in stems if PLAIN_WORD.fullmatch(s)] if self.ends.any() else []
+        self.stems.update(dict.fromkeys(stems))
+        groups = [plain[i:i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups], self.plain)):
+            ends = (np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 1) * 4
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                ends = ends.tolist()
+                self.stems.update(zip(group, [ids[i:j] for i, j in zip([0, *ends], ends)]))
+            else:
+                self.stems.update(zip(group, self._ids(group, self.plain)))
+
+    def _learn(self, words: list[bytes]) -> None:
+        texts = b"\n".join(words).decode()
+        low, texts = texts.lower().split("\n"), texts.split("\n")
+        cut = [w.rstrip(MARKS) for w in low]
+        marks = [w[len(s):] for w, s in zip(low, cut)]
+        self._learn_stems(list(set(cut).union(marks).difference(self.stems)))
+        found = list(map(self.stems.__getitem__, cut))
+        for i, m in enumerate(marks):
+            if m and found[i] is not None:
+                found[i] += self.stems[m]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(rest, self._ids([texts[i] for i in rest])):
+            found[i] = ids
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.sizes, self.uses = np.append(self.sizes, sizes), np.append(self.uses, np.zeros_like(sizes))
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(found), np.uint32))
+
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        split = [(t or b"").split() for t in texts]
         if len(self.known) > self.most:
             self._forget()
-        new = list(set().union(*split).difference(self.known))
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.sizes = np.append(self.sizes, [len(g) for g in got])
-            self.flat = np.append(self.flat, np.array([i for g in got for i in g], np.uint32))
-        starts = np.cumsum(self.sizes) - self.sizes
-        out, look = [], self.known.__getitem__
-        for w in split:
-            at = np.fromiter(map(look, w), np.int64, len(w))
-            n = self.sizes[at]
-            shift = starts[at] - (np.cumsum(n) - n)
-            out.append(self.flat[np.arange(n.sum()) + np.repeat(shift, n)])
-        return out
+        counts = [len(w) for w in split]
+        at = self.known.of(chain.from_iterable(split), sum(counts))
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        sizes = self.sizes[at]
+        ids = take_runs(self.flat, self.starts[at], sizes)
+        edges = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)[:-1]] if counts else []
+        return np.split(ids, edges)
+
+
+@lru_cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker: what it has learned serves all its tasks."""
+    return Encoder(path)
 
 
 def serialize(doc_id: int | None, ids: np.ndarray) -> bytes:
@@ -114,18 +180,18 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
     own, as those that drop white space do.
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    order = ["doc_id", F.xxhash64("text"), "text"]
-    d = d.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = ["doc_id", F.xxhash64("text")]  # ranges are found from a sample of these: no texts
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     schema = _schema(INDEX)
 
     def write(batches):
         store, root = _store(path)
-        encoder, part = Encoder(tokenizer_path), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         out, name, shard, offset, before = None, None, -1, 0, 0
         try:
             for b in parts(batches, "text", PART_BYTES):
                 keys = b.column("doc_id").to_pylist()
-                ids = encoder.encode(b.column("text").to_pylist())
+                ids = encoder(tokenizer_path).encode(b.column("text").cast(pa.binary()).to_pylist())
                 if end_id is not None:
                     ids = [np.append(x, np.uint32(end_id)) for x in ids]
                 rows = []
