@@ -19,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -29,11 +31,12 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import materialize, read_table
 from orrery.llm.lm_score import pack, pack_sorted, unpack, unpack_sorted
-from orrery.llm.text_batches import parts, record_batch
+from orrery.llm.text_batches import Numbers, often, parts, record_batch, take_runs
 
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PART_BYTES = 1 << 20
-CHUNK_LINKS = 1 << 22
+CHUNK_LINKS = 1 << 21
+KNOWN_SEGMENTS = 250_000  # remembered per Python worker
 ANCHOR = 32  # every so many ends of the shorter list start from the text's first
 
 
@@ -70,6 +73,84 @@ def piece_level(path: str):
     return lambda texts: p.encode(texts, num_threads=1), table
 
 
+class Tokens:
+    """Ids of both tokenizers for texts, by segments that are encoded once each.
+
+    A text is cut at single spaces between other characters. Neither tokenizer has a token
+    across such a cut, so the ids of the segments are those of the text. A segment that one
+    of them does not give back byte by byte sends its text to whole encoding.
+    """
+
+    def __init__(self, a_path: str, b_path: str, most: int = KNOWN_SEGMENTS):
+        (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = byte_level(a_path), piece_level(b_path)
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.most = most
+        self.known, self.whole, self.uses = Numbers(), np.zeros(0, bool), np.zeros(0, np.int64)
+        # per tokenizer: ids of all segments, where each segment's begin, how many it has
+        self.flat = [np.zeros(0, np.int32)] * 2
+        self.starts, self.counts = [np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 2
+
+    def _forget(self):
+        """All segments but the more frequent ones."""
+        chosen = often(self.uses, self.most // 2)
+        self.known.keep(chosen)
+        self.whole, self.uses = self.whole[chosen], np.zeros(len(chosen), np.int64)
+        for k in (0, 1):
+            self.flat[k] = take_runs(self.flat[k], self.starts[k][chosen], self.counts[k][chosen])
+            self.counts[k] = self.counts[k][chosen]
+            self.starts[k] = np.cumsum(self.counts[k]) - self.counts[k]
+
+    def _both(self, texts: list[str]):
+        """Ids by A of a space and the text, ids by B, and whether both give the bytes back."""
+        spaced = [" " + t for t in texts]
+        for text, x, y in zip(spaced, self.encode_a(spaced), self.encode_b(texts)):
+            whole = text.encode()
+            yield x, y, b"".join(map(self.bytes_a.__getitem__, x)) == whole == b"".join(map(self.bytes_b.__getitem__, y))
+
+    def _learn(self, segments: list[str]) -> None:
+        # white space at the ends of a segment: more than one between others, so no cut
+        got = list(self._both(segments))
+        self.whole = np.append(self.whole, [not good or not s or s[0].isspace() or s[-1].isspace() for s, (_, _, good) in zip(segments, got)])
+        for k in (0, 1):
+            n = np.array([len(g[k]) for g in got], np.int64)
+            self.starts[k] = np.append(self.starts[k], len(self.flat[k]) + np.cumsum(n) - n)
+            self.counts[k] = np.append(self.counts[k], n)
+            self.flat[k] = np.append(self.flat[k], np.fromiter(chain.from_iterable(g[k] for g in got), np.int32, n.sum()))
+
+    def encode(self, texts: list[str | None]):
+        """((ids by A, numbers of them per text), the same by B); none for a text that is null,
+        empty or not given back by both."""
+        if len(self.known) > self.most:
+            self._forget()
+        split = [t.split(" ") if t else [] for t in texts]
+        n = np.array([len(x) for x in split], np.int64)
+        at = self.known.of(chain.from_iterable(split), n.sum())
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
+        self.uses = np.append(self.uses, np.zeros(len(self.known) - len(self.uses), np.int64)) + np.bincount(at, minlength=len(self.known))
+        text = np.repeat(np.arange(len(texts)), n)
+        odd = np.flatnonzero(np.bincount(text, self.whole[at], minlength=len(texts)))
+        cut = ~np.isin(text, odd) if len(odd) else slice(None)
+        at, text = at[cut], text[cut]
+        out = []
+        for k in (0, 1):
+            counts = self.counts[k][at]
+            out.append([take_runs(self.flat[k], self.starts[k][at], counts).astype(np.int64), np.bincount(text, counts, minlength=len(texts)).astype(np.int64)])
+        if len(odd):
+            lists = [np.split(ids, np.cumsum(n)[:-1]) for ids, n in out]
+            for i, (x, y, good) in zip(odd, self._both([texts[i] for i in odd])):
+                lists[0][i], lists[1][i] = (np.array(z if good else [], np.int64) for z in (x, y))
+            out = [[np.concatenate(z), np.array([len(v) for v in z], np.int64)] for z in lists]
+        return out
+
+
+@lru_cache
+def tokens(a_path: str, b_path: str) -> Tokens:
+    """One per Python worker: what it has learned serves all its tasks."""
+    return Tokens(a_path, b_path)
+
+
 def gallop(keys: np.ndarray, ends: np.ndarray, start: np.ndarray, last: np.ndarray) -> np.ndarray:
     """For each key the first place from ``start`` on whose end is not below it; the end at
     ``last`` never is."""
@@ -110,17 +191,9 @@ class Aligned:
     numbers of tokens ``group_a`` and ``group_b``, ``n_groups`` per text; of all links the
     places ``link_a`` and ``link_b`` in ``a`` and ``b``, ascending, ``n_links`` per text."""
 
-    def __init__(self, texts: list[str | None], a_tokenizer, b_tokenizer):
-        (encode_a, bytes_a), (encode_b, bytes_b) = a_tokenizer, b_tokenizer
-        some = [i for i, t in enumerate(texts) if t]
-        got_a, got_b = [[]] * len(texts), [[]] * len(texts)
-        spaced = [" " + texts[i] for i in some]
-        for i, text, x, y in zip(some, spaced, encode_a(spaced), encode_b([texts[i] for i in some])):
-            whole = text.encode()
-            if b"".join(map(bytes_a.__getitem__, x)) == whole and b"".join(map(bytes_b.__getitem__, y)) == whole:
-                got_a[i], got_b[i] = x, y
-        self.n_a, self.a, ends_a = self._ends(got_a, bytes_a)
-        self.n_b, self.b, ends_b = self._ends(got_b, bytes_b)
+    def __init__(self, texts: list[str | None], by: Tokens):
+        (self.a, self.n_a), (self.b, self.n_b) = by.encode(texts)
+        ends_a, ends_b = np.cumsum(by.sizes_a[self.a]), np.cumsum(by.sizes_b[self.b])
         # per text the tokenizer with fewer tokens drives the search
         swap = self.n_b < self.n_a
         short, n_short = self._choose(swap, ends_b, self.n_b, ends_a, self.n_a)
@@ -148,12 +221,6 @@ class Aligned:
         self.link_a = to_a + np.where(swapped, in_long, in_short)
         self.link_b = to_b + np.where(swapped, in_short, in_long)
 
-    @staticmethod
-    def _ends(ids, table):
-        n = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((i for x in ids for i in x), np.int64, n.sum())
-        return n, flat, np.cumsum(_sizes(table)[flat])
-
     @staticmethod
     def _choose(swap, x, n_x, y, n_y):
         """Ends of ``x`` for the texts where ``swap``, else of ``y``."""
@@ -161,32 +228,28 @@ class Aligned:
         start = np.where(swap, np.cumsum(n_x) - n_x, len(x) + np.cumsum(n_y) - n_y)
         return np.concatenate([x, y])[np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)], n
 
-    def groups(self) -> list[str]:
+    def groups(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` per text: the ids of its groups."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        out, i, j, k = [], 0, 0, 0
-        sizes = list(zip(self.group_a.tolist(), self.group_b.tolist()))
-        for n in self.n_groups.tolist():
-            said = []
-            for x, y in sizes[k:k + n]:
-                said.append(f"{a[i] if x == 1 else ','.join(a[i:i + x])}|{b[j] if y == 1 else ','.join(b[j:j + y])}")
-                i, j = i + x, j + y
-            k += n
-            out.append(";".join(said))
-        return out
-
-
-_SIZES: dict[int, np.ndarray] = {}
-
-
-def _sizes(table: list[bytes]) -> np.ndarray:
-    if id(table) not in _SIZES:  # tables stay in memory, see lru_cache above
-        _SIZES[id(table)] = np.array([len(x) for x in table], np.int64)
-    return _SIZES[id(table)]
-
-
-def _tables(a_path: str, b_path: str):
-    return byte_level(a_path), piece_level(b_path)
+        before_a, before_b = np.cumsum(self.group_a) - self.group_a, np.cumsum(self.group_b) - self.group_b
+        # all ids in the order in which they are written, and what follows each
+        n = len(self.a) + len(self.b)
+        ids, follows = np.zeros(n, np.int64), np.full(n, ord(","), np.uint8)
+        ids[np.arange(len(self.a)) + np.repeat(before_b, self.group_a)] = self.a
+        ids[np.arange(len(self.b)) + np.repeat(before_a + self.group_a, self.group_b)] = self.b
+        follows[before_a + before_b + self.group_a - 1] = ord("|")
+        follows[before_a + before_b + self.group_a + self.group_b - 1] = ord(";")
+        digits = 1 + sum((ids >= 10 ** k).astype(np.int64) for k in range(1, 6))
+        ends = np.cumsum(digits + 1)
+        said, rest = np.zeros(ends[-1] if n else 0, np.uint8), ids
+        said[ends - 1] = follows
+        at, place = np.arange(n), ends - 2
+        while len(at):
+            rest, last = np.divmod(rest, 10)
+            said[place] = last + ord("0")
+            more = np.flatnonzero(rest)
+            at, place, rest = at[more], place[more] - 1, rest[more]
+        edges = np.concatenate([[0], ends])[np.cumsum(self.n_a + self.n_b)]
+        return [x[:-1].tobytes() for x in np.split(said, edges[:-1])] if len(edges) else []
 
 
 ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, group_a array<int>, group_b array<int>, link_a array<int>, link_b array<int>"
@@ -210,7 +273,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
 
     def run(batches):
         for b in parts(batches, "text", PART_BYTES):
-            g = Aligned(b.column("text").to_pylist(), *_tables(a_path, b_path))
+            g = Aligned(b.column("text").to_pylist(), tokens(a_path, b_path))
             link_a = g.link_a - np.repeat(np.cumsum(g.n_a) - g.n_a, g.n_links)
             link_b = g.link_b - np.repeat(np.cumsum(g.n_b) - g.n_b, g.n_links)
             yield record_batch(schema, [b.column("doc_id"), lists(g.a, g.n_a), lists(g.b, g.n_b), lists(g.group_a, g.n_groups),
@@ -231,36 +294,46 @@ def chunks(docs: DataFrame, a_path: str, b_path: str, chunk_links: int = CHUNK_L
                         ("groups", pa.list_(pa.string())), *[(c, pa.binary()) for c in ("pairs", "pair_docs", "n_places", "places", "times")]])
 
     def cut(batches):
-        task, n, size, held = TaskContext.get().partitionId(), 0, 0, []
+        task, n_rows, size, held = TaskContext.get().partitionId(), 0, 0, []
 
         def row():
-            keys = np.concatenate([h[1] for h in held])
-            pairs, place, pair_docs = np.unique(keys, return_inverse=True, return_counts=True)
-            n_places = np.concatenate([h[2] for h in held])
-            # places ascend within a document, so what is kept are the steps between them
-            steps = np.diff(place, prepend=0)
-            starts = (np.cumsum(n_places) - n_places)[n_places > 0]
-            steps[starts] = place[starts]
+            # the chunk's pairs, and of every part's pairs their places in them
+            pairs, place = np.unique(np.concatenate([h[1] for h in held]), return_inverse=True)
+            edges = np.cumsum([len(h[1]) for h in held])
+            pair_docs = np.zeros(len(pairs), np.int64)
+            steps = []
+            for h, of in zip(held, np.split(place, edges[:-1])):
+                at, n = of[h[2]], h[3]
+                np.add.at(pair_docs, of, np.bincount(h[2], minlength=len(of)))
+                # places ascend within a document, so what is kept are the steps between them
+                step = np.diff(at, prepend=0)
+                starts = (np.cumsum(n) - n)[n > 0]
+                step[starts] = at[starts]
+                steps.append(step.astype(np.uint32))
             columns = [sum((h[0][i] for h in held), []) for i in range(6)]
-            return record_batch(schema, [[f"{task}-{n}"], *[[c] for c in columns], [pack_sorted(pairs.astype(np.uint64))], [pack(pair_docs.astype(np.uint32))],
-                                         [pack(n_places.astype(np.uint32))], [pack(steps.astype(np.uint32))], [pack(np.concatenate([h[3] for h in held]))]])
+            packed = [pairs.astype(np.uint64), pair_docs.astype(np.uint32), np.concatenate([h[3] for h in held]).astype(np.uint32), np.concatenate(steps),
+                      np.concatenate([h[4] for h in held])]
+            return record_batch(schema, [[f"{task}-{n_rows}"], *[[c] for c in columns], [pack_sorted(packed[0])], *[[pack(x)] for x in packed[1:]]])
 
         for b in parts(batches, "text", PART_BYTES):
-            g = Aligned(b.column("text").to_pylist(), *_tables(a_path, b_path))
-            # distinct pairs of every document, in order
+            g = Aligned(b.column("text").to_pylist(), tokens(a_path, b_path))
+            # distinct pairs of the part, and of every document in order
+            at, pairs = pd.factorize((g.a[g.link_a] << 32) | g.b[g.link_b])
+            order = np.argsort(pairs)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
             doc = np.repeat(np.arange(b.num_rows), g.n_links)
-            keys = (g.a[g.link_a] << 32) | g.b[g.link_b]
-            order = np.lexsort((keys, doc))
-            doc, keys = doc[order], keys[order]
-            new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(keys, prepend=-1) != 0))
+            keys = np.sort(doc * max(1, len(pairs)) + rank[at])
+            new = np.flatnonzero(np.diff(keys, prepend=-1))
             times = np.diff(new, append=len(keys)).astype(np.uint32)
-            digests = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in g.groups()]
+            doc, place = np.divmod(keys[new], max(1, len(pairs)))
+            digests = [hashlib.sha256(x).hexdigest() if x else "" for x in g.groups()]
             numbers = [b.column("doc_id").to_pylist(), *[x.tolist() for x in (g.n_a, g.n_b, g.n_groups, g.n_links)], digests]
-            held.append((numbers, keys[new], np.bincount(doc[new], minlength=b.num_rows), times))
-            size += len(keys) + b.num_rows
+            held.append((numbers, pairs[order], place.astype(np.int32), np.bincount(doc, minlength=b.num_rows), times))
+            size += len(at) + b.num_rows
             if size >= chunk_links:
                 yield row()
-                n, size, held = n + 1, 0, []
+                n_rows, size, held = n_rows + 1, 0, []
         if held:
             yield row()
 
