@@ -1,13 +1,15 @@
 """Phrase collocations of a corpus by stripes.
 
 A stripe is a prefix of words with a counter of the words that follow it; what follows the
-last word of a piece is the empty word, so a stripe's total is the prefix's own count.
+last word of a piece is the empty word, so a stripe's total is the prefix's own count. The
+stripes of all prefixes with the same first word are one row.
 
 1. ``word_counts``: the stripe of the empty prefix per language, one row per word.
-2. ``stripes``: tasks count the prefixes of part of the texts and give out one row per
-   stripe. Stripes of prefixes whose words hold many of all occurrences are cut into
-   segments by a hash of the next word, as many as that share asks for, so that no task
-   gets a whole hot prefix.
+2. ``stripes``: tasks count the prefixes of part of the texts. Words that are too rare for
+   any candidate end a piece here (those that a bitmap of fixed size tells; the others only
+   cost space). Rows of first words that hold many of all occurrences are cut into segments
+   by a hash of the following word, as many as that share asks for, so that no task gets a
+   whole hot word.
 3. ``merged``: equal prefixes meet and their counters are added elementwise. A merged
    stripe gives its prefix's total, the counts of its extensions and, by the largest of
    them, how much of the prefix goes on in a longer phrase.
@@ -34,7 +36,9 @@ SCALE = 1_000_000
 TOP = 2_000
 CHUNK_WORDS = 1 << 20  # counted together in a task
 PART_BYTES = 4 << 20
+ROWS_OUT = 20_000  # of a batch given out
 SEGMENTS_PER_PARTITION = 4
+BITMAP_BITS = 24  # 2 MB, whatever the corpus: fuller bitmaps keep more rare words
 
 # fixed characters: those that end a piece, and those that end a word in it
 PIECE_ENDS, WORD_ENDS = ".,;:!?\n\x0b\x0c\r", " \t"
@@ -97,124 +101,166 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang", chunk_w
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _word_hashes(lang: str, words: list[bytes]) -> list[int]:
-    seed = xxhash.xxh32_intdigest(lang.encode())
-    return [xxhash.xxh64_intdigest(w, seed) for w in words]
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """What ``xxhash64(lang, word)`` gives in Spark."""
+    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _stripes_of(lang: str, vocabulary: pa.Array, x: np.ndarray, k: int, heavy: dict[int, int], schema: pa.Schema):
-    """The stripes of all prefixes of ``k`` words in one chunk."""
+def word_bitmap(words: DataFrame, bits: int = BITMAP_BITS) -> bytes:
+    """Bits set at the hashes of ``words`` (lang, word), least first: the driver gets
+    2 ** bits bits, whatever the number of words."""
+    at = F.expr(f"pmod(xxhash64(lang, word), {1 << bits}) + 1")
+    rows = words.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m"))
+    out = bytearray(1 << (bits - 3))
+    for r in rows.collect():
+        out[(r["b"] - 1) * 4096:r["b"] * 4096] = r["m"]
+    return bytes(out[:1 << (bits - 3)])
+
+
+def _stripes_of(lang: str, vocabulary: pa.Array, x: np.ndarray, k: int, heavy: dict[int, int], bitmap: bytes, schema: pa.Schema):
+    """The stripes of all prefixes of ``k`` words in one chunk, a row per first word and segment."""
     v = len(vocabulary)
-    x = np.append(x, np.zeros(k + 1, np.int64))
+    hashes = _word_hashes(lang, vocabulary.cast(pa.binary()).to_pylist())
+    bits = np.frombuffer(bitmap, np.uint8)
+    at = hashes & np.uint64(len(bits) * 8 - 1)
+    frequent = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    frequent[0] = False
+    x = np.append(np.where(frequent[x], x, 0), np.zeros(k + 1, np.int64))
     at = np.flatnonzero(np.logical_and.reduce([x[i:len(x) - k + i] != 0 for i in range(k)]))
     if not len(at):
         return
     prefix, heads = np.zeros(len(at), np.int64), np.zeros((1, 0), np.int64)
-    for i in range(k):  # number the distinct prefixes, a word longer each time
+    for i in range(k):  # number the distinct prefixes, a word longer each time; 0 can't go on
         codes, prefix = np.unique(prefix * v + x[at + i], return_inverse=True)
         heads = np.column_stack([heads[codes // v], codes % v])
-    codes, counts = np.unique(prefix * v + x[at + k], return_counts=True)
-    prefix, following = codes // v, codes % v
-    # segments of prefixes all of whose words are frequent
-    hashes = _word_hashes(lang, vocabulary.cast(pa.binary()).to_pylist()) if heavy else None
-    parts_of = np.array([heavy.get(h, 1) for h in hashes], np.int64) if heavy else np.ones(v, np.int64)
-    n_parts = parts_of[heads].min(axis=1)
-    segment = np.zeros(len(codes), np.int64)
-    if (n_parts > 1).any():
-        n = n_parts[prefix]
-        split = np.flatnonzero(n > 1)
-        segment[split] = np.array(hashes, np.uint64)[following[split]].astype(np.int64) % n[split] % n[split]
-        order = np.lexsort((following, segment, prefix))
+    codes = np.sort(prefix * v + x[at + k])
+    new = np.flatnonzero(np.diff(codes, prepend=-1))
+    counts, (prefix, following) = np.diff(new, append=len(codes)), np.divmod(codes[new], v)
+    # segments of frequent first words
+    n_parts = np.array([heavy.get(h, 1) for h in hashes.tolist()], np.int64) if heavy else np.ones(v, np.int64)
+    segment = np.zeros(len(prefix), np.int64)
+    split = np.flatnonzero(n_parts[heads[prefix, 0]] > 1)
+    if len(split):
+        segment[split] = hashes[following[split]] % n_parts[heads[prefix[split], 0]].astype(np.uint64)
+        order = np.lexsort((following, prefix, segment, heads[prefix, 0]))
         prefix, following, segment, counts = prefix[order], following[order], segment[order], counts[order]
-    starts = np.flatnonzero(np.diff(prefix, prepend=-1) | np.diff(segment, prepend=-1))
+    first = heads[prefix, 0]
+    row = np.flatnonzero(np.diff(first, prepend=-1) | np.diff(segment, prepend=-1))  # first entry of each row
+    stripe = np.flatnonzero(np.diff(prefix, prepend=-1) | np.diff(segment, prepend=-1))  # and of each stripe
     words = pa.concat_arrays([pa.array([""]), vocabulary[1:]]).cast(pa.large_string())
-    key = words.take(pa.array(heads[prefix[starts], 0]))
-    for i in range(1, k):
-        key = pc.binary_join_element_wise(key, words.take(pa.array(heads[prefix[starts], i])), pa.scalar(" ", pa.large_string()))
-    offsets = np.append(starts, len(codes))
-    lists = pa.LargeListArray.from_arrays(pa.array(offsets), words.take(pa.array(following)))
-    nexts = pc.binary_join(lists, pa.scalar(" ", pa.large_string()))
-    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets * 4), pa.py_buffer(counts.astype("<u4"))])
-    for i in range(0, len(starts), 50_000):
-        n = len(key[i:i + 50_000])
-        yield record_batch(schema, [pa.repeat(pa.scalar(lang), n), key[i:i + n].cast(pa.string()), pa.array(segment[starts[i:i + n]].astype(np.int32)),
-                                    pa.array(n_parts[prefix[starts[i:i + n]]] > 1), nexts[i:i + n].cast(pa.string()), packed[i:i + n].cast(pa.binary())])
-
-
-def stripes(docs: DataFrame, words: int, heavy: dict[int, int], text: str = "text", lang: str = "lang",
+    space, tab = pa.scalar(" ", pa.large_string()), pa.scalar("\t", pa.large_string())
+    take = lambda at: words.take(pa.array(at))
+    joined = lambda flat, starts, by: pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(flat))), flat), by)
+    rests = pc.binary_join_element_wise(*[take(heads[prefix[stripe], i]) for i in range(1, k)], space) if k > 1 else pa.repeat(pa.scalar("", pa.large_string()), len(stripe))
+    in_row = np.searchsorted(stripe, row)
+    nexts = joined(joined(take(following), stripe, space), in_row, tab)
+    rests = joined(rests, in_row, tab)
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(np.append(row, len(prefix)) * 4), pa.py_buffer(counts.astype("<u4"))])
+    key, segment, is_split = take(first[row]), pa.array(segment[row].astype(np.int32)), pa.array(n_parts[first[row]] > 1)
+    for i in range(0, len(row), ROWS_OUT):
+        out = [x[i:i + ROWS_OUT] for x in (key, segment, is_split, rests, nexts, packed)]
+        yield record_batch(schema, [pa.repeat(pa.scalar(lang), len(out[0])), *[x.cast(f.type) for x, f in zip(out, list(schema)[1:])]])
+
+
+def stripes(docs: DataFrame, words: int, heavy: dict[int, int], bitmap: bytes, text: str = "text", lang: str = "lang",
             chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """lang, prefix (``words`` words), segment, split, nexts (space-joined, the empty word for
-    the end of a piece), counts (little-endian 4-byte integers): stripes of parts of the texts.
-    ``heavy``: number of segments by hash of a frequent word."""
-    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("segment", pa.int32()), ("split", pa.bool_()),
-                        ("nexts", pa.string()), ("counts", pa.binary())])
+    """Stripes of parts of the texts, of all prefixes of ``words`` words with the same first
+    word: lang, first, segment, split (whether there are several segments), rests (the further
+    words of each prefix, tabs between prefixes), nexts (the words that follow it, space-joined,
+    the empty word for the end of a piece; tabs as before), counts of all of these
+    (little-endian 4-byte integers). ``heavy``: number of segments by hash of a first word;
+    ``bitmap``: hashes of the words that don't end a piece, see ``word_bitmap``."""
+    schema = pa.schema([("lang", pa.string()), ("first", pa.string()), ("segment", pa.int32()), ("split", pa.bool_()),
+                        ("rests", pa.string()), ("nexts", pa.string()), ("counts", pa.binary())])
 
     def cut(batches):
         for name, vocabulary, numbers in _chunks(batches, chunk_words):
-            yield from _stripes_of(name, vocabulary, numbers, words, heavy, schema)
+            yield from _stripes_of(name, vocabulary, numbers, words, heavy, bitmap, schema)
 
-    return _texts(docs, text, lang).mapInArrow(cut, "lang string, prefix string, segment int, split boolean, nexts string, counts binary")
+    return _texts(docs, text, lang).mapInArrow(cut, "lang string, first string, segment int, split boolean, rests string, nexts string, counts binary")
 
 
-def merged(striped: DataFrame, min_count: int) -> DataFrame:
-    """lang, prefix, total, nexts, counts: stripes (or their segments) added elementwise, with
-    the extensions that occur ``min_count`` times; segments without any and whole stripes
-    whose total is smaller are left out."""
-    keyed = striped.withColumn("h", F.xxhash64("lang", "prefix", "segment"))
-    keyed = keyed.repartition("h").sortWithinPartitions("h")
-    names = ["h", "lang", "prefix", "split", "next", "n"]
-    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()),
-                        ("nexts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+class _Entries:
+    """Entries of stripes: word that follows, number, and place of its prefix among ``lang``,
+    ``prefix``, ``split`` and ``h`` (arrays with one item per stripe of each chunk)."""
+
+    def __init__(self, lang, prefix, split, h, of, following, n):
+        self.lang, self.prefix, self.split, self.h, self.of, self.following, self.n = lang, prefix, split, h, of, following, n
 
-    def expand(b: pa.RecordBatch) -> pa.Table:
-        lists = pc.split_pattern(b.column("nexts"), " ")
-        parent = pc.list_parent_indices(lists)
+    @classmethod
+    def read(cls, b: pa.RecordBatch, words: int):
+        of_row, prefix = (lambda x: (pc.list_parent_indices(x), x.flatten()))(pc.split_pattern(b.column("rests"), "\t"))
+        nexts = pc.split_pattern(pc.split_pattern(b.column("nexts"), "\t").flatten(), " ")
+        first = b.column("first").take(of_row)
+        prefix = pc.binary_join_element_wise(first, prefix, " ") if words > 1 else first
         n = np.frombuffer(b"".join(b.column("counts").to_pylist()), "<u4").astype(np.int64)
-        cols = [b.column(c).take(parent) for c in names[:4]]
-        return pa.table([*cols, lists.flatten(), pa.array(n)], names=names)
-
-    def add(t: pa.Table) -> pa.Table:
-        return t.group_by(names[:5], use_threads=False).aggregate([("n", "sum")]).rename_columns(names)
-
-    def finish(t: pa.Table) -> pa.RecordBatch:
-        """Whole stripes: entries in any order."""
-        key = np.zeros(t.num_rows, np.int64)
-        for c in ("lang", "prefix"):
-            codes = t.column(c).combine_chunks().dictionary_encode().indices.to_numpy()
-            key = np.unique(key * (codes.max() + 1) + codes, return_inverse=True)[1] if len(codes) else key
-        # equal hashes of different segments of a prefix stay apart only by their place in
-        # the partition; adding them up is right as well, because totals are summed below
+        return cls(b.column("lang").take(of_row), prefix, b.column("split").take(of_row), b.column("h").take(of_row).to_numpy(),
+                   pc.list_parent_indices(nexts).to_numpy(), nexts.flatten(), n)
+
+    def after(self, held: "_Entries | None") -> "_Entries":
+        if held is None:
+            return self
+        join = lambda x, y: pa.concat_arrays([x, y])
+        return _Entries(join(held.lang, self.lang), join(held.prefix, self.prefix), join(held.split, self.split), np.append(held.h, self.h),
+                        np.append(held.of, self.of + len(held.h)), join(held.following, self.following), np.append(held.n, self.n))
+
+    def added(self) -> "_Entries":
+        """Equal entries of equal prefixes added up, sorted by prefix."""
+        lang, prefix = self.lang.dictionary_encode(), self.prefix.dictionary_encode()
+        code = lang.indices.to_numpy().astype(np.int64) * len(prefix.dictionary) + prefix.indices.to_numpy()
+        _, at, code = np.unique(code, return_index=True, return_inverse=True)
+        word = self.following.dictionary_encode()
+        key = code[self.of] * len(word.dictionary) + word.indices.to_numpy()
         order = np.argsort(key, kind="stable")
         starts = np.flatnonzero(np.diff(key[order], prepend=-1))
-        n = t.column("n").to_numpy()[order]
-        total = np.add.reduceat(n, starts) if len(starts) else np.zeros(0, np.int64)
-        nexts = t.column("next").combine_chunks().take(pa.array(order))
-        frequent = (n >= min_count) & pc.not_equal(nexts, "").to_numpy(zero_copy_only=False)
-        size = np.add.reduceat(frequent.astype(np.int64), starts) if len(starts) else total
-        split = t.column("split").combine_chunks().take(pa.array(order[starts])).to_numpy(zero_copy_only=False)
-        keep = (total >= min_count) | split
-        # entries of stripes that go are all infrequent, so the lists of those that stay are contiguous
-        entries = np.flatnonzero(frequent)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32))
-        at = pa.array(order[starts][keep])
-        return record_batch(schema, [t.column("lang").combine_chunks().take(at), t.column("prefix").combine_chunks().take(at), pa.array(total[keep]),
-                                     pa.ListArray.from_arrays(offsets, nexts.take(pa.array(entries))),
-                                     pa.ListArray.from_arrays(offsets, pa.array(n[entries]))])
+        n = np.add.reduceat(self.n[order], starts) if len(starts) else self.n
+        of, words = np.divmod(key[order[starts]], max(1, len(word.dictionary)))
+        pick = pa.array(at)
+        return _Entries(self.lang.take(pick), self.prefix.take(pick), self.split.take(pick), self.h[at], of, word.dictionary.take(pa.array(words)), n)
+
+    def where(self, keep: np.ndarray) -> "_Entries":
+        """Those of the prefixes ``keep``."""
+        entries, pick = keep[self.of], pa.array(np.flatnonzero(keep))
+        place = np.cumsum(keep) - 1
+        return _Entries(self.lang.take(pick), self.prefix.take(pick), self.split.take(pick), self.h[keep], place[self.of[entries]],
+                        self.following.filter(pa.array(entries)), self.n[entries])
+
+
+def merged(striped: DataFrame, words: int, min_count: int) -> DataFrame:
+    """lang, prefix, total, nexts, counts: stripes (or their segments) added elementwise, with
+    the extensions that occur ``min_count`` times; whole stripes whose total is smaller are
+    left out."""
+    # rows are dealt and sorted by a hash that isn't sent along
+    h = F.xxhash64("lang", "first", "segment")
+    keyed = striped.repartition(h).withColumn("h", h).sortWithinPartitions("h")
+    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()),
+                        ("nexts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+
+    def finish(e: _Entries) -> pa.RecordBatch:
+        total = np.bincount(e.of, e.n, minlength=len(e.h)).astype(np.int64)
+        keep = (total >= min_count) | e.split.to_numpy(zero_copy_only=False)
+        frequent = (e.n >= min_count) & pc.not_equal(e.following, "").to_numpy(zero_copy_only=False)
+        # stripes that go have no frequent entries
+        size = np.bincount(e.of[frequent], minlength=len(e.h))[keep]
+        offsets, pick = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(np.flatnonzero(keep))
+        return record_batch(schema, [e.lang.take(pick), e.prefix.take(pick), pa.array(total[keep]),
+                                     pa.ListArray.from_arrays(offsets, e.following.filter(pa.array(frequent))),
+                                     pa.ListArray.from_arrays(offsets, pa.array(e.n[frequent]))])
 
     def merge(batches):
         held = None  # entries of the last hash, added up
         for b in batches:
-            if not b.num_rows:
-                continue
-            t = expand(b)
-            t = add(t if held is None else pa.concat_tables([held, t]))
-            last = pc.equal(t.column("h"), b.column("h")[b.num_rows - 1])
-            held = t.filter(last)
-            yield finish(t.filter(pc.invert(last)))
+            if b.num_rows:
+                e = _Entries.read(b, words).after(held).added()
+                last = e.h == b.column("h")[b.num_rows - 1].as_py()
+                held = e.where(last)
+                if not last.all():
+                    yield finish(e.where(~last))
         if held is not None:
             yield finish(held)
 
-    return keyed.select("h", "lang", "prefix", "split", "nexts", "counts").mapInArrow(
+    return keyed.select("h", "lang", "first", "split", "rests", "nexts", "counts").mapInArrow(
         merge, "lang string, prefix string, total long, nexts array<string>, counts array<long>")
 
 
@@ -228,11 +274,12 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     # at most ``segments`` words hold 1 / segments of all occurrences
     segments = segments or SEGMENTS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frequent = words.filter(F.col("n") * segments > n).collect() if segments > 1 else []
-    heavy = {_word_hashes(r["lang"], [r["word"].encode()])[0]: -(-r["n"] * segments // n) for r in frequent}
+    heavy = {int(_word_hashes(r["lang"], [r["word"].encode()])[0]): -(-r["n"] * segments // n) for r in frequent}
+    bitmap = word_bitmap(words.filter(F.col("n") >= min_count))
     counts = words.filter(F.col("n") >= min_count).select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("f"))
     # prefixes of k words give phrases of k (totals) and k + 1 words (extensions)
     for k in range(max_words - 1, 0, -2):
-        got = materialize(merged(stripes(docs, k, heavy, text, lang, chunk_words), min_count), "stripes")
+        got = materialize(merged(stripes(docs, k, heavy, bitmap, text, lang, chunk_words), k, min_count), "stripes")
         extended = got.select("lang", "prefix", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
         counts = counts.unionByName(extended.select("lang", F.concat_ws(" ", "prefix", "e.nexts").alias("phrase"), F.lit(k + 1).alias("size"), F.col("e.counts").alias("f")))
         if k > 1:
