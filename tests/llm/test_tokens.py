@@ -62,10 +62,33 @@ def test_changed_records_are_refused():
 
 
 @settings(deadline=None, max_examples=150)
-@given(st.text(alphabet=st.one_of(st.sampled_from("aB’'s.é́  \x1c\x85İﬁ<|>endoftx \t\n\x0b12漢"), st.characters(exclude_categories=["Cs"])), max_size=60))
+@given(st.text(alphabet=st.one_of(st.sampled_from("KÅẞİſaB’'s.é́  \x1c\x85İﬁ<|>endoftx \t\n\x0b12漢"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_words_encoded_on_their_own_equal_the_whole_text(text):
     for t in (text, f"{text} <|endoftext|>{text}"):
-        assert token_files.Encoder(WORD).encode([t])[0].tolist() == token_files.tokenizer(WORD).encode(t, add_special_tokens=False).ids
+        assert token_files.encoder(WORD).encode([t.encode()])[0].tolist() == token_files.tokenizer(WORD).encode(t, add_special_tokens=False).ids
+
+
+def test_forgetting_changes_nothing():
+    texts = [f"The word{i % 7}x, and Été{i} it's {i} {'naïve!' * (i % 3)} the." for i in range(200)]
+    few, token = token_files.Encoder(WORD, most=40), token_align.Tokens(BYTE, PIECE, most=30)
+    for i in range(0, 200, 10):
+        some = texts[i:i + 10]
+        assert [x.tolist() for x in few.encode([t.encode() for t in some])] == [e.ids for e in few.tokenizer.encode_batch(some, add_special_tokens=False)]
+        (a, n_a), (b, n_b) = token.encode(some)
+        assert [x.tolist() for x in np.split(a, np.cumsum(n_a)[:-1])] == token.encode_a([" " + t for t in some])
+        assert [x.tolist() for x in np.split(b, np.cumsum(n_b)[:-1])] == token.encode_b(some)
+    assert len(few.known) < 80 and len(token.known) < 80
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.text(alphabet=st.one_of(st.sampled_from("KÅẞİſaB’'s.é  \x1c\x85\xa0▁<|>endoftx \t\n12漢"), st.characters(exclude_categories=["Cs"])), max_size=60))
+def test_segments_encoded_on_their_own_equal_the_whole_text(text):
+    by = token_align.tokens(BYTE, PIECE)
+    for t in (text, f"{text} <|endoftext|> <s>{text}"):
+        (a, _), (b, _) = by.encode([t])
+        x, y = by.encode_a([" " + t])[0], by.encode_b([t])[0]
+        good = t and b"".join(by.bytes_a[i] for i in x) == (" " + t).encode() == b"".join(by.bytes_b[i] for i in y)
+        assert (a.tolist(), b.tolist()) == ((x, y) if good else ([], []))
 
 
 def plain_ids(texts):
