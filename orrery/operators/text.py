@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.columns import TOKEN_SPLIT, VADER_ALPHA, feed_rows, normalise, parse_compact_time, parse_tweet_time, sentiment_bucket, to_json_value, tokens  # noqa: F401
+from orrery.session import measured
 
 
 def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
@@ -21,14 +22,15 @@ def lexicon_sentiment(df: DataFrame, text: str, lexicon: DataFrame, id_col: str,
     """Add ``out`` (compound score in [-1, 1]) to every row of ``df`` (``id_col``
     unique).
 
-    Plan: tokens are exploded and joined to the lexicon, valences get a partial sum per
-    row before the shuffle, and the per-row sums are left-joined back so rows without a
-    lexicon token score 0. The join strategy is Spark's, by the lexicon's measured size.
+    Tokens are exploded and left-joined to the lexicon: of such a join Spark can only
+    broadcast the lexicon, and does so if its measured size allows (a lexicon of unknown
+    size is written as a table first). Valences get a partial sum per row before the
+    shuffle; the sums are left-joined back, so rows without a lexicon token score 0.
     """
-    lex = lexicon.select(F.col(token_col).alias("_tok"), F.col(valence_col).cast("double").alias("_val"))
+    lex = measured(lexicon.select(F.col(token_col).alias("_tok"), F.col(valence_col).cast("double").alias("_val")))
     # empty tokens (text starting with a non-letter) never match a lexicon entry
     tok = df.select(F.col(id_col).alias("_id"), F.explode(F.split(F.lower(F.col(text)), TOKEN_SPLIT)).alias("_tok"))
-    s = tok.join(lex, "_tok").groupBy("_id").agg(F.sum("_val").alias("_s"))
+    s = tok.join(lex, "_tok", "left").groupBy("_id").agg(F.sum("_val").alias("_s"))
     return (df.join(s.withColumnRenamed("_id", id_col), id_col, "left")
               .withColumn(out, normalise(F.coalesce(F.col("_s"), F.lit(0.0)), alpha)).drop("_s"))
 

@@ -23,7 +23,8 @@ FEED_CHUNK = 64  # feed messages carry at most this many items
 
 
 def lexicon_df(spark):
-    return spark.createDataFrame(LEXICON, "token string, valence double")
+    rows = ", ".join(f"('{t}', {v}D)" for t, v in LEXICON)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(token, valence)")  # literal rows: their size is known
 
 
 def scored_docs(spark, sf):

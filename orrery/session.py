@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,6 +78,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def estimated_bytes(df) -> int:
+    """Spark's estimate of the size of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def measured(df):
+    """``df`` with a size that the planner knows: as it is if it has one (files, literal
+    rows), else written as a table in the checkpoint folder and read back."""
+    spark = df.sparkSession
+    if estimated_bytes(df) < int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)).rstrip("bB")):
+        return df
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orrery-{spark.sparkContext.applicationId}/{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint (never localCheckpoint): survives executor loss.
     A frame this function returned is returned as is (no second write)."""
