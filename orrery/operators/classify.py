@@ -5,12 +5,9 @@ model table of size (classes × features) or (classes × features²); scoring =
 broadcast of that model table (its size is the model's, independent of the rows)
 and column arithmetic or a vectorised pandas step per partition.
 
-Exact k-nearest-neighbours is all-pairs work by definition. It is blocked: test
-rows are hashed into TB blocks, train rows into RB blocks, and each
-(test block, train block) pair is one cogroup whose distance matrix is computed
-with NumPy and cut to its k best per test row; the final merge keeps k of RB·k
-candidates per test row. Block sizes come from row counts, so no task holds more
-than ``block × block`` distances whatever the table sizes.
+Exact k-nearest-neighbours: train rows are dealt to cells around centres, and a test
+row visits only the cells whose bounds allow a row within its k-th distance (see
+``knn_neighbors``). Distances are computed block by block with NumPy.
 """
 
 from __future__ import annotations
@@ -18,11 +15,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.scalar_join import attach_scalar
+from orrery.session import cut_lineage
 
 LOG_2PI = math.log(2 * math.pi)
 
@@ -56,55 +54,170 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 
 # ---------------------------------------------------------------- k nearest neighbours
 
-def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, feats: list[str],
-                  k: int, metric: str = "l2", block: int = 2048, group: str | None = None) -> DataFrame:
+MAX_CELLS = 4096  # cells of a neighbour search: their centres and bounds are on the driver
+HOME_ROWS = 4  # times k: train rows of the cells that a test row visits first
+SLACK = 1e-6  # of the coordinates' size: rounding of distances to centres never prunes a neighbour
+
+
+def _vector(feats: list[str] | str):
+    """The feature vector as one column: an array column's name, or feature columns."""
+    return F.col(feats).cast("array<double>") if isinstance(feats, str) else F.array(*[F.col(c).cast("double") for c in feats])
+
+
+def _matrix(column, width: int) -> np.ndarray:
+    column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _distances(xa: np.ndarray, xb: np.ndarray, l1: bool) -> np.ndarray:
+    """Summed feature by feature, left to right: absolute differences, or squares."""
+    d = np.zeros((len(xa), len(xb)))
+    for j in range(xa.shape[1]):
+        diff = xa[:, j, None] - xb[None, :, j]
+        d += np.abs(diff) if l1 else diff * diff
+    return d
+
+
+class _Cells:
+    """Centres of the cells of a neighbour search; ``rows``, ``least`` and ``most`` per cell:
+    its train rows and the bounds of their distances to the centre."""
+
+    def __init__(self, centres: np.ndarray, l1: bool):
+        self.centres, self.l1 = centres, l1
+        self.norms = (centres * centres).sum(axis=1)
+        self.rows = self.least = self.most = None
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        if self.l1:
+            return _distances(x, self.centres, True)
+        d = (x * x).sum(axis=1)[:, None] + self.norms[None, :] - 2 * x @ self.centres.T
+        return np.sqrt(np.maximum(d, 0))
+
+    def home(self, d: np.ndarray, wanted: int) -> np.ndarray:
+        """Which cells each test row visits first: its nearest ones, until they hold ``wanted``
+        train rows."""
+        order = np.argsort(d, axis=1, kind="stable")
+        before = np.cumsum(self.rows[order], axis=1) - self.rows[order]
+        out = np.zeros(d.shape, bool)
+        np.put_along_axis(out, order, before < wanted, axis=1)
+        return out & (self.rows > 0)
+
+    def least_distance(self, d: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """No train row of a cell is nearer to the test row than this: by the triangle
+        inequality on the cell's bounds, and because its rows have no nearer centre."""
+        bound = np.maximum(d - self.most, self.least - d)
+        bound = np.maximum(bound, (d - d.min(axis=1, keepdims=True)) / 2)
+        return bound - SLACK * (1 + size[:, None] + np.abs(self.centres).max(initial=0.0) * self.centres.shape[1])
+
+
+def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, feats: list[str] | str,
+                  k: int, metric: str = "l2", block: int = 2048, exclude: str | None = None,
+                  cells: int | None = None) -> DataFrame:
     """(test_id, nb_id, nb_label, dist, nb_rank) for the k nearest train rows of every
-    test row. Ties in distance are broken by the smaller train id. With ``group``
-    (a column of both frames, e.g. a cross-validation fold) neighbours are searched
-    only inside the same group, and the group is part of the output key."""
-    nt, nr = test.count(), train.count()  # sizes decide the blocking, nothing else
-    tb = max(1, math.ceil(nt / block))
-    rb = max(1, math.ceil(nr / block))
-    # fresh names per side: both sides often derive from one frame (a split)
-    fa = [f"_a{j}" for j in range(len(feats))]
-    fb = [f"_b{j}" for j in range(len(feats))]
-    gcols = [F.col(group).alias("_g")] if group else [F.lit(0).alias("_g")]
-    te = (test.select(F.col(id_col).alias("_id"), *gcols, *[F.col(c).alias(a) for c, a in zip(feats, fa)])
-              .withColumn("_tb", F.pmod(F.xxhash64("_id"), F.lit(tb)).cast("int"))
-              .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
-    tr = (train.select(F.col(id_col).alias("_id"), F.col(label).cast("long").alias("_y"), *gcols,
-                       *[F.col(c).alias(b) for c, b in zip(feats, fb)])
-               .withColumn("_rb", F.pmod(F.xxhash64("_id"), F.lit(rb)).cast("int"))
-               .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(tb - 1)))))
+    test row, exactly. Ties in distance are broken by the smaller train id. With
+    ``exclude`` (a column of both frames, e.g. a cross-validation fold) train rows with
+    the test row's value are no neighbours of it. Rows with a null or NaN feature neither
+    are nor have neighbours.
+
+    Train rows are dealt to cells by their nearest centre (about the square root of their
+    number of rows, ``MAX_CELLS`` at most). A test row first visits its nearest cells,
+    which gives a k-th distance, then the cells that may hold a row that is not farther:
+    their bound is at most that distance. A test row is sent to the cells it visits only,
+    a train row to one cell; large cells and much-visited ones are split into blocks, so
+    that a task holds at most ``block`` x ``block`` distances.
+    """
     l1 = metric == "l1"
-
-    def block_topk(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"_g": pd.Series([], dtype="int64"), "test_id": pd.Series([], dtype="int64"),
-                                 "nb_id": pd.Series([], dtype="int64"),
-                                 "nb_label": pd.Series([], dtype="int64"), "dist": pd.Series([], dtype="float64")})
-        xa = a[fa].to_numpy(dtype=np.float64)
-        xb = b[fb].to_numpy(dtype=np.float64)
-        d = np.zeros((len(xa), len(xb)))
-        for j in range(xa.shape[1]):  # accumulate feature by feature, left to right
-            diff = xa[:, j, None] - xb[None, :, j]
-            d += np.abs(diff) if l1 else diff * diff
-        ids = b["_id"].to_numpy()
-        kk = min(k, len(xb))
-        order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :kk]
-        rows = np.repeat(np.arange(len(xa)), kk)
-        cols = order.ravel()
+    skip = F.col(exclude).cast("string") if exclude else F.lit(None).cast("string")
+    tr = train.select(F.col(id_col).cast("long").alias("_id"), F.col(label).cast("long").alias("_y"), skip.alias("_g"), _vector(feats).alias("_v"))
+    te = test.select(F.col(id_col).cast("long").alias("_id"), skip.alias("_g"), _vector(feats).alias("_v"))
+    empty = train.sparkSession.createDataFrame([], "test_id long, nb_id long, nb_label long, dist double, nb_rank int")
+    whole = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x))
+    tr, te = tr.filter(whole), te.filter(whole)
+    n = tr.count()
+    if not n:
+        return empty
+    n_cells = cells or min(MAX_CELLS, math.ceil(math.sqrt(n)))
+    # centres: the first rows in hash order, a bounded sample that only sets the cells' shape
+    picked = tr.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(n_cells).select("_v").collect()
+    n_cells = len(picked)
+    where = _Cells(np.array([r["_v"] for r in picked]), l1)
+    width = where.centres.shape[1]
+    step = max(1, (1 << 21) // len(where.centres))
+
+    def deal(batches):
+        for b in batches:
+            x = _matrix(b.column("_v"), width)
+            near = [(d.argmin(axis=1), d.min(axis=1)) for d in (where.distances(x[i:i + step]) for i in range(0, len(x), step))]
+            cell, dist = (np.concatenate(z) if z else np.zeros(0) for z in (list(zip(*near)) or [[], []]))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(dist)], names=[*b.schema.names, "cell", "_d"])
+
+    dealt = cut_lineage(tr.mapInArrow(deal, "_id long, _y long, _g string, _v array<double>, cell int, _d double"))
+    where.rows, where.least, where.most = np.zeros(n_cells, np.int64), np.full(n_cells, np.inf), np.full(n_cells, -np.inf)
+    for r in dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("_d").alias("a"), F.max("_d").alias("b")).collect():  # a row per cell
+        where.rows[r["cell"]], where.least[r["cell"]], where.most[r["cell"]] = r["n"], r["a"], r["b"]
+
+    def visits(queries: DataFrame, again: bool) -> DataFrame:
+        """queries by the cells they visit: first at home, then the others within ``_t``."""
+        def visit(batches):
+            for b in batches:
+                x = _matrix(b.column("_v"), width)
+                limit = b.column("_t").to_numpy(zero_copy_only=False) if again else None
+                for i in range(0, len(x), step):
+                    part = x[i:i + step]
+                    d = where.distances(part)
+                    go = where.home(d, HOME_ROWS * k)
+                    if again:
+                        size = np.abs(part).max(axis=1, initial=0.0) * width
+                        go = ~go & (where.rows > 0) & (where.least_distance(d, size) <= limit[i:i + step, None])
+                    row, cell = np.nonzero(go)
+                    rows = b.select(["_id", "_g", "_v"]).take(pa.array(row + i))
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell.astype(np.int32))], names=["_id", "_g", "_v", "cell"])
+
+        return queries.mapInArrow(visit, "_id long, _g string, _v array<double>, cell int")
+
+    out_schema = pa.schema([("test_id", pa.int64()), ("nb_id", pa.int64()), ("nb_label", pa.int64()), ("dist", pa.float64())])
+
+    def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return out_schema.empty_table()
+        d = _distances(_matrix(a.column("_v"), width), _matrix(b.column("_v"), width), l1)
+        if exclude:
+            ga, gb = (np.array(x.column("_g").to_pylist(), object) for x in (a, b))
+            d[ga[:, None] == gb[None, :]] = np.inf
+        ids = b.column("_id").to_numpy()
+        order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
+        rows, cols = np.repeat(np.arange(len(d)), order.shape[1]), order.ravel()
+        keep = np.isfinite(d[rows, cols])
+        rows, cols = rows[keep], cols[keep]
         dist = d[rows, cols]
-        return pd.DataFrame({"_g": np.full(len(rows), int(a["_g"].iloc[0]), dtype="int64"),
-                             "test_id": a["_id"].to_numpy()[rows], "nb_id": ids[cols],
-                             "nb_label": b["_y"].to_numpy()[cols],
-                             "dist": dist if l1 else np.sqrt(dist)})
-
-    cand = (te.groupBy("_tb", "_rb", "_g").cogroup(tr.groupBy("_tb", "_rb", "_g"))
-              .applyInPandas(block_topk, "_g long, test_id long, nb_id long, nb_label long, dist double"))
-    w = Window.partitionBy("_g", "test_id").orderBy("dist", "nb_id")
-    out = cand.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
-    return out.withColumnRenamed("_g", group) if group else out.drop("_g")
+        return pa.table([a.column("_id").combine_chunks().take(pa.array(rows)), pa.array(ids[cols]),
+                         b.column("_y").combine_chunks().take(pa.array(cols)), pa.array(dist if l1 else np.sqrt(dist))], schema=out_schema)
+
+    def meet(visiting: DataFrame) -> DataFrame:
+        """The k nearest of every test row among the cells it visits."""
+        visiting = cut_lineage(visiting)
+        n_visits = {r["cell"]: r["count"] for r in visiting.groupBy("cell").count().collect()}  # a row per cell
+        parts = lambda counts: F.element_at(F.array(*[F.lit(max(1, -(-int(counts.get(c, 0)) // block))) for c in range(n_cells)]), F.col("cell") + 1)
+        of_train, of_test = parts(dict(enumerate(where.rows))), parts(n_visits)
+        a = (visiting.withColumn("_q", F.pmod(F.xxhash64("_id"), of_test).cast("int"))
+                     .withColumn("_p", F.explode(F.sequence(F.lit(0), of_train - 1))))
+        b = (dealt.filter(F.array_contains(F.array(*[F.lit(c) for c in sorted(n_visits)]), F.col("cell")) if n_visits else F.lit(False))
+                  .withColumn("_p", F.pmod(F.xxhash64("_id"), of_train).cast("int"))
+                  .withColumn("_q", F.explode(F.sequence(F.lit(0), of_test - 1))))
+        keys = ["cell", "_p", "_q"]
+        found = a.groupBy(*keys).cogroup(b.drop("_d").groupBy(*keys)).applyInArrow(nearest, "test_id long, nb_id long, nb_label long, dist double")
+        return found
+
+    def first_k(found: DataFrame) -> DataFrame:
+        w = Window.partitionBy("test_id").orderBy("dist", "nb_id")
+        return found.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
+
+    near = cut_lineage(first_k(meet(visits(te, False))))
+    limit = near.groupBy("test_id").agg(F.max("dist").alias("_t"), F.count(F.lit(1)).alias("_n"))
+    rest = te.join(limit, te["_id"] == limit["test_id"], "left").select(
+        "_id", "_g", "_v", F.when(F.col("_n") >= k, F.col("_t")).otherwise(F.lit(float("inf"))).alias("_t"))
+    far = meet(visits(rest, True))
+    return first_k(near.drop("nb_rank").unionByName(far))
 
 
 def knn_vote(neigh: DataFrame, k: int | None = None, weighted: bool = False,
@@ -129,22 +242,19 @@ def knn_cv_grid(df: DataFrame, id_col: str, label: str, feats: list[str], fold:
                 metrics: tuple = ("l2", "l1")) -> DataFrame:
     """Cross-validated KNN grid: every (metric, weighting, k) scored as the mean
     over folds of the held-out accuracy. Per metric ONE neighbour search covers all
-    folds (the fold is a block key; each row is a query in its own fold and a
-    candidate in the others) and all k and weightings come from that top-max(k)
-    table."""
-    folds = [r[0] for r in df.select(fold).distinct().collect()]  # k folds
-    test = df.select(id_col, label, fold, *feats)
-    train = df.select(id_col, label, *feats, F.explode(F.filter(F.array(*[F.lit(f) for f in folds]),
-                                                               lambda x: x != F.col(fold))).alias(fold))
+    folds (rows of a row's own fold are no neighbours of it) and all k and weightings
+    come from that top-max(k) table."""
+    rows = df.select(id_col, label, fold, *([feats] if isinstance(feats, str) else feats))
     truth = df.select(F.col(id_col).alias("test_id"), F.col(label).cast("long").alias("_y"), fold)
     out = None
     for metric in metrics:
-        nb = knn_neighbors(train, test, id_col, label, feats, max(ks), metric=metric, group=fold)
+        # read by every weighting: one search, kept as a table
+        nb = cut_lineage(knn_neighbors(rows, rows, id_col, label, feats, max(ks), metric=metric, exclude=fold))
         kk = nb.withColumn("k", F.explode(F.filter(F.array(*[F.lit(k) for k in ks]),
                                                    lambda x: x >= F.col("nb_rank"))))
         for weighted in (False, True):
-            v = knn_vote(kk, weighted=weighted, k_col="k", extra_keys=[fold])
-            acc = (v.join(truth, [fold, "test_id"])
+            v = knn_vote(kk, weighted=weighted, k_col="k")
+            acc = (v.join(truth, "test_id")
                     .groupBy(fold, "k").agg(F.avg((F.col("pred") == F.col("_y")).cast("double")).alias("acc"))
                     .groupBy("k").agg(F.avg("acc").alias("mean_accuracy"))
                     .select(F.lit(metric).alias("metric"), F.lit("distance" if weighted else "uniform").alias("weighting"),

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -21,7 +23,6 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.operators.regress import Suff, gram_stats
 
 
 def assemble(df: DataFrame, feats: list[str], out: str = "fv") -> DataFrame:
@@ -185,9 +186,61 @@ def pca_explained(df: DataFrame, feats: list[str], k: int = 3) -> tuple[DataFram
 
 # ---------------------------------------------------------------- discriminant analysis
 
-def _class_stats(train: DataFrame, label: str, feats: list[str]) -> dict:
-    g = gram_stats(train.withColumn("_one", F.lit(0.0)), "_one", feats, [label]).collect()  # classes rows
-    return {r[label]: Suff(r.asDict(), len(feats)) for r in g}
+MERGE_LEVELS = (1024, 32, 1)  # how many groups of partial statistics a class has, level by level
+
+
+def _merge_moments(n, mean, scatter):
+    """Counts, means and scatter matrices of parts (stacked) as those of their union."""
+    total = n.sum()
+    if not total:
+        return 0, np.zeros(mean.shape[1]), np.zeros(scatter.shape[1:])
+    middle = (n[:, None] * mean).sum(axis=0) / total
+    d = mean - middle
+    return int(total), middle, scatter.sum(axis=0) + (d * n[:, None]).T @ d
+
+
+def class_scatter(df: DataFrame, label: str, feats: list[str] | str) -> DataFrame:
+    """label (double), n, mean (array), scatter (array of p * p: sums of products of the
+    differences from the mean, row by row) per class, for vectors of any width.
+
+    Every task adds up the outer products of its rows as matrix products, one row per class;
+    these are merged over a few levels, so that no task gets the statistics of all tasks.
+    Means and differences are taken per batch and merged, so a large mean costs no
+    precision. Rows with a null label, a null vector or a null feature are left out.
+    """
+    schema = pa.schema([("label", pa.float64()), ("part", pa.int32()), ("n", pa.int64()), ("mean", pa.list_(pa.float64())), ("scatter", pa.list_(pa.float64()))])
+    ddl = "label double, part int, n long, mean array<double>, scatter array<double>"
+    vector = F.col(feats).cast("array<double>") if isinstance(feats, str) else F.array(*[F.col(c).cast("double") for c in feats])
+    rows = df.select(F.col(label).cast("double").alias("label"), vector.alias("v"))
+    rows = rows.filter(F.col("label").isNotNull() & F.forall("v", lambda x: x.isNotNull()))
+
+    def table(part, found):
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*[(y, part, n, m, s.ravel()) for y, (n, m, s) in found.items()]), schema)],
+                                          schema=schema) if found else pa.RecordBatch.from_pylist([], schema)
+
+    def add(batches):
+        found = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            y, x = b.column("label").to_numpy(), b.column("v").flatten().to_numpy().reshape(b.num_rows, -1)
+            for c in np.unique(y):
+                mine = x[y == c]
+                mean = mine.mean(axis=0)
+                new = (len(mine), mean, (mine - mean).T @ (mine - mean))
+                found[c] = new if c not in found else _merge_moments(*(np.array(z) for z in zip(found[c], new)))
+        yield table(TaskContext.get().partitionId(), found)
+
+    def merge(t: pa.Table) -> pa.Table:
+        n, p = t.column("n").to_numpy(), len(t.column("mean")[0])
+        mean, scatter = (t.column(c).combine_chunks().flatten().to_numpy() for c in ("mean", "scatter"))
+        part = t.column("part")[0].as_py()
+        return pa.Table.from_batches([table(part, {t.column("label")[0].as_py(): _merge_moments(n, mean.reshape(-1, p), scatter.reshape(-1, p, p))})])
+
+    out = rows.mapInArrow(add, ddl)
+    for groups in MERGE_LEVELS:
+        out = out.withColumn("part", F.pmod("part", F.lit(groups)).cast("int")).groupBy("label", "part").applyInArrow(merge, ddl)
+    return out.drop("part")
 
 
 def fit_discriminant(train: DataFrame, label: str, feats: list[str], quadratic: bool = False,
@@ -197,17 +250,18 @@ def fit_discriminant(train: DataFrame, label: str, feats: list[str], quadratic:
     Covariances are unbiased (n - k, resp. n_c - 1 denominators). A class whose own
     covariance is singular (a feature constant within it, or too few rows) takes the
     pooled one in QDA."""
-    st = _class_stats(train, label, feats)
+    st = {r["label"]: r for r in class_scatter(train, label, feats).collect()}  # a row per class
     classes = sorted(st)
     p = len(feats)
-    n = sum(s.n for s in st.values())
-    means = {c: st[c].mean for c in classes}
-    scat = {c: st[c].scatter for c in classes}
+    counts = {c: st[c]["n"] for c in classes}
+    n = sum(counts.values())
+    means = {c: np.array(st[c]["mean"]) for c in classes}
+    scat = {c: np.array(st[c]["scatter"]).reshape(p, p) for c in classes}
     pooled = sum(scat.values()) / max(n - len(classes), 1) + reg * np.eye(p)
     model = {"classes": classes, "means": np.array([means[c] for c in classes]),
-             "log_prior": np.log(np.array([st[c].n / n for c in classes])), "quadratic": quadratic}
+             "log_prior": np.log(np.array([counts[c] / n for c in classes])), "quadratic": quadratic}
     if quadratic:
-        covs = [scat[c] / max(st[c].n - 1, 1) + reg * np.eye(p) for c in classes]
+        covs = [scat[c] / max(counts[c] - 1, 1) + reg * np.eye(p) for c in classes]
         covs = [pooled if np.linalg.matrix_rank(c, hermitian=True) < p else c for c in covs]
         model["prec"] = np.array([np.linalg.pinv(c) for c in covs])
         model["logdet"] = np.array([np.linalg.slogdet(c)[1] for c in covs])

@@ -1,4 +1,4 @@
-"""Closed-form classifiers on embeddings (16 features, 10 classes), 80/20 holdout."""
+"""Closed-form classifiers on embeddings (all 64 values, 10 classes), 80/20 holdout."""
 
 from __future__ import annotations
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orrery.operators import split as sp
 from orrery.sources.tables import Tables
 
-N_FEATS = 16
+N_FEATS = 64
 FEATS = [f"f{i}" for i in range(N_FEATS)]
 SEED = 42
 

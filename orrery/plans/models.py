@@ -1,4 +1,4 @@
-"""Classifier group on embeddings (16 features, 10 classes, 80/20 holdout).
+"""Classifier group on embeddings (all 64 values, 10 classes, 80/20 holdout).
 Rows-only in the driver: iterative fits; closed forms are checked in tests."""
 
 from __future__ import annotations
@@ -49,17 +49,12 @@ def q_clf_qda(spark, sf):
 def q_class_moments(spark, sf):
     """The statistics LDA / QDA are fitted on: per class and feature pair, the
     unbiased covariance from sums about the class means on the train rows."""
-    from orrery.operators.regress import gram_stats
     train, _ = parts(spark, sf)
-    st = gram_stats(train.withColumn("_one", F.lit(0.0)), "_one", FEATS, ["label"])
+    st = md.class_scatter(train, "label", FEATS)
     p = len(FEATS)
-    cov = lambda i, j: ((F.col(f"sxx_{i}_{j}") - F.col(f"sx_{i}") * F.col(f"sx_{j}") / F.col("n"))
-                        / (F.col("n") - 1))
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), cov(i, j).alias("cov"),
-                                         (F.col(f"c_{i}") + F.col(f"sx_{i}") / F.col("n")).alias("mean_i"))
-                                for i in range(p) for j in range(i, p)]))
-    return st.select(F.col("label").cast("int").alias("label"), "n", pairs.alias("s")).select(
-        "label", "n", "s.i", "s.j", rnd("s.cov", 9).alias("cov"), rnd("s.mean_i", 9).alias("mean_i"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(i * p + j).alias("at")) for i in range(p) for j in range(i, p)]))
+    return st.select(F.col("label").cast("int").alias("label"), "n", "mean", "scatter", pairs.alias("s")).select(
+        "label", "n", "s.i", "s.j", rnd(F.get("scatter", F.col("s.at")) / (F.col("n") - 1), 9).alias("cov"), rnd(F.get("mean", F.col("s.i")), 9).alias("mean_i"))
 
 
 def logistic_cv(spark, sf):

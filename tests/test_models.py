@@ -62,16 +62,18 @@ def test_discriminant_numpy(spark, parts, quadratic):
     mu = np.array([x[y == c].mean(0) for c in cls])
     lp = np.log(np.array([(y == c).mean() for c in cls]))
     xt = te[FEATS].to_numpy()
+    pooled = sum(((x[y == c] - mu[k]).T @ (x[y == c] - mu[k])) for k, c in enumerate(cls)) / (len(x) - len(cls))
     if quadratic:
         s = []
         for k, c in enumerate(cls):
             cov = np.cov(x[y == c].T)
+            if np.linalg.matrix_rank(cov, hermitian=True) < x.shape[1]:  # fewer rows than features: the pooled one
+                cov = pooled
             pr = np.linalg.pinv(cov)
             dlt = xt - mu[k]
             s.append(-0.5 * np.linalg.slogdet(cov)[1] - 0.5 * np.einsum("ij,jk,ik->i", dlt, pr, dlt) + lp[k])
         s = np.stack(s, 1)
     else:
-        pooled = sum(((x[y == c] - mu[k]).T @ (x[y == c] - mu[k])) for k, c in enumerate(cls)) / (len(x) - len(cls))
         pr = np.linalg.pinv(pooled)
         s = xt @ (mu @ pr).T - 0.5 * np.einsum("kj,kj->k", mu @ pr, mu) + lp
     want = cls[np.argmax(s, 1)]
