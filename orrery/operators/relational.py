@@ -1,21 +1,20 @@
 """Filters, profiles, summaries, reshaping (survey 2.2, 2.4, 2.6, 2.7).
 
 Every summary is one aggregation with partial (map-side) combine; nothing is
-collected. Exact quantiles avoid the single-buffer ``percentile`` aggregate: values
-are first collapsed to (value, count), bucketed by approximate cut points, and only
-the few buckets that contain a requested rank are ranked exactly.
+collected. Exact quantiles avoid the single-buffer ``percentile`` aggregate: a sketch
+brackets the requested ranks, and only the rows inside are ranked (``rank_select``).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.operators.scalar_join import attach_scalar
-from orrery.operators.skew import explode_count, ranked, running_total
-from orrery.session import cut_lineage
+from orrery.operators.rank_select import rows_at
+from orrery.operators.skew import explode_count, ranked
 
 
 # ---------------------------------------------------------------- filters
@@ -35,14 +34,33 @@ def prefix_filter(df: DataFrame, col: str, prefix: str, not_col: str | None = No
 
 
 def row_slice(df: DataFrame, order: list, start: int, stop: int) -> DataFrame:
-    """Rows ``start`` (inclusive) .. ``stop`` (exclusive), 0-based, under a total order.
+    """Rows ``start`` (inclusive) .. ``stop`` (exclusive), 0-based, under a total order
+    (nulls first).
 
-    Uses the distributed row number, so any slice (not only a small one near the
-    top) is computed without moving the table into one task.
+    The order keys at both ends are found by ``rank_select.rows_at``; the table is then
+    filtered by them, and only the slice is put in order.
     """
-    r = ranked(df, order, out="_pos")
-    return r.filter((F.col("_pos") > start) & (F.col("_pos") <= stop)).withColumn(
-        "row_pos", F.col("_pos") - 1).drop("_pos")
+    names = [f"_k{i}" for i in range(len(order))]
+    # a null is before every value: each key becomes (is not null, value)
+    keys = df.select(*[F.struct(F.col(c).isNotNull().alias("has"), F.col(c).alias("value")).alias(k) for c, k in zip(order, names)])
+    kind = dict(df.select(*order).dtypes)[order[0]]
+    numeric = kind.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"))
+    first = F.col("_k0.value").cast("double") if numeric else F.lit(0.0)  # other kinds: all rows are in the bracket
+    keys = keys.withColumn("_v", F.coalesce(first, F.lit(float("-inf"))))
+    n = keys.count()
+    if start >= min(stop, n):
+        return df.limit(0).withColumn("row_pos", F.lit(0).cast("long"))
+    ends = rows_at(keys, "_v", names, [("first", start / n, F.lit(start)), ("last", (min(stop, n) - 1) / n, F.lit(min(stop, n) - 1))])
+    ends = {r["tag"]: r for r in ends.collect()}  # two rows
+    kinds = dict(df.select(*order).dtypes)
+    pair = lambda has, x: F.struct(has.alias("has"), x.alias("value"))
+    literal = lambda tag: F.struct(*[pair(F.lit(ends[tag][k]["has"]), F.lit(ends[tag][k]["value"]).cast(kinds[c])).alias(k)
+                                     for c, k in zip(order, names)])
+    key = F.struct(*[pair(F.col(c).isNotNull(), F.col(c)).alias(k) for c, k in zip(order, names)])
+    inside = df.filter((key >= literal("first")) & (key <= literal("last")))
+    if ends["first"]["_k0"]["has"]:  # a bound that reaches the scan
+        inside = inside.filter((F.col(order[0]) >= F.lit(ends["first"]["_k0"]["value"])) & (F.col(order[0]) <= F.lit(ends["last"]["_k0"]["value"])))
+    return ranked(inside, order, out="_pos").withColumn("row_pos", F.col("_pos") - 1 + start).drop("_pos")
 
 
 # ---------------------------------------------------------------- profiles
@@ -82,67 +100,36 @@ def class_share(df: DataFrame, label: str) -> DataFrame:
 
 # ---------------------------------------------------------------- exact quantiles
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], bins: int = 64) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas / R type 7) per column.
-
-    Returns (column_name, prob, value). Work per step:
-      1. long (column, value) → (column, value, cnt)   partial aggregate
-      2. approximate cut points per column (bins values per column)
-      3. bucket counts and offsets (columns × bins rows)
-      4. exact running counts only inside buckets holding a wanted rank.
-    """
+def _quantiles(df: DataFrame, cols: list[str], probs: list[float], extra: list | None = None) -> DataFrame:
+    """(column_name, prob, value, n) and the aggregates ``extra`` of each column."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                    F.col(c).cast("double").alias("v"))
                                           for c in cols])).alias("s")).select("s.*")
-    # (value, count) is read by every later step: materialise it once
-    vc = cut_lineage(long.filter(F.col("v").isNotNull())
-                         .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    cuts = vc.groupBy("column_name").agg(
-        F.percentile_approx("v", [i / bins for i in range(1, bins)], 1000).alias("cuts"),
-        F.sum("cnt").alias("n"))
-    vb = cut_lineage(vc.join(F.broadcast(cuts), "column_name")  # one row per column
-                       .withColumn("bucket", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
-                       .drop("cuts"))
-    bk = vb.groupBy("column_name", "bucket", "n").agg(F.sum("cnt").alias("bcnt"))
-    wb = Window.partitionBy("column_name").orderBy("bucket")
-    bk = bk.withColumn("bend", F.sum("bcnt").over(wb)).withColumn("bstart", F.col("bend") - F.col("bcnt"))
     # wanted 0-based ranks: floor(h) and ceil(h), h = (n - 1) * p
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    want = (bk.select("column_name", "n").distinct().select("column_name", "n", pr)
-              .withColumn("h", (F.col("n") - 1) * F.col("prob"))
-              .withColumn("pos", F.explode(F.array(F.floor("h"), F.ceil("h"))))
-              .withColumn("pos", F.col("pos").cast("long")))
-    wb2 = want.join(bk, ["column_name", "n"]).filter(
-        (F.col("pos") >= F.col("bstart")) & (F.col("pos") < F.col("bend")))
-    need = wb2.select("column_name", "bucket").distinct()
-    # exact running counts inside the needed buckets, with the distributed running
-    # total (a hot bucket is split over range partitions, no single-task window)
-    fine = (vb.join(need, ["column_name", "bucket"], "left_semi")
-              .join(bk.select("column_name", "bucket", "bstart"), ["column_name", "bucket"]))
-    fine = running_total(fine, ["v"], "cnt", partition=["column_name", "bucket"], out="_cum")
-    fine = (fine.withColumn("cend", F.col("bstart") + F.col("_cum"))
-                .withColumn("cstart", F.col("cend") - F.col("cnt")))
-    hit = (wb2.select("column_name", "bucket", "prob", "h", "pos")
-              .join(fine.select("column_name", "bucket", "v", "cstart", "cend"), ["column_name", "bucket"])
-              .filter((F.col("pos") >= F.col("cstart")) & (F.col("pos") < F.col("cend"))))
-    g = hit.groupBy("column_name", "prob", "h").agg(F.min_by("v", "pos").alias("lo"),
-                                                   F.max_by("v", "pos").alias("hi"))
-    frac = F.col("h") - F.floor("h")
-    return g.select("column_name", "prob", (F.col("lo") + frac * (F.col("hi") - F.col("lo"))).alias("value"))
+    h = lambda p: (F.col("n") - 1) * F.lit(float(p))
+    at = [(f"{side}{i}", float(p), f(h(p))) for i, p in enumerate(probs) for side, f in (("lo", F.floor), ("hi", F.ceil))]
+    got = rows_at(long, "v", ["v"], at, groups=["column_name"], extra=extra)
+    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.substring("tag", 3, 9).cast("int"))
+    side = lambda s: F.max(F.when(F.substring("tag", 1, 2) == s, F.col("v")))
+    rest = [c for c in got.columns if c not in ("column_name", "tag", "v")]
+    g = got.withColumn("prob", prob).groupBy("column_name", "prob", *rest).agg(side("lo").alias("lo"), side("hi").alias("hi"))
+    rank = (F.col("n") - 1) * F.col("prob")
+    return g.withColumn("value", F.col("lo") + (rank - F.floor(rank)) * (F.col("hi") - F.col("lo"))).drop("lo", "hi")
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas / R type 7) per column: (column_name,
+    prob, value). Null values don't count. See ``rank_select``."""
+    return _quantiles(df, cols, probs).select("column_name", "prob", "value")
 
 
 def describe_exact(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 % (exact), max per column."""
-    moments = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                                      F.col(c).cast("double").alias("v"))
-                                             for c in cols])).alias("s")).select("s.*")
-    m = moments.groupBy("column_name").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = (exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-          for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]]))
-    return m.join(q, "column_name")
+    """count, mean, std (sample), min, 25/50/75 % (exact), max per column. The moments come
+    from the pass that builds the quantile sketch. A column without values: no row."""
+    extra = [F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")]
+    q = _quantiles(df, cols, [0.25, 0.5, 0.75], extra)
+    return q.groupBy("column_name", "count", "mean", "std", "min", "max").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
 
 
 # ---------------------------------------------------------------- group summaries

@@ -6,7 +6,7 @@ Spark job over long tables:
 * enrolments(student, course)        → conflict edges by a self join on student
 * assignments(course, lesson, room, slot) → hard-constraint checks as group-bys/joins
 * grid(room, slot, course | '*')     → soft score with ``lead`` inside (room, day)
-* candidates = slot permutations      → scored together in one aggregation
+* candidates = slot permutations      → scored from one table of equal slot pairs
 
 Slots are numbered day-major: slot = day * periods + period.
 """
@@ -101,22 +101,53 @@ def soft_terms(g: DataFrame, keys: list[str] | None = None) -> DataFrame:
              .withColumn("score", F.col("adjacent_pairs") * ADJ_BONUS + F.col("free_afternoons") * FREE_AFTERNOON))
 
 
-def unit_multipliers() -> list[int]:
-    """Multipliers coprime to the slot count; a·s + p mod N is then a permutation."""
-    from math import gcd
-    return [a for a in range(1, N_SLOTS) if gcd(a, N_SLOTS) == 1]
-
-
-def candidate_grids(g: DataFrame, n_candidates: int = 100) -> DataFrame:
-    """Candidate c = 0..n-1 moves every slot s of the grid to (s·a_c + c) mod N,
-    a_c = the (c mod #units)-th multiplier; candidate -1 is the grid unchanged.
-    One long table of all candidates, scored together by ``soft_terms``."""
-    units = unit_multipliers()
-    cand = F.explode(F.sequence(F.lit(-1), F.lit(n_candidates - 1))).alias("candidate")
-    a = F.element_at(F.array(*[F.lit(u) for u in units]), (F.pmod(F.col("candidate"), F.lit(len(units))) + 1).cast("int"))
-    return (g.select("*", cand)
-             .withColumn("slot", F.when(F.col("candidate") < 0, F.col("slot"))
-                         .otherwise(F.pmod(F.col("slot") * a + F.col("candidate"), F.lit(N_SLOTS)))))
+def equal_pairs(g: DataFrame) -> DataFrame:
+    """slot_a, slot_b (a < b), n_equal: the rooms whose content is the same in both slots, and
+    for slot_a = slot_b the rooms that are free in it. At most N_SLOTS² / 2 rows, whatever the
+    grid: a room's slots are paired within the room only."""
+    rooms = g.groupBy("room").agg(F.collect_list(F.struct("slot", "content")).alias("_s"))  # N_SLOTS cells a room
+    cells = rooms.select("_s", F.explode("_s").alias("_a"))
+    same = cells.select(F.col("_a.slot").alias("slot_a"), F.explode(F.filter("_s", lambda o: F.when(
+        o["slot"] == F.col("_a.slot"), o["content"] == FREE).otherwise((o["slot"] > F.col("_a.slot")) & (o["content"] == F.col("_a.content"))))).alias("_o"))
+    return same.groupBy("slot_a", F.col("_o.slot").alias("slot_b")).agg(F.count(F.lit(1)).alias("n_equal"))
+
+
+def slot_permutations(spark, n_candidates: int = 100, seed: int = 42) -> DataFrame:
+    """(candidate, slot, new_slot): candidate c orders the slots by md5(seed : c : slot), so any
+    permutation may occur; candidate -1 leaves every slot where it is."""
+    cand = spark.range(-1, n_candidates).select(F.col("id").cast("int").alias("candidate"))
+    cells = cand.select("candidate", F.explode(F.sequence(F.lit(0), F.lit(N_SLOTS - 1))).alias("slot"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("candidate").cast("string"), F.col("slot").cast("string")))
+    w = Window.partitionBy("candidate").orderBy(F.when(F.col("candidate") >= 0, key), "slot")
+    return cells.withColumn("new_slot", (F.row_number().over(w) - 1).cast("int"))
+
+
+def candidate_scores(g: DataFrame, permutations: DataFrame) -> DataFrame:
+    """candidate, adjacent_pairs, free_afternoons, score of the grid with its slots permuted.
+
+    ``equal_pairs`` scores any permutation: two slots that it moves next to each other add
+    their equal rooms, a slot that it moves into an afternoon its free rooms. So the grid is
+    read once, and candidates cost N_SLOTS rows each instead of a copy of the grid.
+    """
+    at = permutations.select("candidate", F.col("slot").alias("_s"), F.col("new_slot").alias("_n"))
+    first = at.select("candidate", F.col("_s").alias("_sa"), F.col("_n").alias("_na"))
+    periods = len(PERIODS)
+    period = F.pmod("_n", F.lit(periods))
+    afternoons = at.filter(period >= periods - 2).select("candidate", F.col("_s").alias("slot_a"), F.col("_s").alias("slot_b"), F.lit(0).alias("_adjacent"))
+    following = (first.filter(F.pmod("_na", F.lit(periods)) != periods - 1)
+                      .join(at.withColumn("_na", F.col("_n") - 1), ["candidate", "_na"])
+                      .select("candidate", F.least("_sa", "_s").alias("slot_a"), F.greatest("_sa", "_s").alias("slot_b"), F.lit(1).alias("_adjacent")))
+    table = equal_pairs(g)
+    hits = afternoons.unionByName(following).join(table, ["slot_a", "slot_b"], "left")
+    n = F.coalesce("n_equal", F.lit(0))
+    return (hits.groupBy("candidate").agg(F.sum(n * F.col("_adjacent")).alias("adjacent_pairs"), F.sum(n * (1 - F.col("_adjacent"))).alias("free_afternoons"))
+                .withColumn("score", F.col("adjacent_pairs") * ADJ_BONUS + F.col("free_afternoons") * FREE_AFTERNOON))
+
+
+def permuted_grid(g: DataFrame, permutations: DataFrame, candidate: DataFrame) -> DataFrame:
+    """The grid of one candidate (a row with its number): only this one is built."""
+    moves = permutations.join(candidate.select("candidate"), "candidate", "left_semi").select("slot", "new_slot")
+    return g.join(moves, "slot").select("room", F.col("new_slot").alias("slot"), "content")
 
 
 def best_candidate(scores: DataFrame) -> DataFrame:

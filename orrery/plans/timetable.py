@@ -40,18 +40,13 @@ def base_grid(spark, sf):
     return tt.grid(assignments(spark, sf), rooms(spark, sf))
 
 
-def candidates(spark, sf):
-    return tt.candidate_grids(base_grid(spark, sf), N_CANDIDATES)
-
-
 def scores(spark, sf):
-    return tt.soft_terms(candidates(spark, sf), ["candidate"])
+    return tt.candidate_scores(base_grid(spark, sf), tt.slot_permutations(spark, N_CANDIDATES, SEED))
 
 
 def best_grid(spark, sf):
-    c = candidates(spark, sf)
-    b = tt.best_candidate(tt.soft_terms(c, ["candidate"])).select("candidate")
-    return c.join(b, "candidate", "left_semi").drop("candidate")
+    moves = tt.slot_permutations(spark, N_CANDIDATES, SEED)
+    return tt.permuted_grid(base_grid(spark, sf), moves, tt.best_candidate(scores(spark, sf)))
 
 
 def q_conflict_pairs(spark, sf):
@@ -112,8 +107,6 @@ QUERIES = {
     "slot_occupancy": q_slot_occupancy,
 }
 
-_UNITS = "[" + ", ".join(str(u) for u in tt.unit_multipliers()) + "]"
-_NU = len(tt.unit_multipliers())
 BASE_SQL = f"""enrol AS (SELECT DISTINCT l_orderkey AS student, l_partkey AS course FROM lineitem),
 edges AS (SELECT DISTINCT a.course AS course_a, b.course AS course_b FROM enrol a JOIN enrol b
   ON a.student = b.student AND a.course <> b.course),
@@ -125,10 +118,11 @@ cells AS (SELECT CAST(r.room AS INTEGER) AS room, CAST(s.slot AS INTEGER) AS slo
 occ AS (SELECT room, slot, min(course) AS c FROM asg GROUP BY 1, 2),
 grid AS (SELECT cells.room, cells.slot, coalesce(CAST(c AS VARCHAR), '*') AS content
   FROM cells LEFT JOIN occ USING (room, slot)),
-cand AS (SELECT CAST(k.candidate AS INTEGER) AS candidate, g.room,
-  CASE WHEN k.candidate < 0 THEN g.slot
-       ELSE CAST((g.slot * {_UNITS}[k.candidate % {_NU} + 1] + k.candidate) % 25 AS INTEGER) END AS slot, g.content
-  FROM grid g, range(-1, {N_CANDIDATES}) k(candidate)),
+perm AS (SELECT CAST(k.candidate AS INTEGER) AS candidate, CAST(s.slot AS INTEGER) AS slot,
+  CAST(row_number() OVER (PARTITION BY k.candidate ORDER BY CASE WHEN k.candidate >= 0 THEN
+    md5('{SEED}:' || CAST(k.candidate AS VARCHAR) || ':' || CAST(s.slot AS VARCHAR)) END, s.slot) - 1 AS INTEGER) AS new_slot
+  FROM range(-1, {N_CANDIDATES}) k(candidate), range(25) s(slot)),
+cand AS (SELECT candidate, room, new_slot AS slot, content FROM grid JOIN perm USING (slot)),
 ct AS (SELECT *, lead(content) OVER (PARTITION BY candidate, room, slot // 5 ORDER BY slot) AS nxt FROM cand),
 sc AS (SELECT candidate, count(*) FILTER (WHERE slot % 5 <> 4 AND content = nxt) AS adjacent_pairs,
   count(*) FILTER (WHERE slot % 5 >= 3 AND content = '*') AS free_afternoons FROM ct GROUP BY candidate),

@@ -37,7 +37,7 @@ def test_running_total_equals_window(spark, numbers):
 
 
 def test_exact_quantiles_match_numpy(spark, numbers):
-    q = rel.exact_quantiles(numbers, ["v", "g"], [0.1, 0.25, 0.5, 0.9], bins=8).collect()
+    q = rel.exact_quantiles(numbers, ["v", "g"], [0.1, 0.25, 0.5, 0.9]).collect()
     pdf = numbers.toPandas()
     for r in q:
         assert r.value == pytest.approx(np.quantile(pdf[r.column_name], r.prob))
