@@ -100,9 +100,7 @@ def remove_spread_lines(docs: DataFrame, text: str = "text", site: str = "source
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # by share alone, as its SQL states the rule
-    d = remove_spread_lines(read_table(spark, sf_dir, "documents"), min_texts=None)
-    return d.select("doc_id", "text", "n_spread", "n_removed")
+    return remove_spread_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_spread", "n_removed")
 
 
 SQL = r"""
@@ -112,10 +110,11 @@ WITH l AS (
 k AS (SELECT *, trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS key FROM l),
 s AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 6),
 m AS (SELECT k.*, s.key IS NOT NULL AS hit FROM k LEFT JOIN s ON k.key = s.key),
-g AS (SELECT doc_id, count(*) FILTER (WHERE hit) AS n_spread, coalesce(sum(length(line)) FILTER (WHERE hit), 0) * 2 <= sum(length(line)) AS cut,
-        string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hit) AS text
-      FROM m GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN g.n_spread > 0 AND cut THEN g.text ELSE d.text END AS text, coalesce(g.n_spread, 0) AS n_spread,
-  CASE WHEN cut THEN g.n_spread ELSE 0 END AS n_removed
-FROM documents d LEFT JOIN g USING (doc_id)
+g AS (SELECT doc_id, coalesce(sum(length(line)) FILTER (WHERE hit), 0) * 2 <= sum(length(line)) AS framed FROM m GROUP BY doc_id),
+f AS (SELECT m.key FROM m JOIN g USING (doc_id) JOIN documents d USING (doc_id) WHERE hit AND framed GROUP BY m.key HAVING count(DISTINCT d.text) >= 6),
+c AS (SELECT m.*, hit AND (framed OR f.key IS NOT NULL) AS cut FROM m JOIN g USING (doc_id) LEFT JOIN f ON f.key = m.key),
+r AS (SELECT doc_id, count(*) FILTER (WHERE hit) AS n_spread, count(*) FILTER (WHERE cut) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '') AS text FROM c GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN r.n_removed > 0 THEN r.text ELSE d.text END AS text, coalesce(r.n_spread, 0) AS n_spread, coalesce(r.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN r USING (doc_id)
 """
