@@ -23,6 +23,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.session import cut_lineage
+
 
 
 def assemble(df: DataFrame, feats: list[str], out: str = "fv") -> DataFrame:
@@ -34,9 +36,13 @@ def accuracy_evaluator(label: str = "label") -> MulticlassClassificationEvaluato
 
 
 def grid_search(est, grid: list, train: DataFrame, fold_col: str | None = None, num_folds: int = 5,
-                parallelism: int = 4, seed: int = 42):
+                parallelism: int = 1, seed: int = 42):
     """k-fold cross-validated grid; returns (best model, grid DataFrame of
-    (params, mean accuracy, std))."""
+    (params, mean accuracy, std)).
+
+    The fits read a checkpoint of the training table, so none of them plans or broadcasts
+    anything, and run one after another: each is a distributed job of its own."""
+    train = cut_lineage(train)
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=accuracy_evaluator(),
                         numFolds=num_folds, parallelism=parallelism, seed=seed)
     if fold_col:

@@ -33,14 +33,16 @@ def conflict_edges(enrol: DataFrame, student: str = "student", course: str = "co
     """Distinct ordered pairs (course_a, course_b), a != b, of courses sharing at
     least one student (both directions, irreflexive). Enrolments are deduplicated
     first; students with more than ``salt_threshold`` courses are split by
-    size so one hot student does not produce all its pairs in one task."""
+    size so one hot student does not produce all its pairs in one task. Pairs are formed
+    and deduplicated in one direction and turned round afterwards."""
     # both join sides and the heavy-key count read the deduplicated enrolments
     e = cut_lineage(enrol.select(F.col(student).alias("_s"), F.col(course).alias("_c")).distinct())
     left, right = salted_self_join(e, e, "_s", "_c", salt_threshold)
     a = left.select("_s", "_salt", F.col("_c").alias("course_a"))
     b = right.select("_s", "_salt", F.col("_c").alias("course_b"))
-    return (a.join(b, ["_s", "_salt"]).filter(F.col("course_a") != F.col("course_b"))
-             .select("course_a", "course_b").distinct())
+    half = a.join(b, ["_s", "_salt"]).filter(F.col("course_a") < F.col("course_b")).select("course_a", "course_b").distinct()
+    both = F.explode(F.array(F.struct("course_a", "course_b"), F.struct(F.col("course_b").alias("course_a"), F.col("course_a").alias("course_b"))))
+    return half.select(both.alias("p")).select("p.*")
 
 
 def conflict_sets(edges: DataFrame) -> DataFrame:
@@ -55,14 +57,22 @@ def room_overlaps(assign: DataFrame) -> DataFrame:
                   .filter(F.col("n_lessons") > 1))
 
 
-def conflict_violations(edges: DataFrame, assign: DataFrame) -> DataFrame:
-    """Hard constraint: conflicting courses never share a slot (any lesson pair).
-    Each unordered edge is checked once (course_a < course_b)."""
-    e = edges.filter(F.col("course_a") < F.col("course_b"))
-    a = assign.select(F.col("course").alias("course_a"), F.col("lesson").alias("lesson_a"), "slot")
-    b = assign.select(F.col("course").alias("course_b"), F.col("lesson").alias("lesson_b"), "slot")
-    return e.join(a, "course_a").join(b, ["course_b", "slot"]).select(
-        "course_a", "lesson_a", "course_b", "lesson_b", "slot")
+def conflict_violations(enrol: DataFrame, assign: DataFrame, student: str = "student", course: str = "course",
+                        salt_threshold: int = 10_000) -> DataFrame:
+    """Hard constraint: courses that share a student never share a slot (any lesson pair).
+    (course_a, lesson_a, course_b, lesson_b, slot), course_a < course_b, each once.
+
+    A student's lessons are paired by (student, slot), so a pair of courses arises only where
+    its lessons collide, not for every two courses of a student. The pairs of a student and
+    slot with more than ``salt_threshold`` lessons are split by size.
+    """
+    lessons = enrol.select(F.col(student).alias("_s"), F.col(course).alias("course")).distinct().join(assign.select("course", "lesson", "slot"), "course")
+    at = cut_lineage(lessons.select(F.struct("_s", "slot").alias("_k"), "course", "lesson"))
+    left, right = salted_self_join(at, at, "_k", F.hash("course", "lesson"), salt_threshold)
+    a = left.select("_k", "_salt", F.col("course").alias("course_a"), F.col("lesson").alias("lesson_a"))
+    b = right.select("_k", "_salt", F.col("course").alias("course_b"), F.col("lesson").alias("lesson_b"))
+    return (a.join(b, ["_k", "_salt"]).filter(F.col("course_a") < F.col("course_b"))
+             .select("course_a", "lesson_a", "course_b", "lesson_b", F.col("_k.slot").alias("slot")).distinct())
 
 
 def precedence_violations(assign: DataFrame, duration: int = 1) -> DataFrame:

@@ -64,7 +64,7 @@ def q_check_room_overlap(spark, sf):
 
 
 def q_check_conflicts(spark, sf):
-    return tt.conflict_violations(tt.conflict_edges(enrolments(spark, sf)), assignments(spark, sf))
+    return tt.conflict_violations(enrolments(spark, sf), assignments(spark, sf))
 
 
 def q_check_precedence(spark, sf):

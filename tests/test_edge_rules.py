@@ -64,6 +64,16 @@ def test_hot_keys_are_split_by_size(spark):
     assert {tuple(r) for r in tt.conflict_edges(df, salt_threshold=10).collect()} == want
 
 
+def test_conflicts_in_a_slot_equal_plain_pairs(spark):
+    rnd = random.Random(6)
+    enrol = {(1 if rnd.random() < 0.4 else rnd.randrange(30), rnd.randrange(40)) for _ in range(300)}
+    assign = [(c, k, rnd.randrange(8)) for c in range(40) for k in (0, 1)]
+    want = {(a, k, b, m, x) for s, a in enrol for t, b in enrol if s == t and a < b for c, k, x in assign if c == a for d, m, y in assign if d == b and x == y}
+    got = tt.conflict_violations(spark.createDataFrame(sorted(enrol), "student long, course long"),
+                                 spark.createDataFrame(assign, "course long, lesson int, slot int"), salt_threshold=5).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) > 50
+
+
 def test_metrics_of_one_class(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, p double")
     points = mt.roc_points(df, "y", "p")
