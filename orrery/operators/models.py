@@ -31,6 +31,9 @@ def assemble(df: DataFrame, feats: list[str], out: str = "fv") -> DataFrame:
     return VectorAssembler(inputCols=feats, outputCol=out).transform(df)
 
 
+ROWS_PER_PARTITION = 50_000  # of a training table that many small fits read
+
+
 def accuracy_evaluator(label: str = "label") -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
 
@@ -42,7 +45,8 @@ def grid_search(est, grid: list, train: DataFrame, fold_col: str | None = None,
 
     The fits read a checkpoint of the training table, so none of them plans or broadcasts
     anything, and run one after another: each is a distributed job of its own."""
-    train = cut_lineage(train)
+    n = train.count()
+    train = cut_lineage(train.repartition(max(1, -(-n // ROWS_PER_PARTITION))))
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=accuracy_evaluator(),
                         numFolds=num_folds, parallelism=parallelism, seed=seed)
     if fold_col:
@@ -58,7 +62,6 @@ def grid_search(est, grid: list, train: DataFrame, fold_col: str | None = None,
     return m.bestModel, g
 
 
-ROWS_PER_PARTITION = 50_000  # of a training table that many small fits read
 
 
 def logistic_c_grid(train: DataFrame, cs: list[float], weight_cols: dict, fold_col: str, num_folds: int,

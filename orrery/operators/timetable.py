@@ -51,6 +51,25 @@ def conflict_sets(edges: DataFrame) -> DataFrame:
                 .withColumn("n_conflicts", F.size("conflicts"))
 
 
+def conflict_bitmaps(edges: DataFrame) -> DataFrame:
+    """(course, bucket, n_conflicts, bitmap): the courses in conflict with each course as
+    bitmaps of 32,768 ids (0 and above; bucket b holds the ids from 32768 (b - 1) on), so that a
+    course in conflict with millions of others is many rows of 4 KB instead of one set."""
+    at = F.col("course_b") + 1
+    return (edges.groupBy(F.col("course_a").alias("course"), F.bitmap_bucket_number(at).alias("bucket"))
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
+                 .select("course", "bucket", F.bitmap_count("bitmap").alias("n_conflicts"), "bitmap"))
+
+
+def bitmap_members(bitmaps: DataFrame) -> DataFrame:
+    """(course_a, course_b): the edges that ``conflict_bitmaps`` holds."""
+    by = bitmaps.select("course", "bucket", F.posexplode(F.split(F.regexp_replace(F.hex("bitmap"), "(..)(?!$)", "$1,"), ",")).alias("at", "byte"))
+    by = by.filter(F.col("byte") != "00").withColumn("byte", F.conv("byte", 16, 10).cast("int"))
+    bits = by.select("course", "bucket", "at", "byte", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit"))
+    bits = bits.filter(F.expr("(byte >> bit) & 1 = 1"))
+    return bits.select(F.col("course").alias("course_a"), ((F.col("bucket") - 1) * 32768 + F.col("at") * 8 + F.col("bit")).alias("course_b"))
+
+
 def room_overlaps(assign: DataFrame) -> DataFrame:
     """Hard constraint: a room holds at most one lesson per slot."""
     return (assign.groupBy("room", "slot").agg(F.count(F.lit(1)).alias("n_lessons"))

@@ -59,6 +59,10 @@ def q_conflict_sets(spark, sf):
                     F.array_join(F.transform("conflicts", lambda x: x.cast("string")), ",").alias("conflicts"))
 
 
+def q_conflict_bitmaps(spark, sf):
+    return tt.conflict_bitmaps(tt.conflict_edges(enrolments(spark, sf))).select("course", "bucket", "n_conflicts", F.lower(F.md5("bitmap")).alias("bitmap_md5"))
+
+
 def q_check_room_overlap(spark, sf):
     return tt.room_overlaps(assignments(spark, sf))
 
@@ -98,6 +102,7 @@ def q_slot_occupancy(spark, sf):
 QUERIES = {
     "conflict_pairs": q_conflict_pairs,
     "conflict_sets": q_conflict_sets,
+    "conflict_bitmaps": q_conflict_bitmaps,
     "check_room_overlap": q_check_room_overlap,
     "check_conflicts": q_check_conflicts,
     "check_precedence": q_check_precedence,
@@ -140,6 +145,12 @@ ORACLE = {
 SELECT course_a AS course, count(*) AS n_conflicts,
   array_to_string(list_transform(list_sort(list(course_b)), lambda x: CAST(x AS VARCHAR)), ',') AS conflicts
 FROM edges GROUP BY course_a""",
+    "conflict_bitmaps": f"""WITH {BASE_SQL},
+bt AS (SELECT course_a AS course, CAST(course_b // 32768 + 1 AS BIGINT) AS bucket, course_b % 32768 // 8 AS pos, bit_or(1 << CAST(course_b % 8 AS INTEGER)) AS byte,
+         count(*) AS n FROM edges GROUP BY ALL),
+g AS (SELECT course, bucket, CAST(sum(n) AS BIGINT) AS n_conflicts, map(list(pos), list(byte)) AS bytes FROM bt GROUP BY ALL)
+SELECT course, bucket, n_conflicts,
+  md5(unhex(list_aggregate(list_transform(range(4096), lambda i: printf('%02x', coalesce(bytes[i], 0))), 'string_agg', ''))) AS bitmap_md5 FROM g""",
     "check_room_overlap": f"""WITH {BASE_SQL}
 SELECT room, slot, count(*) AS n_lessons FROM asg GROUP BY room, slot HAVING count(*) > 1""",
     "check_conflicts": f"""WITH {BASE_SQL}

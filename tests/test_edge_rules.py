@@ -74,6 +74,13 @@ def test_conflicts_in_a_slot_equal_plain_pairs(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want) > 50
 
 
+def test_bitmaps_hold_the_edges(spark):
+    edges = [(1, 0), (1, 7), (1, 8), (1, 32767), (1, 32768), (2, 100_000), (2, 100_001)]
+    maps = tt.conflict_bitmaps(spark.createDataFrame(edges, "course_a long, course_b long"))
+    assert {(r.course, r.bucket): r.n_conflicts for r in maps.collect()} == {(1, 1): 4, (1, 2): 1, (2, 4): 2}
+    assert sorted(map(tuple, tt.bitmap_members(maps).collect())) == edges
+
+
 def test_metrics_of_one_class(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, p double")
     points = mt.roc_points(df, "y", "p")
