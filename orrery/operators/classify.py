@@ -44,12 +44,13 @@ def apply_standard(df: DataFrame, model: DataFrame, feats: list[str], prefix: st
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """weight = n / (n_classes * n_class): every class carries the same total weight."""
+    """weight = n / (n_classes * n_class): every class carries the same total weight.
+    A null label is a class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     cw = attach_scalar(counts, tot).select(
-        label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
-    return df.join(cw, label)
+        F.col(label).alias("_l"), (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
+    return df.join(cw, F.col(label).eqNullSafe(F.col("_l"))).drop("_l")
 
 
 # ---------------------------------------------------------------- k nearest neighbours
@@ -295,9 +296,9 @@ def fit_gaussian_nb(train: DataFrame, label: str, feats: list[str], var_smoothin
 
 def predict_gaussian_nb(model: DataFrame, test: DataFrame, id_col: str, feats: list[str]) -> DataFrame:
     """argmax_c log prior + Σ_j log N(x_j; mu_cj, var_cj); ties → smallest class.
-    The model table (classes × features rows) is broadcast."""
+    The model table has classes × features rows; Spark broadcasts it if its size allows."""
     lg = _long(test, id_col, feats)
-    t = lg.join(F.broadcast(model), "j")
+    t = lg.join(model, "j")
     ll = -0.5 * (F.lit(LOG_2PI) + F.log("var")) - 0.5 * (F.col("x") - F.col("mu")) ** 2 / F.col("var")
     s = t.groupBy(id_col, "cls").agg((F.max("log_prior") + F.sum(ll)).alias("jll"))
     return s.groupBy(id_col).agg(F.min_by("cls", F.struct(-F.col("jll"), F.col("cls"))).alias("pred"))

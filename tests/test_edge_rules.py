@@ -81,6 +81,11 @@ def test_bitmaps_hold_the_edges(spark):
     assert sorted(map(tuple, tt.bitmap_members(maps).collect())) == edges
 
 
+def test_weights_of_a_null_class(spark):
+    got = cl.balanced_weights(spark.createDataFrame([(1, None), (2, 0), (3, 0), (4, 0)], "id long, y int"), "y").collect()
+    assert {r.id: round(r.weight, 6) for r in got} == {1: 2.0, 2: 0.666667, 3: 0.666667, 4: 0.666667}
+
+
 def test_metrics_of_one_class(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, p double")
     points = mt.roc_points(df, "y", "p")
