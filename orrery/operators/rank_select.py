@@ -11,6 +11,9 @@ written or sorted.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +89,9 @@ def rows_at(df: DataFrame, value: str, order: list[str], at: list[tuple[str, flo
     b = cut_lineage(b.select(*names, "n", *extra_names, "tag", "pos", wide("lo", float("-inf")).cast("double").alias("lo"),
                              wide("hi", float("inf")).cast("double").alias("hi"), wide("below", 0)))
     again = b.groupBy(*names).agg(F.collect_list(F.struct("tag", "pos", F.col("lo"), F.col("hi"))).alias("_w"))
-    inner = attach(again).select(*names, F.explode(F.filter("_w", inside)).alias("_e"), *order)
+    ends = [F.get("_w", F.lit(i)) for i in tags]
+    inner = attach(again).filter(reduce(or_, [F.coalesce(inside(e), F.lit(False)) for e in ends]))  # few rows are left
+    inner = inner.select(*names, F.explode(F.array_compact(F.array(*[F.when(inside(e), e) for e in ends]))).alias("_e"), *order)
     inner = inner.groupBy(*names, F.col("_e.tag").alias("_tag"), *order).agg(F.count(F.lit(1)).alias("_c"))
     inner = running_total(inner, order, "_c", partition=[*names, "_tag"], out="_end")
     inner = inner.select(*[F.col(x).alias(y) for x, y in zip(names, theirs)], "_tag", *order, "_c", "_end")
