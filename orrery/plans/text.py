@@ -17,6 +17,12 @@ LEXICON = [
     ("ther", 1.1), ("than", -0.9), ("pour", 2.0), ("de", 0.05), ("la", -0.3),
     ("der", 0.4), ("die", -2.1), ("und", 0.6), ("que", -0.5), ("les", 0.25),
 ]
+# Stand-in modifiers (token, boost, negates), words of the test documents.
+MODIFIERS = [
+    ("not", 0.0, True), ("no", 0.0, True), ("nicht", 0.0, True), ("pas", 0.0, True), ("nie", 0.0, True),
+    ("is", 0.293, False), ("ist", 0.293, False), ("est", 0.293, False), ("es", 0.293, False),
+    ("on", -0.293, False), ("as", -0.293, False), ("en", -0.293, False), ("the", 0.293, False),
+]
 ORIGIN = "2024-01-01"
 NEWS_ITEM = "turn: bigint, role: string, text: string"
 FEED_CHUNK = 64  # feed messages carry at most this many items
@@ -27,6 +33,16 @@ def lexicon_df(spark):
     return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(token, valence)")  # literal rows: their size is known
 
 
+def modifiers_df(spark):
+    rows = ", ".join(f"('{t}', {b}D, {str(n).lower()})" for t, b, n in MODIFIERS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS modifiers(token, boost, negates)")
+
+
+def rule_scored_docs(spark, sf):
+    d = Tables(spark, sf).documents.select("doc_id", "text")
+    return tx.rule_sentiment(d, "text", lexicon_df(spark), modifiers_df(spark), id_col="doc_id")
+
+
 def scored_docs(spark, sf):
     d = Tables(spark, sf).documents.select("doc_id", "text")
     s = tx.lexicon_sentiment(d, "text", lexicon_df(spark), id_col="doc_id")
@@ -48,6 +64,10 @@ def q_lexicon_sentiment(spark, sf):
     return scored_docs(spark, sf).select("doc_id", rnd("compound", 6).alias("compound"))
 
 
+def q_rule_sentiment(spark, sf):
+    return rule_scored_docs(spark, sf).select("doc_id", rnd("compound", 6).alias("compound"))
+
+
 def q_sentiment_bucket(spark, sf):
     s = scored_docs(spark, sf)
     return s.select("doc_id", rnd("compound", 6).alias("compound"),
@@ -101,6 +121,7 @@ QUERIES = {
     "epoch_text": q_epoch_text,
     "text_contains": q_text_contains,
     "lexicon_sentiment": q_lexicon_sentiment,
+    "rule_sentiment": q_rule_sentiment,
     "sentiment_bucket": q_sentiment_bucket,
     "daily_sentiment": q_daily_sentiment,
     "feed_explode": q_feed_explode,
@@ -137,3 +158,16 @@ SELECT series, CAST(to_json({'series': series, 'date': date, 'close': close}) AS
     "timestamp_parse": """SELECT event_id, date_trunc('second', ts) AS tweet_ts, date_trunc('second', ts) AS news_ts,
   CAST(ts AS DATE) AS news_date, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch FROM events""",
 }
+
+MOD_SQL = "mods(token, boost, neg) AS (SELECT * FROM (VALUES " + ", ".join(f"('{t}', {b}, {int(n)})" for t, b, n in MODIFIERS) + (
+    ") v(token, boost, neg) WHERE token NOT IN (SELECT token FROM lex))")
+ORACLE["rule_sentiment"] = rf"""WITH {LEX_SQL}, {MOD_SQL},
+tok AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS pos FROM tok),
+h AS (SELECT p.doc_id, p.pos, lex.valence AS v FROM p JOIN lex USING (token)),
+q AS (SELECT p.doc_id, p.pos, mods.boost, mods.neg FROM p JOIN mods USING (token)),
+m AS (SELECT h.doc_id, h.pos, any_value(h.v) AS v, sum(coalesce(q.boost, 0) * CASE h.pos - q.pos WHEN 1 THEN 1.0 WHEN 2 THEN 0.95 ELSE 0.9 END) AS b,
+  sum(coalesce(q.neg, 0)) AS n FROM h LEFT JOIN q ON q.doc_id = h.doc_id AND q.pos BETWEEN h.pos - 3 AND h.pos - 1 GROUP BY 1, 2),
+s AS (SELECT doc_id, round(sum((v + sign(v) * coalesce(b, 0)) * pow(-0.74, n)), 9) AS s FROM m GROUP BY 1)
+SELECT d.doc_id, round(CASE WHEN coalesce(s.s, 0) = 0 THEN 0.0 ELSE s.s / sqrt(s.s * s.s + 15.0) END, 6) AS compound
+FROM documents d LEFT JOIN s USING (doc_id)"""
