@@ -3,11 +3,15 @@
 The page is read into a tree of elements with its text in blocks. Every block of prose
 passes points for its length and commas to its ancestors, all to the parent, half to the
 grandparent, less and less above; an element's sum is discounted by its link density. The
-best container is kept, widened to the article element around it, and with it those of its
-siblings that score well or are prose themselves. Without an article element all its siblings
-are kept that aren't mostly links, whatever their length. Menus, page headers and footers,
+best container is kept, widened to the article element around it, and with it the page's
+other articles and those of its siblings that score well or are prose or headings, whatever
+their length. Without an article element all its siblings are kept that aren't mostly links.
+Where no text but links has any points, all of it is kept. Menus, page headers and footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are left out
-wherever they stand.
+wherever they stand: by element; by class, id and role names that mean nothing else on any
+element; by ambiguous ones ("header", "alert", "social") on containers alone, not on
+paragraphs, headings, cells or inline elements. Inside an article an ambiguous name that is
+only a part of one ("entry-header") leaves out a container only if it is mostly links.
 """
 
 from __future__ import annotations
@@ -24,11 +28,13 @@ from orrery.llm.common import read_table
 
 # element kinds by name
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes".split())
-_LEFT_OUT = frozenset("""head title script style noscript iframe textarea template svg math object embed canvas audio video
+_RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes annotation annotation-xml".split())
+_LEFT_OUT = frozenset("""head title script style noscript iframe textarea template svg object embed canvas audio video
     nav header footer aside menu form button select option dialog fieldset noembed noframes""".split())
 _INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small
-    span strike strong sub sup time tt u var wbr br nobr""".split())
+    span strike strong sub sup time tt u var wbr br nobr
+    math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mpadded mphantom
+    mfenced menclose mmultiscripts mprescripts mtable mtr mtd annotation annotation-xml""".split())
 _CLOSES_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3
     h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul""".split())
 # an opening tag ends an open element of these kinds, unless one of the others lies between
@@ -36,12 +42,16 @@ _ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "
          "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
          "option": (("option",), ("select",)), "tbody": (("thead", "tbody", "tr"), ("table",)), "body": (("head",), ())}
 _SCOPE = frozenset("table td th button object template html".split())
-# class, id and role names of what isn't the article
+# class, id and role names of what isn't the article; the second group has other meanings too
 _SIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|"
-    r"subscri\w*|paywall|sidebar\w*|complementary|menu|nav|navbar|navigation|breadcrumbs?|masthead|header|footer|contentinfo|comments?|"
-    r"commentlist|disqus|replies|reply|respond|share|sharing|social|related|recommend\w*|widget\w*|toolbar|pagination|pager|search|login|"
-    r"signup|register|outbrain|taboola|skip|hidden|invisible)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|popup|newsletter|subscri\w*|paywall|sidebar\w*|"
+    r"complementary|navbar|navigation|breadcrumbs?|masthead|contentinfo|comments?|commentlist|disqus|replies|respond|share|sharing|pagination|"
+    r"outbrain|taboola)(?:$|[\s_-])", re.I)
+_MAYBE = (r"notice|alert|modal|overlay|menu|nav|header|footer|reply|social|related|recommend\w*|widget\w*|toolbar|pager|search|login|signup|"
+          r"register|skip|hidden|invisible")
+_MAYBE_PART, _MAYBE_WHOLE = re.compile(rf"(?:^|[\s_-])(?:{_MAYBE})(?:$|[\s_-])", re.I), re.compile(rf"(?:^|\s)(?:{_MAYBE})(?:$|\s)", re.I)
+# elements that hold text rather than a part of the page
+_TEXT = _INLINE | frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption caption dt dd tr td th".split())
 DEPTH = 512
 _WHOLE = frozenset("html body main article".split())
 _TOKEN = re.compile(r"""<(?:!--(?P<comment>)|(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^<>"']|"[^"<]*"|'[^'<]*')*+[^>]*+)>|[!?/][^>]*>)""")
@@ -50,34 +60,45 @@ _COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("name", "parent", "side", "block", "depth", "score", "chars", "linked", "blocks")
+    __slots__ = ("name", "parent", "side", "block", "depth", "score", "chars", "linked", "blocks", "maybe", "inside")
 
-    def __init__(self, name, parent, side):
+    def __init__(self, name, parent, side, maybe=False):
         # as in browsers, what is nested deeper than DEPTH stands beside its parent
         while parent is not None and parent.depth >= DEPTH:
             parent = parent.parent
         self.name, self.parent, self.side = name, parent, side
         self.depth = parent.depth + 1 if parent is not None else 0
         self.block = self if parent is None or name not in _INLINE else parent.block
+        self.maybe = maybe  # left out if it is mostly links
+        self.inside = name == "article" or parent is not None and parent.inside  # of an article
         self.score, self.chars, self.linked, self.blocks = 0.0, 0, 0, 0
 
     def density(self) -> float:
         return self.linked / self.chars if self.chars else 0.0
 
     def is_menu(self) -> bool:
-        """A list of short links; longer ones are references."""
-        return self.name == "ul" and self.density() >= 0.8 and self.chars < 25 * self.blocks
+        """A list of short links (longer ones are references), or links under a name for such."""
+        return self.maybe and self.density() >= 0.5 or self.name == "ul" and self.density() >= 0.8 and self.chars < 25 * self.blocks
 
 
-def _is_side(name: str, attrs: str) -> bool:
+def _kind(name: str, attrs: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is not the article's, and whether that is so only if it is mostly links."""
     if name in _LEFT_OUT:
-        return True
+        return True, False
     if not attrs.strip("/ "):
-        return False
+        return False, False
     got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     if "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower():
-        return True
-    return name not in _WHOLE and any(_SIDE.search(got.get(k, "")) for k in ("class", "id", "role"))
+        return True, False
+    names = [got[k] for k in ("class", "id", "role") if k in got]
+    if name in _WHOLE or not names:
+        return False, False
+    if any(map(_SIDE.search, names)):
+        return True, False
+    if name in _TEXT or not any(map(_MAYBE_PART.search, names)):
+        return False, False
+    whole = not inside or any(map(_MAYBE_WHOLE.search, names))
+    return whole, not whole
 
 
 def blocks_of(page: str) -> list[tuple[str, int, Node]]:
@@ -159,7 +180,8 @@ def blocks_of(page: str) -> list[tuple[str, int, Node]]:
                 at = len(page) if gt < 0 else gt + 1
             continue
         parent = stack[-1]
-        stack.append(Node(name, parent, parent.side or _is_side(name, m["attrs"])))
+        side, maybe = _kind(name, m["attrs"], parent.inside)
+        stack.append(Node(name, parent, parent.side or side, maybe))
         in_link += name == "a"
         is_open[name] += 1
     end_block()
@@ -194,8 +216,8 @@ def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
     nodes = _score(blocks)
     ranked = [n for n in nodes.values() if n.score > 0]
-    if not ranked:
-        return ""
+    if not ranked:  # links only
+        return "\n".join(text for text, _, node in blocks if not node.side and not any(x.is_menu() for x in [node, *_above(node)]))
     final = {id(n): n.score * (1 - n.density()) for n in ranked}
     best = max(ranked, key=lambda n: final[id(n)])
     top = final[id(best)]
@@ -203,10 +225,13 @@ def main_text(page: str | None) -> str:
     kept, beside = {id(best)}, None
     if best.name == "article":
         for n in ranked:
+            if n.name == "article" and not n.side and n.density() < 0.5:
+                kept.add(id(n))
+        for n in nodes.values():
             if n.parent is best.parent and n is not best and not n.side:
-                prose = n.name in ("p", "pre", "blockquote") and n.density() < 0.25 and n.chars >= 25
-                title = re.fullmatch("h[1-3]", n.name) and n.linked == 0
-                if prose or title or final[id(n)] >= max(3.0, 0.2 * top) and n.density() < 0.25:
+                prose = n.name in ("p", "pre", "blockquote") and n.density() < 0.25
+                title = re.fullmatch("h[1-6]", n.name) and n.linked == 0
+                if prose or title or final.get(id(n), 0.0) >= max(3.0, 0.2 * top) and n.density() < 0.25:
                     kept.add(id(n))
     else:
         while best.parent is not None and best.parent.blocks == best.blocks:  # it only wraps the container

@@ -307,7 +307,21 @@ def test_min_matches():
     ("<div class='ad'>buy</div><div><p>Prose of the page, long enough, with commas.</p><div id=comments><p>me, too, I say, and so on, at length</p></div></div>",
      "Prose of the page, long enough, with commas."),
     ("<article><p>First, long paragraph of it.</p><ul><li><a href=a>go</a><li><a href=b>there</a></ul><ul><li>kept item</ul></article>",
-     "First, long paragraph of it.\nkept item")])
+     "First, long paragraph of it.\nkept item"),
+    # ambiguous names inside the article, and the same ones where they mean what isn't
+    ("<article><div class='entry-header'><h1>Title</h1></div><h2 class='section-header'>Part</h2><p class='social-history'>She drank, at times.</p>"
+     "<p class='alert alert-info'>Mind this, reader.</p><span class='search'>word</span><div class=post-nav><a href=a>Back</a> <a href=b>On</a></div>"
+     "<div class='notice'>Notice of the site.</div><p class=ad>Buy</p></article>",
+     "Title\nPart\nShe drank, at times.\nMind this, reader.\nword"),
+    ("<div class=site-header><p>Site, with a name, of some length.</p></div><div><p>Prose of the page, long enough, with commas.</p></div>",
+     "Prose of the page, long enough, with commas."),
+    ("<p>The sum <math><semantics><mrow><mi>a</mi><mo>+</mo><mn>1</mn></mrow><annotation>a+1</annotation></semantics></math> is it.</p>", "The sum a+1 is it."),
+    # beside an article
+    ("<h4>Before</h4><article><p>First, long paragraph of it, as it is.</p></article><p>The end.</p><p><a href=x>more</a></p>",
+     "Before\nFirst, long paragraph of it, as it is.\nThe end."),
+    ("<div><article><p>One article, of some length, stands here.</p></article></div><section><article><p>Two.</p></article></section>"
+     "<article class=comment><p>I, too, want to say, well, something.</p></article>", "One article, of some length, stands here.\nTwo."),
+    ("<nav><a href=n>Home</a></nav><p><a href=x>Only linked text here</a></p><ul><li><a href=y>go</a></ul>", "Only linked text here")])
 def test_html_cases(page, text):
     assert html_text.main_text(page) == text
 
