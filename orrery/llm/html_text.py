@@ -50,6 +50,8 @@ _SIDE = re.compile(
 _MAYBE = (r"notice|alert|modal|overlay|menu|nav|header|footer|reply|social|related|recommend\w*|widget\w*|toolbar|pager|search|login|signup|"
           r"register|skip|hidden|invisible")
 _MAYBE_PART, _MAYBE_WHOLE = re.compile(rf"(?:^|[\s_-])(?:{_MAYBE})(?:$|[\s_-])", re.I), re.compile(rf"(?:^|\s)(?:{_MAYBE})(?:$|\s)", re.I)
+# whole names by which an article element is a comment or an advert
+_OTHER_ARTICLE = re.compile(r"(?:^|\s)(?:comments?|reply|ads?|advert\w*|sponsored|promo)(?:$|\s)", re.I)
 # elements that hold text rather than a part of the page
 _TEXT = _INLINE | frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption caption dt dd tr td th".split())
 DEPTH = 512
@@ -92,7 +94,7 @@ def _kind(name: str, attrs: str, inside: bool) -> tuple[bool, bool]:
         return True, False
     names = [got[k] for k in ("class", "id", "role") if k in got]
     if name in _WHOLE or not names:
-        return False, False
+        return name == "article" and any(map(_OTHER_ARTICLE.search, names)), False
     if any(map(_SIDE.search, names)):
         return True, False
     if name in _TEXT or not any(map(_MAYBE_PART.search, names)):
