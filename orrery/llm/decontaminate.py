@@ -18,6 +18,9 @@ of an item from the window of its size, so a window within e edits holds all but
 item's distinct pairs of neighbouring words. Counted are places whose pair occurs in an item
 of that size and differs from the pair before, so that runs of a repeated word count little.
 
+Items of fewer than MIN_WORDS words are searched for verbatim, in a tree of their first,
+second, ... words that all places of the documents walk down together.
+
 The items are taken in blocks of bounded size, each against all documents.
 """
 
@@ -35,7 +38,9 @@ from pyspark.sql import functions as F
 from orrery.llm.common import read_table
 from orrery.llm.shingles import M3, mix
 
-MIN_WORDS = 8
+MIN_WORDS = 8  # items from this size on may differ by edits
+LEAST_WORDS = 1  # shortest items that are reported, verbatim
+DROP_WORDS = 4  # shortest items that take a document out: shorter ones stand in texts that know nothing of them
 EDIT_SHARE = 0.2
 SAMPLED = 3
 RECALL = 0.999
@@ -118,10 +123,13 @@ class Walks:
 class Index:
     """A block of items, ready for searching."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], share: float = EDIT_SHARE, sampled: int = SAMPLED, recall: float = RECALL):
+    def __init__(self, items: list[tuple[int, list[bytes]]], share: float = EDIT_SHARE, sampled: int = SAMPLED, recall: float = RECALL,
+                 min_words: int = MIN_WORDS):
         self.vocabulary: dict[bytes, int] = {}
         self.share = share
-        self.items = [(i, np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)) for i, words in items]
+        numbered = [(i, np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)) for i, words in items]
+        self.items = [(i, x) for i, x in numbered if len(x) >= min_words]
+        self.levels = self._tree([(i, x) for i, x in numbered if 0 < len(x) < min_words])
         self.sizes = sorted({len(x) for _, x in self.items})
         # by pair: a bit for each size of the items that have it (sizes share 64 bits)
         self.pairs = np.zeros(1 << PAIR_BITS, np.uint64)
@@ -148,6 +156,37 @@ class Index:
             order = np.argsort(keys, axis=None, kind="stable")
             self.groups.append((np.array(group), walks, keys.ravel()[order], of[order % len(of)]))
 
+    def _tree(self, short: list[tuple[int, np.ndarray]]) -> list[tuple[np.ndarray, dict[int, list[int]]]]:
+        """By depth: sorted keys (node above x words + next word), a node's number being its
+        key's place, and the items that end in a node."""
+        levels, node = [], np.zeros(len(short), np.int64)
+        while short:
+            keys = node * len(self.vocabulary) + np.array([x[len(levels)] for _, x in short])
+            known, node = np.unique(keys, return_inverse=True)
+            ends: dict[int, list[int]] = {}
+            for k, (i, x) in zip(node.tolist(), short):
+                if len(x) == len(levels) + 1:
+                    ends.setdefault(k, []).append(i)
+            levels.append((known, ends))
+            longer = [len(x) > len(levels) for _, x in short]
+            short, node = [s for s, more in zip(short, longer) if more], node[longer]
+        return levels
+
+    def verbatim(self, ids: np.ndarray, begin: np.ndarray) -> set[tuple[int, int]]:
+        """(place of the text, item_id) of every short item in a text; negative ids end a text."""
+        found, at, node = set(), np.flatnonzero(ids >= 0), 0
+        for depth, (known, ends) in enumerate(self.levels):
+            word = ids[at + depth]
+            key = node * len(self.vocabulary) + word
+            node = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            ok = (word >= 0) & (known[node] == key)
+            at, node = at[ok], node[ok]
+            last = np.isin(node, list(ends))
+            doc = np.searchsorted(begin, at[last], "right") - 1
+            for d, k in set(zip(doc.tolist(), node[last].tolist())):
+                found.update((d, i) for i in ends[k])
+        return found
+
     @staticmethod
     def _windows(texts: list[np.ndarray]):
         sizes = np.array([len(x) for x in texts], np.int64)
@@ -187,9 +226,9 @@ class Index:
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int]]:
         """(place of the text, item_id, least edits) of every leak."""
-        if not texts or not self.items:
+        if not texts or not self.items and not self.levels:
             return []
-        gap = self.sizes[-1] + 2
+        gap = max([len(self.levels), *self.sizes]) + 2
         known, parts, begin, ends, at = self.vocabulary, [], [], [], 0
         for t in texts:
             w = item_words(t)
@@ -198,6 +237,7 @@ class Index:
             parts += [np.fromiter((known.get(x, -1) for x in w), np.int64, len(w)), np.full(gap, -1)]
             at += len(w) + gap
         ids, begin = np.concatenate(parts), np.array(begin)
+        best: dict[tuple[int, int], int] = dict.fromkeys(self.verbatim(ids, begin), 0)
         pair = self._pair(ids)
         bits = self.pairs[pair] * ((ids[:-1] >= 0) & (ids[1:] >= 0))
         bits[1:] *= pair[1:] != pair[:-1]
@@ -211,8 +251,7 @@ class Index:
                 own += (bits[at + i] >> np.uint64(m % 64) & np.uint64(1)).astype(np.int32)
             places.append(at[own >= self.least[m]])
         if not sum(map(len, places)):
-            return []
-        best: dict[tuple[int, int], int] = {}
+            return [(doc, item, d) for (doc, item), d in sorted(best.items())]
 
         def text_at(start):
             doc = int(np.searchsorted(begin, start, "right")) - 1
@@ -260,13 +299,13 @@ class Index:
         return [(doc, item, d) for (doc, item), d in sorted(best.items())]
 
 
-def blocks(items: DataFrame, item_id: str, text: str, min_words: int, block_words: int) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """The items of at least ``min_words`` words, read block by block."""
+def blocks(items: DataFrame, item_id: str, text: str, least_words: int, block_words: int) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """The items of at least ``least_words`` words, read block by block."""
     block, size = [], 0
     rows = items.filter(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(F.col(item_id).alias("i"), F.col(text).alias("t"))
     for row in rows.distinct().toLocalIterator():
         words = item_words(row["t"])
-        if len(words) >= min_words:
+        if len(words) >= max(1, least_words):
             block.append((row["i"], words))
             size += len(words)
         if size >= block_words:
@@ -292,12 +331,13 @@ def search_batch(index: Index, texts) -> list[tuple[int, int, int]]:
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
           min_words: int = MIN_WORDS, share: float = EDIT_SHARE, sampled: int = SAMPLED, recall: float = RECALL,
-          block_words: int = BLOCK_WORDS) -> DataFrame:
+          block_words: int = BLOCK_WORDS, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, item_id, edits): every document and item that leaks into it, with the least
     edits found, one row per document row and item.
 
-    Null or empty text: no leak. Items that are null, have a null id or fewer than
-    ``min_words`` words are not searched for; items with equal ids each count. Repeated
+    Null or empty text: no leak. Items of fewer than ``min_words`` words leak verbatim only,
+    with 0 edits. Items that are null, have a null id or fewer than ``least_words`` words (at
+    least 1) are not searched for; items with equal ids each count. Repeated
     document rows give repeated result rows, null ids come out as null. Without documents
     or items the result is empty. Other columns are not read.
     """
@@ -305,7 +345,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def one(block) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Index(block, share, sampled, recall))  # block_words bounds it
+        shared = spark.sparkContext.broadcast(Index(block, share, sampled, recall, min_words))  # block_words bounds it
 
         def search(batches):
             for b in batches:
@@ -315,18 +355,18 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 
         return d.mapInArrow(search, RESULT)
 
-    parts = [one(b) for b in blocks(items, item_id, item_text, min_words, block_words)]
+    parts = [one(b) for b in blocks(items, item_id, item_text, least_words, block_words)]
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RESULT)
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
                   min_words: int = MIN_WORDS, share: float = EDIT_SHARE, sampled: int = SAMPLED, recall: float = RECALL,
-                  block_words: int = BLOCK_WORDS) -> DataFrame:
+                  block_words: int = BLOCK_WORDS, least_words: int = DROP_WORDS) -> DataFrame:
     """``docs`` without the rows that an item leaks into, all columns kept; the cases are
     those of ``leaks``. No shuffle: each block of items is one pass over the rows left."""
     spark, at = docs.sparkSession, [c.lower() for c in docs.columns].index(text.lower())
-    for block in blocks(items, item_id, item_text, min_words, block_words):
-        shared = spark.sparkContext.broadcast(Index(block, share, sampled, recall))
+    for block in blocks(items, item_id, item_text, least_words, block_words):
+        shared = spark.sparkContext.broadcast(Index(block, share, sampled, recall, min_words))
 
         def clean(batches, shared=shared):
             for b in batches:

@@ -364,7 +364,10 @@ def test_leaks_equal_brute_force(spark):
         for k in (0, 1, decontaminate.max_edits(len(item)), decontaminate.max_edits(len(item)) + 2):
             texts.append(" ".join(["Pre,"] * 3 + edited(rnd, item, k) + ["post."] * 3).replace("w1", "W1"))
     texts += [None, "", "w1 " * 500]
-    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)] + [(90, None), (None, "x"), (91, "w1 w2"), (92, "")], "item_id long, text string")
+    short = [(100 + k, " ".join(rnd.choice(vocabulary) for _ in range(k % 7 + 1))) for k in range(40)]
+    short += [(150 + k, " ".join(texts[k].split()[5:5 + k % 7 + 1])) for k in range(60) if len(texts[k].split()) > 20]
+    short += [(300, "w1 w1"), (301, "w1 w1 w1"), (302, "unseen words"), (303, "w2")]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)] + [(90, None), (None, "x"), (91, "w1 w2"), (92, ""), *short], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontaminate.leaks(docs_of(spark, texts), bench, block_words=700).collect()}
     want = {}
     for d, t in enumerate(texts):
@@ -373,6 +376,10 @@ def test_leaks_equal_brute_force(spark):
             e = decontaminate.edit_distance(np.array([int(x[1:]) for x in item]), w)
             if e <= decontaminate.max_edits(len(item)):
                 want[d, i] = e
+    verbatim = {(d, i): 0 for d, t in enumerate(texts) for i, x in [(91, "w1 w2"), *short]
+                if f" {x.lower()} " in f" {b' '.join(decontaminate.item_words(t)).decode()} "}
+    assert {x: e for x, e in got.items() if x[1] >= 90} == verbatim and len(verbatim) > 100
+    got = {x: e for x, e in got.items() if x[1] < 90}
     assert set(got) <= set(want) and len(got) >= 0.99 * len(want)
     assert all(got[x] == want[x] for x in got if want[x] == 0)
 
@@ -382,6 +389,9 @@ def test_leaks_edge_cases(spark, odd, nothing):
     odd = odd.orderBy("doc_id")
     got = decontaminate.leaks(odd, bench).collect()
     assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in got) == [(6, 1, 0), (6, 1, 0), (7, 1, 0)]
+    words = spark.createDataFrame([(1, PROSE.split()[0]), (2, " ".join(PROSE.split()[:4]))], "item_id long, text string")
+    assert decontaminate.leaks(odd, words).filter("item_id = 1").count() >= 3 == decontaminate.leaks(odd, words).filter("item_id = 2").count()
+    assert decontaminate.without_leaks(odd, words.filter("item_id = 1")).count() == 11 and decontaminate.without_leaks(odd, words).count() == 8
     left = decontaminate.without_leaks(odd, bench)
     assert left.columns == odd.columns and left.count() == 8
     assert decontaminate.leaks(nothing, bench).count() == 0 == decontaminate.leaks(odd, bench.limit(0)).count()
