@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.operators.recommend import class_centroids
 from orrery.operators.scalar_join import attach_scalar
 from orrery.session import cut_lineage
 
@@ -302,3 +303,28 @@ def predict_gaussian_nb(model: DataFrame, test: DataFrame, id_col: str, feats: l
     ll = -0.5 * (F.lit(LOG_2PI) + F.log("var")) - 0.5 * (F.col("x") - F.col("mu")) ** 2 / F.col("var")
     s = t.groupBy(id_col, "cls").agg((F.max("log_prior") + F.sum(ll)).alias("jll"))
     return s.groupBy(id_col).agg(F.min_by("cls", F.struct(-F.col("jll"), F.col("cls"))).alias("pred"))
+
+
+def centroid_scores(df: DataFrame, label: str, vec: str, classes: list[int], prefix: str = "p", pred: str = "pred") -> DataFrame:
+    """Nearest-centroid classifier over the whole vector ``vec``: adds, per class k, the score
+    ``p<k>`` = exp(-d_k) scaled to sum 1 (d_k: squared distance to the mean vector of its
+    rows; 9 places) and ``pred``, the class of the least distance (9 places; ties: the first).
+
+    The centroids (classes x width numbers) are one aggregate, read back as one row and
+    attached as literals. A class without rows has score 0; a null vector has null scores.
+    """
+    c = class_centroids(df, label, vec)
+    model = c.agg(*[F.max(F.when(F.col(label) == k, F.col("centroid"))).alias(f"_c{k}") for k in classes])
+
+    def distance(k):
+        parts = F.zip_with(F.col(vec), F.col(f"_c{k}"), lambda x, y: (x.cast("double") - y) * (x.cast("double") - y))
+        return F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+
+    d = attach_scalar(df, model)
+    d = d.withColumns({f"_d{k}": distance(k) for k in classes}).drop(*[f"_c{k}" for k in classes])
+    d = d.withColumn("_least", F.least(*[F.col(f"_d{k}") for k in classes]))
+    d = d.withColumns({f"_e{k}": F.when(F.col("_least").isNotNull(), F.coalesce(F.exp(F.col("_least") - F.col(f"_d{k}")), F.lit(0.0))) for k in classes})
+    total = sum((F.col(f"_e{k}") for k in classes), F.lit(0.0))
+    nearest = F.coalesce(*[F.when(F.round(f"_d{k}", 9) == F.round("_least", 9), F.lit(k).cast("long")) for k in classes])
+    d = d.withColumns({**{f"{prefix}{k}": F.round(F.col(f"_e{k}") / total, 9) for k in classes}, pred: nearest})
+    return d.drop("_least", *[f"_{x}{k}" for x in "de" for k in classes])

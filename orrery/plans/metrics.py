@@ -1,10 +1,11 @@
 """Metric group: binary scores from labels ⋈ documents, multiclass scores from
-embeddings (softmax over the first 10 dimensions), forecast errors from series."""
+embeddings (nearest centroid over the whole vector), forecast errors from series."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orrery.operators import classify as cl
 from orrery.operators import metrics as mt
 from orrery.operators import timeseries as ts
 from orrery.plans.common import rnd
@@ -24,14 +25,8 @@ def binary_scores(spark, sf):
 
 
 def multiclass_scores(spark, sf):
-    e = Tables(spark, sf).embeddings
-    head = F.slice(F.col("embedding"), 1, N_CLS)
-    ex = F.transform(head, lambda x: F.exp(x.cast("double")))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, b: a + b)
-    m = e.select("vec_id", F.col("label").cast("long").alias("label"),
-                 (F.array_position(head, F.array_max(head)) - 1).alias("pred"), ex.alias("_ex"), tot.alias("_tot"))
-    return m.select("vec_id", "label", "pred",
-                    *[(F.col("_ex")[c] / F.col("_tot")).alias(f"p{c}") for c in CLASSES])
+    e = Tables(spark, sf).embeddings.select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
+    return cl.centroid_scores(e, "label", "embedding", CLASSES).drop("embedding")
 
 
 def q_confusion_matrix(spark, sf):
@@ -113,12 +108,18 @@ BIN_SQL = """b AS (SELECT l.doc_id, l.quality AS y, round(d.n_chars / (d.n_chars
 c AS (SELECT score AS threshold, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg FROM b GROUP BY score),
 r AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC) AS cum_pos, sum(neg) OVER (ORDER BY threshold DESC) AS cum_neg,
         sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM c)"""
-_EXP = ", ".join(f"exp(CAST(embedding[{c + 1}] AS DOUBLE)) AS e{c}" for c in CLASSES)
+_DIST = ", ".join(f"max(d) FILTER (WHERE cls = {c}) AS d{c}" for c in CLASSES)
+_EXP = ", ".join(f"coalesce(exp(least - d{c}), 0) AS e{c}" for c in CLASSES)
+_PRED = " ".join(f"WHEN round(d{c}, 9) = round(least, 9) THEN {c}" for c in CLASSES)
 _TOT = " + ".join(f"e{c}" for c in CLASSES)
-MC_SQL = f"""m0 AS (SELECT vec_id, CAST(label AS BIGINT) AS label,
-   CAST(list_position(embedding[1:{N_CLS}], list_max(embedding[1:{N_CLS}])) - 1 AS INTEGER) AS pred, {_EXP}
-   FROM embeddings),
-m AS (SELECT vec_id, label, pred, {", ".join(f"e{c} / ({_TOT}) AS p{c}" for c in CLASSES)} FROM m0)"""
+MC_SQL = f"""cv AS (SELECT label, unnest(range(1, len(embedding) + 1)) AS pos, unnest(embedding) AS x FROM embeddings),
+cm AS (SELECT label, pos, avg(CAST(x AS DOUBLE)) AS m FROM cv GROUP BY 1, 2),
+cc AS (SELECT label AS cls, list(m ORDER BY pos) AS v FROM cm GROUP BY 1),
+dd AS (SELECT vec_id, label, cls, list_sum(list_transform(range(1, len(v) + 1),
+   lambda i: (CAST(embedding[i] AS DOUBLE) - v[i]) * (CAST(embedding[i] AS DOUBLE) - v[i]))) AS d FROM embeddings, cc),
+m1 AS (SELECT vec_id, CAST(label AS BIGINT) AS label, min(d) AS least, {_DIST} FROM dd GROUP BY ALL),
+m0 AS (SELECT vec_id, label, CAST(CASE {_PRED} END AS BIGINT) AS pred, {_EXP} FROM m1),
+m AS (SELECT vec_id, label, pred, {", ".join(f"round(e{c} / ({_TOT}), 9) AS p{c}" for c in CLASSES)} FROM m0)"""
 _LONG = " UNION ALL ".join(f"SELECT label, {c} AS cls, p{c} AS p FROM m" for c in CLASSES)
 LAGS_SQL = """p AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS close
   FROM orders GROUP BY 1, 2),
