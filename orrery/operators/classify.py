@@ -58,6 +58,8 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 
 MAX_CELLS = 4096  # cells of a neighbour search: their centres and bounds are on the driver
 HOME_ROWS = 4  # times k: train rows of the cells that a test row visits first
+HELD = 1 << 19  # distances that a Python worker works on at once
+SENT = 4096  # visits in one batch
 SLACK = 1e-6  # of the coordinates' size: rounding of distances to centres never prunes a neighbour
 
 
@@ -144,7 +146,7 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
     n_cells = len(picked)
     where = _Cells(np.array([r["_v"] for r in picked]), l1)
     width = where.centres.shape[1]
-    step = max(1, (1 << 21) // len(where.centres))
+    step = max(1, HELD // len(where.centres))
 
     def deal(batches):
         for b in batches:
@@ -172,8 +174,9 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
                         size = np.abs(part).max(axis=1, initial=0.0) * width
                         go = ~go & (where.rows > 0) & (where.least_distance(d, size) <= limit[i:i + step, None])
                     row, cell = np.nonzero(go)
-                    rows = b.select(["_id", "_g", "_v"]).take(pa.array(row + i))
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell.astype(np.int32))], names=["_id", "_g", "_v", "cell"])
+                    for j in range(0, len(row), SENT):  # a row is copied for every cell it visits
+                        rows = b.select(["_id", "_g", "_v"]).take(pa.array(row[j:j + SENT] + i))
+                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell[j:j + SENT].astype(np.int32))], names=["_id", "_g", "_v", "cell"])
 
         return queries.mapInArrow(visit, "_id long, _g string, _v array<double>, cell int")
 
@@ -182,18 +185,22 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
     def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
             return out_schema.empty_table()
-        d = _distances(_matrix(a.column("_v"), width), _matrix(b.column("_v"), width), l1)
-        if exclude:
-            ga, gb = (np.array(x.column("_g").to_pylist(), object) for x in (a, b))
-            d[ga[:, None] == gb[None, :]] = np.inf
-        ids = b.column("_id").to_numpy()
-        order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
-        rows, cols = np.repeat(np.arange(len(d)), order.shape[1]), order.ravel()
-        keep = np.isfinite(d[rows, cols])
-        rows, cols = rows[keep], cols[keep]
-        dist = d[rows, cols]
-        return pa.table([a.column("_id").combine_chunks().take(pa.array(rows)), pa.array(ids[cols]),
-                         b.column("_y").combine_chunks().take(pa.array(cols)), pa.array(dist if l1 else np.sqrt(dist))], schema=out_schema)
+        xa, xb = _matrix(a.column("_v"), width), _matrix(b.column("_v"), width)
+        ga, gb = (np.array(x.column("_g").to_pylist(), object) if exclude else None for x in (a, b))
+        ids, labels = b.column("_id").to_numpy(), b.column("_y").combine_chunks()
+        of, out, some = a.column("_id").combine_chunks(), [], max(1, HELD // len(xb))
+        for i in range(0, len(xa), some):
+            d = _distances(xa[i:i + some], xb, l1)
+            if exclude:
+                d[ga[i:i + some, None] == gb[None, :]] = np.inf
+            order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
+            rows, cols = np.repeat(np.arange(len(d)), order.shape[1]), order.ravel()
+            keep = np.isfinite(d[rows, cols])
+            rows, cols = rows[keep], cols[keep]
+            dist = d[rows, cols]
+            out.append(pa.table([of.take(pa.array(rows + i)), pa.array(ids[cols]), labels.take(pa.array(cols)),
+                                 pa.array(dist if l1 else np.sqrt(dist))], schema=out_schema))
+        return pa.concat_tables(out)
 
     def meet(visiting: DataFrame) -> DataFrame:
         """The k nearest of every test row among the cells it visits."""
