@@ -5,6 +5,7 @@ import pytest
 from test_neighbors import brute, clusters, found, frames
 
 from orrery.operators import classify as cl
+from orrery.operators import timetable as tt
 
 
 @pytest.mark.parametrize("metric", ["l1", "l2"])
@@ -15,3 +16,20 @@ def test_neighbours_in_small_pieces(spark, monkeypatch, metric):
     rows = [(i, str(i % 4), x[i]) for i in range(120)]
     df = frames(spark, rows)
     assert found(cl.knn_neighbors(df, df, "id", "y", "v", 6, metric=metric, exclude="g", cells=9)) == brute(rows, rows, 6, metric == "l1", True)
+
+
+def test_tasks_of_conflicts_grow_with_the_pairs(spark, monkeypatch):
+    rows = [(s, c) for s in range(30) for c in range(s % 7)] + [(None, c) for c in range(500)] + [(3, None)]
+    e = spark.createDataFrame(rows, "student long, course long").distinct()
+    monkeypatch.setattr(tt, "PAIRS", 20)
+    want = {(a, b) for s in range(30) for a in range(s % 7) for b in range(s % 7) if a != b}
+    edges = tt.conflict_edges(e)
+    assert sorted(tuple(r) for r in edges.collect()) == sorted(want)
+    tasks = tt.pair_tasks(e)
+    assert 5 < tasks < 12  # 143 pairs and those with a null course; null students have none
+    one, many = (sorted(tuple(r) for r in tt.conflict_bitmaps(edges, t).collect()) for t in (None, tasks))
+    assert one == many
+    plan = tt.conflict_bitmaps(edges, tasks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("bitmap_construct_agg") < plan.index("Exchange")  # edges are shuffled, bitmaps aren't
+    after = plan[plan.index("Exchange"):]
+    assert "bitmap_construct_agg" not in after
