@@ -5,6 +5,7 @@ import pytest
 from test_neighbors import brute, clusters, found, frames
 
 from orrery.operators import classify as cl
+from orrery.operators import recommend as rc
 from orrery.operators import timetable as tt
 
 
@@ -33,3 +34,23 @@ def test_tasks_of_conflicts_grow_with_the_pairs(spark, monkeypatch):
     assert plan.index("bitmap_construct_agg") < plan.index("Exchange")  # edges are shuffled, bitmaps aren't
     after = plan[plan.index("Exchange"):]
     assert "bitmap_construct_agg" not in after
+
+
+@pytest.mark.parametrize("groups, salt", [(1, 10_000), (3, 10_000), (8, 4)])
+def test_item_cosine_by_groups_of_items(spark, groups, salt):
+    rnd = np.random.default_rng(4)
+    rows = [(u, i, float(rnd.integers(0, 9))) for u in range(12) for i in range(14) if rnd.random() < 0.6]
+    rows += [(0, 90, 2.0), (0, 90, 3.0), (None, 1, 5.0), (1, None, 5.0), (2, 91, None), (3, 91, 4.0)]
+    got = {(r.item_a, r.item_b): r.cosine for r in rc.item_cosine(spark.createDataFrame(rows, "user long, item long, rating double"), salt, groups).collect()}
+    norm = {i: sum((r or 0) ** 2 for _, j, r in rows if i == j) ** 0.5 for i in {j for _, j, _ in rows}}
+    want = {}
+    for u, a, x in rows:
+        for v, b, y in rows:
+            if u is not None and u == v and None not in (a, b) and a < b and norm[a] and norm[b]:
+                p = want.setdefault((a, b), [])
+                if x is not None and y is not None:
+                    p.append(x * y / norm[a] / norm[b])
+    want = {k: sum(p) if p else None for k, p in want.items()}
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-9) if v is not None else got[k] is None
