@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.columns import AS_B, AS_P, normal_cdf, soft_threshold  # noqa: F401
-
+from orrery.session import cut_lineage
 
 
 # ---------------------------------------------------------------- scalar helpers
@@ -164,7 +164,8 @@ def reg_path(df: DataFrame, y: str, xs: list[str], run: str, set_col: str,
     """Penalty grid × runs. Per run the Gram of the 'train', 'validation' and 'test'
     rows is computed by one aggregation; each (l1, l2) is fitted on train and
     scored on all three sets from their statistics. Returns (mse, betas):
-    mse = (run, l1, l2, set, mse), betas = (run, l1, l2, feature, beta)."""
+    mse = (run, l1, l2, set, mse), betas = (run, l1, l2, feature, beta). The fits are
+    written once (runs x grid rows), so reading both tables does not read ``df`` again."""
     p = len(xs)
     g = gram_stats(df, y, xs, [run, set_col])
     grid = list(itertools.product(l1_grid, l2_grid))
@@ -186,8 +187,8 @@ def reg_path(df: DataFrame, y: str, xs: list[str], run: str, set_col: str,
                 out.append((r_id, l1, l2, "beta", xs[j], float(b[j])))
         return pd.DataFrame(out, columns=["run", "l1", "l2", "kind", "name", "value"])
 
-    res = g.groupBy(run).applyInPandas(
-        fit_run, "run long, l1 double, l2 double, kind string, name string, value double")
+    res = cut_lineage(g.groupBy(run).applyInPandas(
+        fit_run, "run long, l1 double, l2 double, kind string, name string, value double"))
     mse = res.filter(F.col("kind") == "mse").select("run", "l1", "l2", F.col("name").alias("set"),
                                                     F.col("value").alias("mse"))
     betas = res.filter(F.col("kind") == "beta").select("run", "l1", "l2", F.col("name").alias("feature"),

@@ -137,6 +137,23 @@ def test_reg_path_select_picks_min_validation(spark):
     assert (sel.l1, sel.l2) == best
 
 
+def test_reg_path_reads_its_rows_twice(spark):
+    """Selecting from the path reads the rows for the means and the products, not again per result."""
+    from orrery.plans.regress import L1_GRID, L2_GRID, XS, Y, regression_rows
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    rows = regression_rows(spark, SF_SMALL)
+    n, rows = rows.count(), rows.mapInPandas(seen, rows.schema)
+    mse, betas = rg.reg_path(rows, Y, XS, "run", "set", L1_GRID[:2], L2_GRID[:2])
+    assert len(rg.reg_path_select(mse, betas).collect()) == 1
+    assert 0 < read.value <= 2 * n
+
+
 def test_stream_equals_batch(spark):
     got = E.queries()["stream_ingest"](spark, SF_SMALL).count()
     assert got == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
