@@ -1,22 +1,20 @@
-"""MinHash near-duplicates by a signature-coordinate inverted join.
-
-1. A document's shingle set gives a signature of ``coords`` minima. Documents with equal
-   sets (by a 128-bit digest) form one class; classes are what is compared below.
-2. Every (coordinate, value) pair of a signature is a posting. Two classes whose sets
-   have the similarity asked for agree in at least ``min_matches`` coordinates but for a
-   probability below ``miss``; by the prefix principle they then share ``COLLISIONS``
-   postings among the ``coords - min_matches + COLLISIONS`` rarest of each, so only those
-   are kept, values that occur once (which collide with nothing) counted first.
+"""MinHash near-duplicates by bands of signature coordinates.
+
+1. A document's shingle set gives a signature of minima. Documents with equal sets (by a
+   128-bit digest) form one class; classes are what is compared below.
+2. The minima are cut into bands of ``WIDTH`` (fewer at a low similarity), and each band
+   is a posting. There are so many bands that two classes whose sets have the similarity
+   asked for agree in one but for a probability below ``MISS``, while classes that only
+   share some shingles hardly ever do. Bands that occur once collide with nothing and are
+   dropped.
 3. Within a posting list, classes are paired with one pivot, not with each other, and of
    its pivots a class takes the one it collides with most often. Pairs of too different
-   size or that agree in too few coordinates are skipped; the other links are merged into
-   components. With other pivots this repeats for lists that still hold several components,
-   until few pairs are open or a round leaves more than half of them. Then the pairs of a
-   list whose two sides are in different components count their collisions, and those with
-   enough are compared. So no link between different components is lost and no list is
-   expanded into all its pairs.
-4. Step 3 runs on the signatures first. Inside its components it then runs on the full
-   sets, which only the members of components need.
+   size or that agree in too few minima are skipped, the others are compared on their full
+   sets; the links are merged into components. With other pivots this repeats for lists
+   that still hold several components, until few pairs are open or a round leaves more
+   than half of them. Then the pairs of a list whose two sides are in different components
+   are compared. So no link between different components is lost and no list is expanded
+   into all its pairs. Full sets are made only of classes that share a posting.
 """
 
 from __future__ import annotations
@@ -31,12 +29,11 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import materialize, read_table
 from orrery.llm.components import components
-from orrery.llm.shingles import Hasher, mix, shingles
+from orrery.llm.shingles import M3, Hasher, mix, shingles
 
-COORDS = 32
 MISS = 1e-6
+WIDTH = 4  # minima per band
 ROUNDS = 4
-COLLISIONS = 3  # postings that a pair must share
 OPEN_PAIRS = 16  # pairs per list entry that may be compared without another round of pivots
 
 
@@ -51,20 +48,36 @@ def min_matches(coords: int, percent: int, miss: float = MISS) -> int:
     return max(1, t)
 
 
+def banding(percent: int, miss: float = MISS) -> tuple[int, int]:
+    """(minima per band, minima per signature, a multiple of 4): sets of the similarity share
+    no band with a probability of at most ``miss``."""
+    p = percent / 100
+    width = WIDTH if p >= 0.7 else 2 if p >= 0.4 else 1
+    bands = 1 if p >= 1 else math.ceil(math.log(miss) / math.log1p(-p ** width))
+    return width, 4 * -(-bands * width // 4)
+
+
 def row_key(doc_id, text):
     """128-bit key of a row's id and text."""
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("\n"), F.coalesce(text, F.lit("")))))
 
 
 def signatures(docs: DataFrame, n: int, coords: int) -> DataFrame:
-    """doc_id, row_key, n_shingles, node (128-bit digest of the set), sig (32-bit minima)
-    per row of (doc_id, text, row_key); node and sig are null for an empty set."""
-    seeds = mix(np.arange(1, coords + 1, dtype=np.uint64))[:, None]
-    kinds = [("doc_id", pa.int64()), ("row_key", pa.binary()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int32()))]
+    """doc_id, row_key, n_shingles, node (128-bit digest of the set), sig (16 bits of each
+    of the ``coords`` minima, four in a long) per row of (doc_id, text, row_key); node and
+    sig are null for an empty set."""
+    seeds = (mix(np.arange(1, coords + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
+    kinds = [("doc_id", pa.int64()), ("row_key", pa.binary()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int64()))]
 
     def minima(s):
-        low = [mix(s[i:i + 4096] ^ seeds).min(1) for i in range(0, len(s), 4096)]
-        return (np.min(low, axis=0) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        s, low = (s >> np.uint64(32)).astype(np.uint32), None
+        for i in range(0, len(s), 1024):
+            x = s[i:i + 1024] * seeds
+            x ^= x >> np.uint32(15)
+            x *= np.uint32(0x2C1B3C6D)
+            low = x.min(1) if low is None else np.minimum(low, x.min(1))
+        # minima are small numbers: mixed before 16 bits are kept
+        return (mix(low.astype(np.uint64) * M3) >> np.uint64(48)).astype("<u2").view("<i8")
 
     def sign(batches):
         hasher = Hasher()
@@ -77,10 +90,10 @@ def signatures(docs: DataFrame, n: int, coords: int) -> DataFrame:
                 with np.errstate(over="ignore"):
                     sig.append(minima(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row_key").cast(pa.binary()), pa.array(size, pa.int64()),
-                                              pa.array(node, pa.binary()), pa.array(sig, pa.list_(pa.int32()))], schema=pa.schema(kinds))
+                                              pa.array(node, pa.binary()), pa.array(sig, pa.list_(pa.int64()))], schema=pa.schema(kinds))
 
     return docs.select("doc_id", "text", "row_key").mapInArrow(
-        sign, "doc_id long, row_key binary, n_shingles long, node binary, sig array<int>")
+        sign, "doc_id long, row_key binary, n_shingles long, node binary, sig array<long>")
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -113,18 +126,14 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "set_a", "set_b").mapInArrow(similar, "a binary, b binary")
 
 
-def postings(nodes: DataFrame, coords: int, matches: int) -> DataFrame:
-    """(token, node): each class under the rarest of its signature's coordinate values."""
-    # coordinate and value in one long
-    token = lambda v, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    t = nodes.select("node", F.explode(F.transform("sig", token)).alias("token"))
-    seen = t.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    shared = (t.join(seen, "token").groupBy("node")
-               .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared")))  # coords entries at most
-    prefix = F.lit(min(coords, coords - matches + COLLISIONS)) - (F.lit(coords) - F.size("shared"))
-    return (shared.filter(F.size("shared") >= matches)
-                  .select("node", F.explode(F.slice("shared", F.lit(1), F.greatest(F.lit(0), prefix))).alias("x"))
-                  .select("x.token", "node"))
+def postings(nodes: DataFrame, width: int) -> DataFrame:
+    """(token, node, m): each class under those bands of its signature that others share."""
+    bits = 16 * width
+    part = lambda v, k: v if bits == 64 else F.shiftrightunsigned(v, bits * k).bitwiseAND(F.lit((1 << bits) - 1))
+    tokens = F.flatten(F.transform("sig", lambda v, i: F.array(*[F.xxhash64(i, F.lit(k), part(v, k)) for k in range(64 // bits)])))
+    t = nodes.select("node", "m", F.explode(tokens).alias("token"))
+    seen = t.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("token")
+    return t.join(seen, "token").select("token", "node", "m")
 
 
 def classes(docs: DataFrame, n: int, coords: int) -> tuple[DataFrame, DataFrame]:
@@ -138,14 +147,12 @@ def classes(docs: DataFrame, n: int, coords: int) -> tuple[DataFrame, DataFrame]
     return signed, materialize(nodes, "nodes")
 
 
-def linked(posted: DataFrame, test, percent: int, matches: int, rounds: int) -> DataFrame | None:
+def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | None:
     """(node, component) by links that share a list of ``posted`` (token, node, m), have sizes
     m that allow the similarity and pass ``test`` (pairs a, b → those that do); None if no
     list holds two nodes. Nodes without a link may be missing."""
-    label, edges = None, None
+    p, edges = posted.withColumn("component", F.col("node")), None
     for r in range(rounds + 1):
-        p = posted.withColumn("component", F.col("node")) if label is None else (
-            posted.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
         # lists that hold several components, and the component most of a list is in
         per = p.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
         lists = (per.groupBy("token").agg(F.max(F.struct("k", "component")).alias("main"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("comps"))
@@ -163,8 +170,6 @@ def linked(posted: DataFrame, test, percent: int, matches: int, rounds: int) ->
             # a pair once per list, by its smaller node if neither is of the main component
             once = (F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))
             pairs = a.filter("cx != main").join(b, "token").filter(fits & once)
-            pairs = (pairs.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("hits"))
-                          .filter(F.col("hits") >= min(COLLISIONS, matches)).select("x", "y"))
         else:
             pivot = b.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(r), "y").alias("h"), "y", "cy", "my")).alias("v")).select("token", "v.*")
             pairs = a.join(pivot, "token").filter(fits)
@@ -176,34 +181,31 @@ def linked(posted: DataFrame, test, percent: int, matches: int, rounds: int) ->
         if last:
             break
         label = materialize(components(edges, rounds=2), "label")  # enough to see what is open
+        # only lists that were open can be open again
+        p = p.select("token", "node", "m").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return None if edges is None else components(edges)
 
 
-def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int, rounds: int = ROUNDS) -> DataFrame | None:
+def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int, width: int, rounds: int = ROUNDS) -> DataFrame | None:
     """(node, component) for every class that links with another; ``component`` is a node."""
     matches = min_matches(coords, percent)
-    brief = nodes.select("node", "sig")
-    posted = materialize(postings(nodes, coords, matches).join(nodes.select("node", "m"), "node"), "postings")
+    posted = materialize(postings(nodes, width), "postings")
+    brief = materialize(nodes.join(posted, "node", "left_semi").select("node", "sig", F.col("first_key").alias("row_key")), "brief")
+    texts = docs.select("row_key", "text").join(brief.select("node", "row_key"), "row_key").dropDuplicates(["row_key"])
+    sets = materialize(shingle_sets(texts, n), "sets")
+    lanes = lambda x: sum((F.shiftrightunsigned(x, 16 * k).bitwiseAND(F.lit(0xFFFF)) == 0).cast("int") for k in range(4))
+    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: x.bitwiseXOR(y)), F.lit(0), lambda have, x: have + lanes(x))
 
-    def alike(pairs: DataFrame) -> DataFrame:
+    def similar(pairs: DataFrame) -> DataFrame:
         p = (pairs.join(brief.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
                   .join(brief.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b"))
-        return p.filter(F.size(F.filter(F.arrays_zip("sa", "sb"), lambda x: x["sa"] == x["sb"])) >= matches).select("a", "b")
-
-    # links lie inside the components by signatures alone: full sets are needed of their members only
-    rough = linked(posted, alike, percent, matches, rounds)
-    if rough is None:
-        return None
-    rough = materialize(rough.withColumnRenamed("component", "rough"), "rough")
-    wanted = nodes.join(rough, "node", "left_semi").select("node", F.col("first_key").alias("row_key"))
-    texts = docs.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
-    sets = materialize(shingle_sets(texts, n), "sets")
-    inside = posted.join(rough, "node").select(F.struct("token", "rough").alias("token"), "node", "m")
-    return linked(materialize(inside, "postings"), lambda pairs: confirm(alike(pairs), sets, percent), percent, matches, rounds)
+        return confirm(p.filter(same >= matches).select("a", "b"), sets, percent)
+
+    return linked(posted, similar, percent, rounds)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
-                    coords: int = COORDS, rounds: int = ROUNDS) -> DataFrame:
+                    coords: int | None = None, rounds: int = ROUNDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, row_key (see there), n_shingles, component_id, kept.
 
     ``component_id`` is the smallest id of the documents reachable by links of at least
@@ -211,12 +213,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_id = component_id. Null or wordless text: no shingles, linked with nothing.
     Repeated rows and ids are rows of their own. Null ids are never the smallest: a
     component of none but null ids has a null component_id and all its rows kept. An
-    empty table gives an empty result. Other columns are not read.
+    empty table gives an empty result. Other columns are not read. ``coords`` minima are
+    taken per set, or as many as ``percent`` asks for if that is more or it is not given.
     """
+    if not 0 < percent <= 100:
+        raise ValueError("percent must lie in (0, 100]")
+    width, enough = banding(percent)
+    coords = max(enough, 4 * -(-(coords or 0) // 4))
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                     row_key(F.col(doc_id), F.col(text)).alias("row_key"))
     signed, nodes = classes(d, n, coords)
-    label = links(d, nodes, n, percent, coords, rounds)
+    label = links(d, nodes, n, percent, coords, width, rounds)
     first = nodes.select("node", "first_id").withColumn("component", F.col("node")) if label is None else (
         nodes.select("node", "first_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
     smallest = first.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -285,6 +285,31 @@ def test_near_duplicates_equal_brute_force(spark, rounds, monkeypatch):
     assert all(got[i]["kept"] == (want[i] == i) for i in range(len(texts)))
 
 
+def test_near_duplicates_post_only_what_is_alike(spark, monkeypatch):
+    """Texts that share frequent word pairs, but aren't alike, share hardly any posting."""
+    rnd, posted, write = random.Random(5), [], near_dedup.materialize
+
+    def counted(df, label):
+        out = write(df, label)
+        posted.extend([out.count()] if label == "postings" else [])
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialize", counted)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rnd.choice(words) for _ in range(80)) for _ in range(200)]
+    texts += [" ".join(t.split()[:-1] + ["end"]) for t in texts[:10]]  # and ten that are
+    want, _ = plain_components(texts, 2, 80)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs_of(spark, texts), n=2).collect()}
+    assert [got[i] for i in range(len(texts))] == want and len(set(want)) == 200
+    assert sum(posted) < 5 * len(texts)
+
+
+@pytest.mark.parametrize("percent", [20, 50, 80, 95, 100])
+def test_banding_meets_its_bound(percent):
+    width, coords = near_dedup.banding(percent)
+    assert coords % 4 == 0 and (1 - (percent / 100) ** width) ** (coords // width) <= near_dedup.MISS
+
+
 def test_near_duplicates_edge_cases(odd, nothing):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == 11 and near_dedup.near_duplicates(nothing).count() == 0
