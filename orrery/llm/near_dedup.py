@@ -7,14 +7,18 @@
    asked for agree in one but for a probability below ``MISS``, while classes that only
    share some shingles hardly ever do. Bands that occur once collide with nothing and are
    dropped.
-3. Within a posting list, classes are paired with one pivot, not with each other, and of
-   its pivots a class takes the one it collides with most often. Pairs of too different
-   size or that agree in too few minima are skipped, the others are compared on their full
-   sets; the links are merged into components. With other pivots this repeats for lists
-   that still hold several components, until few pairs are open or a round leaves more
-   than half of them. Then the pairs of a list whose two sides are in different components
-   are compared. So no link between different components is lost and no list is expanded
-   into all its pairs. Full sets are made only of classes that share a posting.
+3. Short posting lists are expanded into their pairs. Pairs of too different size or that
+   agree in too few minima are skipped, the others are compared on their full sets.
+4. In a long list, classes are paired with one pivot, not with each other, and of its
+   pivots a class takes the one it collides with most often; links are merged into
+   components. With other pivots this repeats for lists that still hold several components,
+   until few are left or a round leaves more than half of the pairs.
+5. What is open then is compared in blocks: the classes of the long lists are dealt to
+   blocks, those of a list's main component to blocks of their own, and two blocks that
+   meet in a list are compared in one task, all sets of one with all of the other, unless
+   they are of one component. So no link between different components is lost, no list is
+   expanded into all its pairs, and a task holds two blocks. Full sets are made only of
+   classes that share a posting.
 """
 
 from __future__ import annotations
@@ -34,7 +38,9 @@ from orrery.llm.shingles import M3, Hasher, mix, shingles
 MISS = 1e-6
 WIDTH = 4  # minima per band
 ROUNDS = 4
-OPEN_PAIRS = 16  # pairs per list entry that may be compared without another round of pivots
+OPEN_PAIRS = 16  # pairs per list entry up to which a list is expanded into its pairs
+BLOCK, BLOCK_SHINGLES = 256, 1 << 16  # classes and shingles of a block, about; one class at least
+COLUMNS = 4096  # shingles by which two blocks are multiplied at a time
 
 
 def min_matches(coords: int, percent: int, miss: float = MISS) -> int:
@@ -126,14 +132,83 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "set_a", "set_b").mapInArrow(similar, "a binary, b binary")
 
 
+def block_links(percent: int):
+    """Task function: the rows (side, node, component, set) of two blocks, or of one → (a, b)
+    that connect what links between different components connect."""
+
+    def flat(sets):
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.array([len(s) for s in sets])
+
+    def run(rows: pa.Table) -> pa.Table:
+        nodes = rows.column("node").to_pylist()
+        known: dict = {}
+        comp = np.array([known.setdefault(c, len(known)) for c in rows.column("component").to_pylist()])
+        sets = [np.frombuffer(s.as_py(), np.uint64) for s in rows.column("set")]
+        side = rows.column("side").to_numpy()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(right):
+            right = left
+        (x, i, nx), (y, j, ny) = flat([sets[k] for k in left]), flat([sets[k] for k in right])
+        shared = np.intersect1d(x, y)
+        both = np.zeros((len(left), len(right)))
+        for k in range(0, len(shared), COLUMNS):
+            part = shared[k:k + COLUMNS]
+
+            def has(v, row, n):
+                at = np.minimum(np.searchsorted(part, v), len(part) - 1)
+                ok = part[at] == v
+                m = np.zeros((n, len(part)), np.float32)
+                m[row[ok], at[ok]] = 1
+                return m
+
+            both += has(x, i, len(left)) @ has(y, j, len(right)).T
+        both = both.astype(np.int64)
+        link = (100 * both >= percent * (nx[:, None] + ny[None, :] - both)) & (comp[left][:, None] != comp[right][None, :])
+        # the least row that links lead to
+        least, far = np.arange(len(nodes)), len(nodes)
+        while True:
+            now = least.copy()
+            now[left] = np.minimum(now[left], np.where(link, now[right][None, :], far).min(1))
+            now[right] = np.minimum(now[right], np.where(link, now[left][:, None], far).min(0))
+            if (now == least).all():
+                break
+            least = now
+        moved = np.flatnonzero(least != np.arange(len(nodes)))
+        return pa.table({"a": pa.array([nodes[k] for k in moved], pa.binary()), "b": pa.array([nodes[k] for k in least[moved]], pa.binary())})
+
+    return run
+
+
+def blockwise(p: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) that connect what links between different components of the lists ``p``
+    (token, node, component, m, main, all) connect."""
+    # a class goes with its longest list, apart if it is of the main component there
+    home = (p.groupBy("node").agg(F.first("component").alias("component"), F.first("m").alias("m"), F.max(F.struct("all", "token", "main")).alias("h"))
+             .select("node", "component", "m", F.when(F.col("component") == F.col("h.main"), F.col("component")).alias("pure"), F.col("h.token").alias("home"))
+             .withColumn("part", F.xxhash64("home", "pure")))
+    dealt = home.groupBy("part").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("m") / BLOCK_SHINGLES)).alias("n"))
+    placed = materialize(home.join(dealt, "part").select(
+        "node", "component", "pure", F.xxhash64("part", F.pmod(F.xxhash64(F.lit(-1), "node"), "n")).alias("block")), "placed")
+    met = p.select("token", "node").join(placed, "node").select("token", "block", "pure").distinct()
+    a, b = met.select("token", F.col("block").alias("x"), F.col("pure").alias("px")), met.select("token", F.col("block").alias("y"), F.col("pure").alias("py"))
+    pairs = materialize(a.join(b, "token").filter((F.col("x") <= F.col("y")) & F.coalesce(F.col("px") != F.col("py"), F.lit(True)))
+                         .select("x", "y").distinct(), "blocks")
+    members = materialize(placed.join(sets, "node").select("block", "node", "component", "set"), "members")
+    left = pairs.withColumn("side", F.lit(0)).withColumn("block", F.col("x"))
+    right = pairs.filter("x < y").withColumn("side", F.lit(1)).withColumn("block", F.col("y"))
+    return left.unionByName(right).join(members, "block").select("x", "y", "side", "node", "component", "set").groupBy("x", "y").applyInArrow(
+        block_links(percent), "a binary, b binary")
+
+
 def postings(nodes: DataFrame, width: int) -> DataFrame:
-    """(token, node, m): each class under those bands of its signature that others share."""
+    """(token, node, m, df): each class under those bands of its signature that others share,
+    and how many classes have the band."""
     bits = 16 * width
     part = lambda v, k: v if bits == 64 else F.shiftrightunsigned(v, bits * k).bitwiseAND(F.lit((1 << bits) - 1))
     tokens = F.flatten(F.transform("sig", lambda v, i: F.array(*[F.xxhash64(i, F.lit(k), part(v, k)) for k in range(64 // bits)])))
     t = nodes.select("node", "m", F.explode(tokens).alias("token"))
-    seen = t.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("token")
-    return t.join(seen, "token").select("token", "node", "m")
+    seen = t.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    return t.join(seen, "token").select("token", "node", "m", "df")
 
 
 def classes(docs: DataFrame, n: int, coords: int) -> tuple[DataFrame, DataFrame]:
@@ -147,12 +222,22 @@ def classes(docs: DataFrame, n: int, coords: int) -> tuple[DataFrame, DataFrame]
     return signed, materialize(nodes, "nodes")
 
 
-def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | None:
-    """(node, component) by links that share a list of ``posted`` (token, node, m), have sizes
-    m that allow the similarity and pass ``test`` (pairs a, b → those that do); None if no
-    list holds two nodes. Nodes without a link may be missing."""
-    p, edges = posted.withColumn("component", F.col("node")), None
-    for r in range(rounds + 1):
+def linked(posted: DataFrame, test, sets: DataFrame, percent: int, rounds: int) -> DataFrame:
+    """(node, component) by links that share a list of ``posted`` (token, node, m, df) and have
+    sizes m that allow the similarity. Links pass ``test`` (pairs a, b → those that do) or,
+    in long lists after ``rounds`` of pivots, are found on the ``sets`` of whole blocks.
+    Nodes without a link may be missing."""
+    fits = F.least("mx", "my") * 100 >= F.greatest("mx", "my") * percent
+    side = lambda d, x: d.select("token", *[F.col(c).alias(to + x) for c, to in (("node", ""), ("component", "c"), ("m", "m")) if c in d.columns])
+    ordered = lambda d: d.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    short = F.col("df") <= 2 * OPEN_PAIRS + 1
+    some = posted.filter(short)
+    edges = materialize(test(ordered(side(some, "x").join(side(some, "y"), "token").filter((F.col("x") < F.col("y")) & fits))), "links")
+    p = posted.filter(~short)
+    for r in range(0 if p.isEmpty() else rounds + 1):
+        label = materialize(components(edges, rounds=2), "label")  # enough to see what is open
+        # only lists that were open can be open again
+        p = p.select("token", "node", "m").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
         # lists that hold several components, and the component most of a list is in
         per = p.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
         lists = (per.groupBy("token").agg(F.max(F.struct("k", "component")).alias("main"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("comps"))
@@ -161,32 +246,20 @@ def linked(posted: DataFrame, test, percent: int, rounds: int) -> DataFrame | No
         size = p.agg(F.sum(F.when(F.col("component") != F.col("main"), F.col("all"))).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
         if not size["rows"]:
             break
-        last = r == rounds or size["pairs"] <= OPEN_PAIRS * size["rows"] or (r > 0 and 2 * size["pairs"] > before)
-        before = size["pairs"]
-        a = p.select("token", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("m").alias("mx"), "main")
-        b = p.select("token", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("m").alias("my"))
-        fits = (F.col("cx") != F.col("cy")) & (F.least("mx", "my") * 100 >= F.greatest("mx", "my") * percent)
-        if last:
-            # a pair once per list, by its smaller node if neither is of the main component
-            once = (F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))
-            pairs = a.filter("cx != main").join(b, "token").filter(fits & once)
-        else:
-            pivot = b.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(r), "y").alias("h"), "y", "cy", "my")).alias("v")).select("token", "v.*")
-            pairs = a.join(pivot, "token").filter(fits)
-            # of a class's pivots, the one it collides with most often
-            pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("hits")).groupBy("x").agg(F.max(F.struct("hits", "y")).alias("v"))
-            pairs = pairs.select("x", F.col("v.y").alias("y"))
-        found = materialize(test(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        if last:
+        if r == rounds or (r > 0 and 2 * size["pairs"] > before):
+            edges = edges.unionByName(materialize(blockwise(p, sets, percent), "links"))
             break
-        label = materialize(components(edges, rounds=2), "label")  # enough to see what is open
-        # only lists that were open can be open again
-        p = p.select("token", "node", "m").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return None if edges is None else components(edges)
+        before = size["pairs"]
+        b = side(p, "y")
+        pivot = b.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(r), "y").alias("h"), "y", "cy", "my")).alias("v")).select("token", "v.*")
+        pairs = side(p, "x").join(pivot, "token").filter((F.col("cx") != F.col("cy")) & fits)
+        # of a class's pivots, the one it collides with most often
+        pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("hits")).groupBy("x").agg(F.max(F.struct("hits", "y")).alias("v"))
+        edges = edges.unionByName(materialize(test(ordered(pairs.select("x", F.col("v.y").alias("y")))), "links"))
+    return components(edges)
 
 
-def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int, width: int, rounds: int = ROUNDS) -> DataFrame | None:
+def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int, width: int, rounds: int = ROUNDS) -> DataFrame:
     """(node, component) for every class that links with another; ``component`` is a node."""
     matches = min_matches(coords, percent)
     posted = materialize(postings(nodes, width), "postings")
@@ -201,7 +274,7 @@ def links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, coords: int,
                   .join(brief.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b"))
         return confirm(p.filter(same >= matches).select("a", "b"), sets, percent)
 
-    return linked(posted, similar, percent, rounds)
+    return linked(posted, similar, sets, percent, rounds)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
@@ -224,8 +297,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     row_key(F.col(doc_id), F.col(text)).alias("row_key"))
     signed, nodes = classes(d, n, coords)
     label = links(d, nodes, n, percent, coords, width, rounds)
-    first = nodes.select("node", "first_id").withColumn("component", F.col("node")) if label is None else (
-        nodes.select("node", "first_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    first = nodes.select("node", "first_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = first.groupBy("component").agg(F.min("first_id").alias("component_id"))
     first = first.join(smallest, "component").select(F.col("node").alias("__node"), "component_id")
     out = signed.join(first, signed.node == first["__node"], "left")

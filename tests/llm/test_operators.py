@@ -304,6 +304,33 @@ def test_near_duplicates_post_only_what_is_alike(spark, monkeypatch):
     assert sum(posted) < 5 * len(texts)
 
 
+@pytest.mark.parametrize("block", [7, 1000])
+def test_near_duplicates_compare_a_dense_group_in_blocks(spark, monkeypatch, block):
+    """Near copies of one text, half of them too far from the others: few pairs are compared one by one."""
+    rnd, compared, confirm = random.Random(6), [], near_dedup.confirm
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return confirm(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "confirm", counted)
+    monkeypatch.setattr(near_dedup, "OPEN_PAIRS", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK", block, raising=False)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 64, raising=False)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(120):
+        copy = list(base)
+        for k in rnd.sample(range(120), rnd.choice([3, 4, 8, 9])):
+            copy[k] = f"e{i}w{k}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(f"u{i}w{k}" for k in range(40)) for i in range(5)]
+    want, _ = plain_components(texts, 2, 80)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs_of(spark, texts), n=2).collect()}
+    assert [got[i] for i in range(len(texts))] == want and 2 < len(set(want)) < len(texts)
+    assert sum(compared) < 1000
+
+
 @pytest.mark.parametrize("percent", [20, 50, 80, 95, 100])
 def test_banding_meets_its_bound(percent):
     width, coords = near_dedup.banding(percent)
