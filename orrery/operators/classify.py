@@ -59,6 +59,8 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 MAX_CELLS = 4096  # cells of a neighbour search: their centres and bounds are on the driver
 HOME_ROWS = 4  # times k: train rows of the cells that a test row visits first
 HELD = 1 << 19  # distances that a Python worker works on at once
+NEAR = 1 << 16  # of them, kept in the processor's cache while they are summed
+BLOCKS = 12  # blocks that the train rows are cut into, while a block has 1,024 to 16,384 rows
 SENT = 4096  # visits in one batch
 SLACK = 1e-6  # of the coordinates' size: rounding of distances to centres never prunes a neighbour
 
@@ -82,6 +84,52 @@ def _distances(xa: np.ndarray, xb: np.ndarray, l1: bool) -> np.ndarray:
     return d
 
 
+def _pair_distances(xa: np.ndarray, xb: np.ndarray, l1: bool) -> np.ndarray:
+    """``_distances`` of the pairs of rows at the same place: the same sums in the same order."""
+    d = np.zeros(len(xa))
+    for j in range(xa.shape[1]):
+        diff = xa[:, j] - xb[:, j]
+        d += np.abs(diff) if l1 else diff * diff
+    return d
+
+
+def _cuts(rows: np.ndarray, held: int):
+    """Pieces of ``rows`` (ascending) of about ``held`` that don't cut a run of equal ones."""
+    lo = 0
+    while lo < len(rows):
+        hi = len(rows) if len(rows) - lo <= held else max(np.searchsorted(rows, rows[lo + held]), np.searchsorted(rows, rows[lo], "right"))
+        yield lo, int(hi)
+        lo = int(hi)
+
+
+def _near_distances(xa: np.ndarray, xb: np.ndarray, l1: bool):
+    """Distances as ``_distances`` gives them, but for rounding (the second result, per row of
+    ``xa`` and on top of what a distance itself asks for: the third, relative), quickly: squares by
+    a matrix product, absolute differences in single precision, a piece of the cache at a time."""
+    width, most = xa.shape[1], max(np.abs(xa).max(initial=0.0), np.abs(xb).max(initial=0.0))
+    if not most < 1e15:  # also infinite values: no shorter way
+        return _distances(xa, xb, l1), 0.0, 0.0
+    if not l1:
+        d = (xa * xa).sum(axis=1)[:, None] + (xb * xb).sum(axis=1)[None, :]
+        d -= 2 * (xa @ xb.T)
+        return d, 16 * (width + 4) * np.finfo(np.float64).eps * width * most * most, 0.0
+    a, b = xa.astype(np.float32), np.ascontiguousarray(xb.T, dtype=np.float32)
+    d = np.zeros((len(xa), len(xb)), np.float32)
+    cols = min(len(xb), 1024)
+    rows = max(1, NEAR // cols)
+    held = np.empty((rows, cols), np.float32)
+    for i in range(0, len(xa), rows):
+        for j in range(0, len(xb), cols):
+            part = d[i:i + rows, j:j + cols]
+            diff = held[:part.shape[0], :part.shape[1]]
+            for f in range(width):
+                np.subtract(a[i:i + rows, f, None], b[None, f, j:j + cols], out=diff)
+                np.abs(diff, out=diff)
+                part += diff
+    eps = float(np.finfo(np.float32).eps)
+    return d, 4 * width * eps * most + 1e-30, 2 * (width + 4) * eps
+
+
 class _Cells:
     """Centres of the cells of a neighbour search; ``rows``, ``least`` and ``most`` per cell:
     its train rows and the bounds of their distances to the centre."""
@@ -97,6 +145,17 @@ class _Cells:
         d = (x * x).sum(axis=1)[:, None] + self.norms[None, :] - 2 * x @ self.centres.T
         return np.sqrt(np.maximum(d, 0))
 
+    def groups(self, wanted: int) -> np.ndarray:
+        """The group of every cell: neighbouring cells up to about ``wanted`` train rows."""
+        heads = self.centres[:max(1, -(-int(self.rows.sum()) // wanted))]
+        d = _Cells(heads, self.l1).distances(self.centres)
+        near = d.argmin(axis=1)
+        order = np.lexsort((d.min(axis=1), near))
+        before = np.cumsum(self.rows[order]) - self.rows[order]
+        out = np.zeros(len(order), np.int64)
+        out[order] = np.unique(before // wanted, return_inverse=True)[1]
+        return out
+
     def home(self, d: np.ndarray, wanted: int) -> np.ndarray:
         """Which cells each test row visits first: its nearest ones, until they hold ``wanted``
         train rows."""
@@ -115,7 +174,7 @@ class _Cells:
 
 
 def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, feats: list[str] | str,
-                  k: int, metric: str = "l2", block: int = 2048, exclude: str | None = None,
+                  k: int, metric: str = "l2", block: int | None = None, exclude: str | None = None,
                   cells: int | None = None) -> DataFrame:
     """(test_id, nb_id, nb_label, dist, nb_rank) for the k nearest train rows of every
     test row, exactly. Ties in distance are broken by the smaller train id. With
@@ -124,11 +183,13 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
     are nor have neighbours.
 
     Train rows are dealt to cells by their nearest centre (about the square root of their
-    number of rows, ``MAX_CELLS`` at most). A test row first visits its nearest cells,
-    which gives a k-th distance, then the cells that may hold a row that is not farther:
-    their bound is at most that distance. A test row is sent to the cells it visits only,
-    a train row to one cell; large cells and much-visited ones are split into blocks, so
-    that a task holds at most ``block`` x ``block`` distances.
+    number of rows, ``MAX_CELLS`` at most), neighbouring cells to groups of about ``block``
+    rows. A test row first visits the groups of its nearest cells, which gives a k-th distance,
+    then the groups with a cell that may hold a row that is not farther: its bound is at
+    most that distance. A test row is sent once to a group that it visits, however many of
+    its cells it asks for, a train row to one group; groups are split into blocks, so that
+    a task holds at most about ``block`` x ``block`` rows. Distances are first found but
+    for rounding, and those that may be among the k nearest then exactly.
     """
     l1 = metric == "l1"
     skip = F.col(exclude).cast("string") if exclude else F.lit(None).cast("string")
@@ -141,6 +202,7 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
     if not n:
         return empty
     n_cells = cells or min(MAX_CELLS, math.ceil(math.sqrt(n)))
+    block = block or min(16384, max(1024, -(-n // BLOCKS)))
     # centres: the first rows in hash order, a bounded sample that only sets the cells' shape
     picked = tr.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(n_cells).select("_v").collect()
     n_cells = len(picked)
@@ -160,25 +222,33 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
     for r in dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("_d").alias("a"), F.max("_d").alias("b")).collect():  # a row per cell
         where.rows[r["cell"]], where.least[r["cell"]], where.most[r["cell"]] = r["n"], r["a"], r["b"]
 
+    group = where.groups(block)
+    n_groups = int(group.max()) + 1
+    by_group = np.argsort(group, kind="stable")
+    starts = np.searchsorted(group[by_group], np.arange(n_groups))
+    dealt = dealt.withColumn("cell", F.element_at(F.array(*[F.lit(int(g)) for g in group]), F.col("cell") + 1))  # the group from here on
+    group_rows = np.bincount(group, weights=where.rows, minlength=n_groups).astype(np.int64)
+
     def visits(queries: DataFrame, again: bool) -> DataFrame:
-        """queries by the cells they visit: first at home, then the others within ``_t``."""
+        """queries by the groups they visit: first at home, then the others within ``_t``."""
         def visit(batches):
+            any_of = lambda go: np.logical_or.reduceat(go[:, by_group], starts, axis=1)
             for b in batches:
                 x = _matrix(b.column("_v"), width)
-                limit = b.column("_t").to_numpy(zero_copy_only=False) if again else None
+                limit = b.column("_t").to_numpy(zero_copy_only=False)
                 for i in range(0, len(x), step):
                     part = x[i:i + step]
                     d = where.distances(part)
-                    go = where.home(d, HOME_ROWS * k)
+                    go = any_of(where.home(d, HOME_ROWS * k))
                     if again:
                         size = np.abs(part).max(axis=1, initial=0.0) * width
-                        go = ~go & (where.rows > 0) & (where.least_distance(d, size) <= limit[i:i + step, None])
+                        go = ~go & any_of((where.rows > 0) & (where.least_distance(d, size) <= limit[i:i + step, None]))
                     row, cell = np.nonzero(go)
-                    for j in range(0, len(row), SENT):  # a row is copied for every cell it visits
-                        rows = b.select(["_id", "_g", "_v"]).take(pa.array(row[j:j + SENT] + i))
-                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell[j:j + SENT].astype(np.int32))], names=["_id", "_g", "_v", "cell"])
+                    for j in range(0, len(row), SENT):  # a row is copied for every group it visits
+                        rows = b.select(["_id", "_g", "_v", "_t"]).take(pa.array(row[j:j + SENT] + i))
+                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell[j:j + SENT].astype(np.int32))], names=["_id", "_g", "_v", "_t", "cell"])
 
-        return queries.mapInArrow(visit, "_id long, _g string, _v array<double>, cell int")
+        return queries.mapInArrow(visit, "_id long, _g string, _v array<double>, _t double, cell int")
 
     out_schema = pa.schema([("test_id", pa.int64()), ("nb_id", pa.int64()), ("nb_label", pa.int64()), ("dist", pa.float64())])
 
@@ -186,42 +256,58 @@ def knn_neighbors(train: DataFrame, test: DataFrame, id_col: str, label: str, fe
         if not a.num_rows or not b.num_rows:
             return out_schema.empty_table()
         xa, xb = _matrix(a.column("_v"), width), _matrix(b.column("_v"), width)
-        ga, gb = (np.array(x.column("_g").to_pylist(), object) if exclude else None for x in (a, b))
+        if exclude:
+            code = {g: c for c, g in enumerate({*a.column("_g").unique().to_pylist(), *b.column("_g").unique().to_pylist()})}
+            ga, gb = (np.array([code[g] for g in x.column("_g").to_pylist()], np.int32) for x in (a, b))
+        limit = a.column("_t").to_numpy()
         ids, labels = b.column("_id").to_numpy(), b.column("_y").combine_chunks()
         of, out, some = a.column("_id").combine_chunks(), [], max(1, HELD // len(xb))
         for i in range(0, len(xa), some):
-            d = _distances(xa[i:i + some], xb, l1)
+            d, slack, share = _near_distances(xa[i:i + some], xb, l1)
             if exclude:
                 d[ga[i:i + some, None] == gb[None, :]] = np.inf
-            order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
-            rows, cols = np.repeat(np.arange(len(d)), order.shape[1]), order.ravel()
-            keep = np.isfinite(d[rows, cols])
-            rows, cols = rows[keep], cols[keep]
-            dist = d[rows, cols]
-            out.append(pa.table([of.take(pa.array(rows + i)), pa.array(ids[cols]), labels.take(pa.array(cols)),
-                                 pa.array(dist if l1 else np.sqrt(dist))], schema=out_schema))
-        return pa.concat_tables(out)
+            at = limit[i:i + some] if l1 else limit[i:i + some] ** 2 * (1 + 1e-12)  # a row that isn't nearer than k known ones doesn't count
+            if not np.isfinite(at).all() and k < len(xb):
+                at = np.minimum(at, np.partition(d, k - 1, axis=1)[:, k - 1])
+            with np.errstate(invalid="ignore"):
+                # both the k-th and the row may be off by the rounding; an infinite distance is none
+                rows, cols = np.nonzero((d <= (at * (1 + 2 * share) + 2 * slack)[:, None]) & (d < np.inf))
+            for lo, hi in _cuts(rows, HELD):
+                r, c = rows[lo:hi], cols[lo:hi]
+                dist = _pair_distances(xa[i + r], xb[c], l1)
+                order = np.lexsort((ids[c], dist, r))
+                r, c, dist = r[order], c[order], dist[order]
+                first = np.arange(len(r)) - np.searchsorted(r, r) < k
+                keep = first & np.isfinite(dist)
+                r, c, dist = r[keep], c[keep], dist[keep]
+                out.append(pa.table([of.take(pa.array(r + i)), pa.array(ids[c]), labels.take(pa.array(c)),
+                                     pa.array(dist if l1 else np.sqrt(dist))], schema=out_schema))
+        return pa.concat_tables(out) if out else out_schema.empty_table()
 
     def meet(visiting: DataFrame) -> DataFrame:
-        """The k nearest of every test row among the cells it visits."""
+        """The k nearest of every test row among the groups it visits."""
         visiting = cut_lineage(visiting)
-        n_visits = {r["cell"]: r["count"] for r in visiting.groupBy("cell").count().collect()}  # a row per cell
-        parts = lambda counts: F.element_at(F.array(*[F.lit(max(1, -(-int(counts.get(c, 0)) // block))) for c in range(n_cells)]), F.col("cell") + 1)
-        of_train, of_test = parts(dict(enumerate(where.rows))), parts(n_visits)
+        n_visits = {r["cell"]: r["count"] for r in visiting.groupBy("cell").count().collect()}  # a row per group
+        count = lambda counts, c: max(1, -(-int(counts.get(c, 0)) // block))
+        parts = lambda counts: F.element_at(F.array(*[F.lit(count(counts, c)) for c in range(n_groups)]), F.col("cell") + 1)
+        rows = dict(enumerate(group_rows))
+        of_train, of_test = parts(rows), parts(n_visits)
         a = (visiting.withColumn("_q", F.pmod(F.xxhash64("_id"), of_test).cast("int"))
                      .withColumn("_p", F.explode(F.sequence(F.lit(0), of_train - 1))))
         b = (dealt.filter(F.array_contains(F.array(*[F.lit(c) for c in sorted(n_visits)]), F.col("cell")) if n_visits else F.lit(False))
                   .withColumn("_p", F.pmod(F.xxhash64("_id"), of_train).cast("int"))
                   .withColumn("_q", F.explode(F.sequence(F.lit(0), of_test - 1))))
         keys = ["cell", "_p", "_q"]
-        found = a.groupBy(*keys).cogroup(b.drop("_d").groupBy(*keys)).applyInArrow(nearest, "test_id long, nb_id long, nb_label long, dist double")
-        return found
+        # few bytes, much work: as many tasks as blocks meet, not as the bytes would ask for
+        tasks = min(MAX_CELLS, 2 * sum(count(rows, c) * count(n_visits, c) for c in n_visits) + 1)
+        a, b = a.repartition(tasks, *keys), b.drop("_d").repartition(tasks, *keys)
+        return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(nearest, "test_id long, nb_id long, nb_label long, dist double")
 
     def first_k(found: DataFrame) -> DataFrame:
         w = Window.partitionBy("test_id").orderBy("dist", "nb_id")
         return found.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
 
-    near = cut_lineage(first_k(meet(visits(te, False))))
+    near = cut_lineage(first_k(meet(visits(te.withColumn("_t", F.lit(float("inf"))), False))))
     limit = near.groupBy("test_id").agg(F.max("dist").alias("_t"), F.count(F.lit(1)).alias("_n"))
     rest = te.join(limit, te["_id"] == limit["test_id"], "left").select(
         "_id", "_g", "_v", F.when(F.col("_n") >= k, F.col("_t")).otherwise(F.lit(float("inf"))).alias("_t"))

@@ -97,3 +97,32 @@ def test_class_scatter_of_wide_vectors(spark):
         assert got[c].n == len(mine) and np.allclose(got[c].mean, mine.mean(axis=0), rtol=1e-14)
         assert np.allclose(np.array(got[c].scatter).reshape(90, 90) / (len(mine) - 1), np.cov(mine.T), atol=1e-8)
     assert md.class_scatter(spark.createDataFrame([], "y int, v array<double>"), "y", "v").count() == 0
+
+
+def test_a_row_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
+    x = np.random.default_rng(8).normal(size=(300, 24))  # spread out: the bounds exclude next to nothing
+    rows = [(i, str(i % 5), x[i]) for i in range(300)]
+    sent, cut = [], cl.cut_lineage
+
+    def counted(df, *a, **k):
+        if "cell" in df.columns and "_y" not in df.columns:
+            sent.append(df.count())
+        return cut(df, *a, **k)
+
+    monkeypatch.setattr(cl, "cut_lineage", counted)
+    df = frames(spark, rows)
+    assert found(cl.knn_neighbors(df, df, "id", "y", "v", 4, metric="l1", exclude="g", block=100, cells=30)) == brute(rows, rows, 4, True, True)
+    assert len(sent) == 2 and 300 <= sum(sent) <= 300 * 4
+
+
+@pytest.mark.parametrize("l1", [False, True])
+def test_quick_distances_stay_within_their_rounding(l1):
+    rnd = np.random.default_rng(6)
+    for scale, shift in ((1.0, 0.0), (1e-6, 1e3), (1e8, 0.0), (1e20, 0.0)):
+        a, b = rnd.normal(size=(70, 33)) * scale + shift, rnd.normal(size=(1500, 33)) * scale + shift
+        quick, slack, share = cl._near_distances(a, b, l1)
+        true = cl._distances(a, b, l1)
+        assert (np.abs(quick - true) <= slack + share * true).all()
+        r, c = rnd.integers(70, size=50), rnd.integers(1500, size=50)
+        assert (cl._pair_distances(a[r], b[c], l1) == true[r, c]).all()
+    assert [list(range(*p)) for p in cl._cuts(np.array([0, 0, 0, 1, 1, 2, 3]), 2)] == [[0, 1, 2], [3, 4], [5, 6]]
